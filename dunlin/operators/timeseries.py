@@ -30,17 +30,40 @@ def align(df: DataFrame, key: str, ts: str, value: str, start: str, end: str) ->
             .select(key, "pos", "day", F.try_element_at("seen", F.col("day")).alias("value")))
 
 
-def fill_linear(series: DataFrame, key: str, pos: str = "pos", value: str = "value") -> DataFrame:
-    """Fill inner gaps on the line between both neighbours; edges stay null."""
-    back = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = Window.partitionBy(key).orderBy(pos).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+def fill_linear(
+    series: DataFrame, key: str, pos: str = "pos", value: str = "value", span: int | None = None
+) -> DataFrame:
+    """Fill inner gaps on the line between both neighbours; edges stay null.
+
+    ``span`` cuts long series into stretches of that many positions.  Each
+    stretch is one window; what it needs from the outside, the nearest known
+    points before and after, comes from a summary of one row per stretch.
+    """
     known = F.when(F.col(value).isNotNull(), F.struct(F.col(pos).alias("i"), F.col(value).alias("v")))
-    marked = series.withColumn("__known", known).withColumns({
-        "__a": F.last("__known", ignorenulls=True).over(back),
-        "__b": F.first("__known", ignorenulls=True).over(ahead)})
+    if span is None:
+        rows = series.withColumns({"__part": F.lit(0), "__known": known})
+        before, after = F.lit(None), F.lit(None)
+    else:
+        rows = series.withColumns({"__part": F.floor(F.col(pos) / F.lit(span)), "__known": known})
+        ends = (rows.groupBy(key, "__part")
+                .agg(F.max_by("__known", F.when(F.col(value).isNotNull(), F.col(pos))).alias("__late"),
+                     F.min_by("__known", F.when(F.col(value).isNotNull(), F.col(pos))).alias("__early")))
+        order = Window.partitionBy(key).orderBy("__part")
+        ends = ends.select(
+            F.col(key).alias("__key"), F.col("__part").alias("__p"),
+            F.last("__late", True).over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+            F.first("__early", True).over(order.rowsBetween(1, Window.unboundedFollowing)).alias("__after"))
+        rows = rows.join(ends, F.col(key).eqNullSafe(F.col("__key")) & F.col("__part").eqNullSafe(F.col("__p")))
+        before, after = F.col("__before"), F.col("__after")
+    stretch = Window.partitionBy(key, "__part").orderBy(pos)
+    back = stretch.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = stretch.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    marked = rows.withColumns({
+        "__a": F.coalesce(F.last("__known", ignorenulls=True).over(back), before),
+        "__b": F.coalesce(F.first("__known", ignorenulls=True).over(ahead), after)})
     slope = F.try_divide(F.col("__b.v") - F.col("__a.v"), F.col("__b.i") - F.col("__a.i"))
     line = F.col("__a.v") + slope * (F.col(pos) - F.col("__a.i"))
-    return marked.withColumn(value, F.coalesce(F.col(value), line)).drop("__known", "__a", "__b")
+    return marked.withColumn(value, F.coalesce(F.col(value), line)).select(*series.columns)
 
 
 def series_stats(series: DataFrame, key: str, value: str = "value", digits: int = 4) -> DataFrame:

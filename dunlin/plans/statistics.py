@@ -316,7 +316,7 @@ _W05 = """
 def _(t: Tables):
     series = t.events.select("user_id", F.col("event_id").alias("i"),
                              F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("v"))
-    return Y.fill_linear(series, "user_id", "i", "v").select("user_id", "i", F.round("v", 3).alias("v"))
+    return Y.fill_linear(series, "user_id", "i", "v", span=100_000).select("user_id", "i", F.round("v", 3).alias("v"))
 
 
 # ---------------------------------------------------------------- time series
@@ -346,10 +346,10 @@ def _(t: Tables):
     return aligned.select("user_id", "pos", "day", F.round("value", 5).alias("value"))
 
 
-@plan("Y03_linear_fill", f"WITH {_FILL} SELECT user_id, day, round(v, 5) AS value FROM z")
+@plan("Y03_linear_fill", f"WITH {_FILL} SELECT user_id, day, round(v, 7) AS value FROM z")
 def _(t: Tables):
     filled = Y.fill_linear(Y.align(t.events, "user_id", "ts", "value", *JANUARY), "user_id")
-    return filled.select("user_id", "day", F.round("value", 5).alias("value"))
+    return filled.select("user_id", "day", F.round("value", 7).alias("value"))
 
 
 @plan("Y04_series_stats", f"""WITH {_FILL} SELECT user_id, count(v) AS n, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS stdev,
