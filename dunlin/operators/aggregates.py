@@ -117,8 +117,9 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     span = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
     width = (hi - lo) / F.lit(float(bins))
-    slot = F.least(F.floor(F.try_divide(F.col("v") - lo, F.nullif(width, F.lit(0.0)))), F.lit(bins - 1))
-    counts = (values.groupBy(F.coalesce(slot, F.lit(0)).cast("long").alias("bin"))
+    # A single distinct value has no width and falls in the first bin.
+    slot = F.coalesce(F.floor(F.try_divide(F.col("v") - lo, width)), F.lit(0))
+    counts = (values.groupBy(F.least(slot, F.lit(bins - 1)).cast("long").alias("bin"))
               .agg(F.count(F.lit(1)).alias("n")))
     every = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
     return (every.join(counts, "bin", "left")
