@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Sequence
 
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.graph.model import Graph
+from dunlin.session import materialize
 
 _TERM = re.compile(r"^(!?)\((\w*)\)-\[(\w*)\]->\((\w*)\)$")
 
@@ -96,24 +98,38 @@ def in_neighbour_of_mutual_count(edges: DataFrame) -> DataFrame:
     return both.join(inn, "id").agg(F.coalesce(F.sum(F.col("m") * F.col("d")), F.lit(0)).alias("n"))
 
 
-def triangles(edges: DataFrame) -> DataFrame:
-    """Undirected triangles as ``(u, v, w)``, each one once.
+def _directed_triangles(edges: DataFrame) -> DataFrame:
+    """Each undirected triangle ``(u, v, w)`` once, with one flag per direction.
 
-    Every edge points from its end of lower degree to the other, so even the
-    largest hub starts only about sqrt(2 * edges) of them.
+    Every pair of neighbours points from its end of lower degree to the other,
+    so even the largest hub starts only about sqrt(2 * edges) of them and the
+    pairs that are compared stay within edges ** 1.5.  Flag ``uv`` tells
+    whether the edge u→v exists, and so on.
     """
-    pair = edges.where("src != dst").select(
-        F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y")).distinct()
+    forward = (F.col("src") < F.col("dst")).cast("int")
+    pair = (edges.where("src != dst")
+            .groupBy(F.least("src", "dst").alias("x"), F.greatest("src", "dst").alias("y"))
+            .agg(F.max(forward).alias("xy"), F.max(1 - forward).alias("yx")))
     ends = pair.select(F.explode(F.array("x", "y")).alias("id"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("d"))
     ranked = (pair.join(degree.select(F.col("id").alias("x"), F.col("d").alias("dx")), "x")
               .join(degree.select(F.col("id").alias("y"), F.col("d").alias("dy")), "y"))
     up = (F.col("dx") < F.col("dy")) | ((F.col("dx") == F.col("dy")) & (F.col("x") < F.col("y")))
-    arc = ranked.select(F.when(up, F.col("x")).otherwise(F.col("y")).alias("u"),
-                        F.when(up, F.col("y")).otherwise(F.col("x")).alias("v"))
-    wedge = arc.join(arc.withColumnRenamed("v", "w"), "u").where("v < w")
-    closing = pair.select(F.col("x").alias("v"), F.col("y").alias("w"))
-    return wedge.join(closing, ["v", "w"]).select("u", "v", "w")
+
+    def arc_of(*names: str):
+        return F.struct(*[F.col(c).alias(n) for c, n in zip(names, ("u", "v", "uv", "vu"))])
+
+    towards = F.when(up, arc_of("x", "y", "xy", "yx")).otherwise(arc_of("y", "x", "yx", "xy"))
+    arc = materialize(ranked.select(towards.alias("a")).select("a.*"), "arcs")
+    other = arc.toDF("u", "w", "uw", "wu")
+    wedge = arc.join(other, "u").where("v < w")
+    closing = pair.toDF("v", "w", "vw", "wv")
+    return wedge.join(closing, ["v", "w"])
+
+
+def triangles(edges: DataFrame) -> DataFrame:
+    """Undirected triangles as ``(u, v, w)``, each one once."""
+    return _directed_triangles(edges).select("u", "v", "w")
 
 
 def triangle_counts(graph: Graph) -> DataFrame:
@@ -124,19 +140,12 @@ def triangle_counts(graph: Graph) -> DataFrame:
 
 
 def closed_two_paths(edges: DataFrame) -> DataFrame:
-    """Rows ``(a, b, c)`` with edges a→b, b→c and a→c, found from triangles.
-
-    Each triangle is turned into its six orders; an order stays if its three
-    directed edges exist.
-    """
-    corners = triangles(edges)
-    orders = F.array(*[F.struct(F.col(i).alias("a"), F.col(j).alias("b"), F.col(k).alias("c"))
-                       for i, j, k in (("u", "v", "w"), ("u", "w", "v"), ("v", "u", "w"),
-                                       ("v", "w", "u"), ("w", "u", "v"), ("w", "v", "u"))])
-    rows = corners.select(F.inline(orders))
-    for x, y in (("a", "b"), ("b", "c"), ("a", "c")):
-        rows = rows.join(edges.select(F.col("src").alias(x), F.col("dst").alias(y)), [x, y], "left_semi")
-    return rows
+    """Rows ``(a, b, c)`` with edges a→b, b→c and a→c, read off the triangles."""
+    orders = [F.struct(F.col(i).alias("a"), F.col(j).alias("b"), F.col(k).alias("c"),
+                       (F.col(i + j) * F.col(j + k) * F.col(i + k)).alias("ok"))
+              for i, j, k in itertools.permutations("uvw")]
+    rows = _directed_triangles(edges).select(F.inline(F.array(*orders)))
+    return rows.where("ok = 1").drop("ok")
 
 
 def zigzag_count(edges: DataFrame) -> DataFrame:

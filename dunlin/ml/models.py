@@ -106,10 +106,11 @@ def area_under_roc(df: DataFrame, score: str, label: str, digits: int = 6, slice
     totals of the slices before, so nothing is sorted in one task.
     """
     bounds = value_slices(df, score, slices)
-    per_score = (df.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("s"))
-                 .agg(F.sum((F.col(label) > 0).cast("long")).alias("pos"), F.sum((F.col(label) <= 0).cast("long")).alias("neg"))
-                 .withColumn("slice", slice_of(F.col("s"), bounds)))
-    totals = per_score.groupBy("slice").agg(F.sum("neg").alias("neg"))
+    marked = df.where(F.col(score).isNotNull()).select(
+        F.col(score).cast("double").alias("s"), (F.col(label) > 0).cast("long").alias("pos"),
+        (F.col(label) <= 0).cast("long").alias("neg"), slice_of(F.col(score).cast("double"), bounds).alias("slice"))
+    per_score = marked.groupBy("slice", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    totals = marked.groupBy("slice").agg(F.sum("neg").alias("neg"))
     before = totals.select("slice", (F.sum("neg").over(Window.orderBy("slice")) - F.col("neg")).alias("offset"))
     inside = F.sum("neg").over(Window.partitionBy("slice").orderBy("s")) - F.col("neg")
     placed = per_score.withColumn("below", inside).join(F.broadcast(before), "slice")

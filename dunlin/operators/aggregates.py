@@ -150,11 +150,15 @@ def five_numbers(df: DataFrame, keys: Sequence[str], column: str, accuracy: int
 
 
 def slice_of(value: Column, bounds: Sequence[float]) -> Column:
-    """Number of sorted bounds that do not exceed the value."""
-    if not bounds:
-        return F.lit(0)
-    edges = F.array(*[F.lit(float(b)) for b in bounds])
-    return F.size(F.filter(edges, lambda b: b <= value))
+    """Number of sorted bounds that do not exceed the value, by nested halving."""
+
+    def halve(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value < F.lit(float(bounds[middle])), halve(low, middle)).otherwise(halve(middle + 1, high))
+
+    return halve(0, len(bounds))
 
 
 def value_slices(df: DataFrame, column: str, slices: int = 64) -> list[float]:
@@ -167,16 +171,15 @@ def value_slices(df: DataFrame, column: str, slices: int = 64) -> list[float]:
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], slices: int = 64) -> DataFrame:
     """Exact quantiles ``(probability, value)`` without a global sort.
 
-    Equal values are counted first, so a value that fills much of the table is
-    one row.  Slice totals tell which slices hold the wanted ranks and only
-    those slices are ordered.  A quantile is the smallest value whose rank is
-    at least ``ceil(probability * n)``.
+    Slice totals tell which slices hold the wanted ranks.  Only rows of those
+    slices are shuffled, after equal values are counted together, so a value
+    that fills much of the table is one row.  A quantile is the smallest value
+    whose rank is at least ``ceil(probability * n)``.
     """
     values = df.select(F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
     bounds = value_slices(values, "value", slices)
-    counts = (values.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("slice", slice_of(F.col("value"), bounds)))
-    sizes = {r["slice"]: r["n"] for r in counts.groupBy("slice").agg(F.sum("n").alias("n")).collect()}
+    placed = values.withColumn("slice", slice_of(F.col("value"), bounds))
+    sizes = {r["slice"]: r["n"] for r in placed.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(sizes.values())
     spark = df.sparkSession
     wanted = []
@@ -189,8 +192,9 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
             before += sizes[piece]
     targets = spark.createDataFrame(wanted, "probability double, slice int, rank long")
     running = F.sum("n").over(Window.partitionBy("slice").orderBy("value"))
-    ordered = (counts.where(F.col("slice").isin([w[1] for w in wanted]))
-               .withColumn("upto", running))
+    counts = (placed.where(F.col("slice").isin([w[1] for w in wanted]))
+              .groupBy("slice", "value").agg(F.count(F.lit(1)).alias("n")))
+    ordered = counts.withColumn("upto", running)
     return (ordered.join(F.broadcast(targets), "slice")
             .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
             .select("probability", "value"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.functions.strings import words
-from dunlin.session import broadcast_if_bounded
+from dunlin.session import BROADCAST_ROWS, broadcast_if_bounded, holds_at_most
 
 # Patterns and replacement texts of the filing cleaner.
 ABBREVIATION = r"[A-Z]\.([A-Z]\.)+"
@@ -39,7 +39,8 @@ URL = r"\b(https?|ftp|file)://[-a-zA-Z0-9+&@#/%?=~_|!:,.;]*[-a-zA-Z0-9+&@#/%=~_|
 FILE_NAME = r"[_a-zA-Z0-9\-.]+\.(txt|sgml|xml|xsd|htm|html)"
 NOT_LETTER_OR_PERIOD = r"[^a-zA-Z.]"
 NOT_LETTER = r"[^a-zA-Z]"
-VOWELS = "[aeiouy]+"
+# A word with more than two vowel groups, taken whole.
+LONG_WORD = "(?:[b-df-hj-np-tv-xz]*+[aeiouy]++){2}[b-df-hj-np-tv-xz]++[aeiouy][a-z]*+"
 
 
 def _only_if(text: Column, mark: str, cleaned: Column) -> Column:
@@ -113,9 +114,11 @@ def fog_index(df: DataFrame, key: str, column: str, digits: int = 4) -> DataFram
     A sentence ends with a period and a long word has over two vowel groups.
     Documents without a period or a word are left out.  Nothing is shuffled.
     """
-    measured = df.select(key, words(F.col(column)).alias("w"), F.regexp_count(column, F.lit(r"\.")).alias("periods"))
-    long_words = F.size(F.filter("w", lambda w: F.regexp_count(w, F.lit(VOWELS)) > 2))
-    sized = measured.select(key, "periods", F.size("w").alias("n"), long_words.alias("long")).where("periods > 0 AND n > 0")
+    lowered = F.lower(column)
+    sized = df.select(
+        key, F.regexp_count(column, F.lit(r"\.")).alias("periods"),
+        F.regexp_count(lowered, F.lit("[a-z]+")).alias("n"),
+        F.regexp_count(lowered, F.lit(LONG_WORD)).alias("long")).where("periods > 0 AND n > 0")
     fog = 0.4 * (F.col("n") / F.col("periods") + 100.0 * F.col("long") / F.col("n"))
     return sized.select(key, F.round(fog, digits).alias("fog"))
 
@@ -126,15 +129,21 @@ def word_counts(df: DataFrame, keys: Sequence[str], column: str, pattern: str =
             .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def match_dictionary(counts: DataFrame, dictionary: DataFrame, word: str = "word") -> DataFrame:
-    """Counted words found in the dictionary, with its attributes.
+def match_dictionary(
+    df: DataFrame, keys: Sequence[str], column: str, dictionary: DataFrame, word: str = "word", limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Words of the texts found in the dictionary: ``(keys, word, n, attributes)``.
 
-    The dictionary is shipped whole if proven small; beyond that the join
-    shuffles and adaptive execution splits hot words.
+    A dictionary proven small goes to every executor and words are dropped
+    where they arise, with ``n`` one per occurrence.  Beyond the bound, words
+    are counted per key before they are shuffled to the dictionary.
     """
-    entries = dictionary.withColumn("__key", F.lower(word)).drop(word)
-    keyed = counts.withColumn("__key", F.lower("word"))
-    return keyed.join(broadcast_if_bounded(entries), "__key").drop("__key")
+    entries = dictionary.withColumn("word", F.lower(word)) if word == "word" else (
+        dictionary.withColumn("word", F.lower(word)).drop(word))
+    if holds_at_most(entries, limit):
+        found = df.select(*keys, F.explode(words(F.col(column))).alias("word"), F.lit(1).cast("long").alias("n"))
+        return found.join(F.broadcast(entries), "word")
+    return word_counts(df, keys, column).join(entries, "word")
 
 
 def dictionary_measures(matched: DataFrame, keys: Sequence[str], digits: int = 6) -> DataFrame:

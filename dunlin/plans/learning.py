@@ -141,7 +141,7 @@ _KEPT = f"list_filter({_TOK}, lambda w: w NOT IN ({', '.join(repr(w) for w in _S
 
 def _tokens(t: Tables):
     return ft.RegexTokenizer(inputCol="text", outputCol="tokens", pattern="[a-zA-Z']+", gaps=False).transform(
-        t.documents.select("doc_id", "text")).drop("text")
+        t.spread("documents").select("doc_id", "text")).drop("text")
 
 
 def _kept(t: Tables):
@@ -158,7 +158,7 @@ def _(t: Tables):
 @plan("L11_gap_tokenizer", "SELECT doc_id, CAST(len(list_filter(string_split_regex(lower(text), '[^a-z0-9_]'), lambda w: w <> '')) AS INTEGER) AS n FROM documents")
 def _(t: Tables):
     model = ft.RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"\W")
-    return model.transform(t.documents.select("doc_id", "text")).select("doc_id", F.size("tokens").alias("n"))
+    return model.transform(t.spread("documents").select("doc_id", "text")).select("doc_id", F.size("tokens").alias("n"))
 
 
 @plan("L12_stop_words_remover", f"SELECT doc_id, CAST(len({_KEPT}) AS INTEGER) AS n FROM documents")

@@ -28,6 +28,16 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def spread(self, name: str) -> DataFrame:
+        """A table for costly per-row work.
+
+        If its files make fewer partitions than there are cores, the rows are
+        dealt out; a table of many files is left where it is.
+        """
+        table = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)

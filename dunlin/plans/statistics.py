@@ -195,7 +195,7 @@ def _(t: Tables):
 @plan("A21_word_count", """
     SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1""")
 def _(t: Tables):
-    return t.documents.select(F.explode(F.split("text", " ")).alias("word")).groupBy("word").agg(rows())
+    return t.spread("documents").select(F.explode(F.split("text", " ")).alias("word")).groupBy("word").agg(rows())
 
 
 @plan("A22_count_by_key", """

@@ -41,13 +41,13 @@ def _sql_clean(column: str) -> str:
 
 @plan("E01_clean_filing", f"SELECT page_id, {_sql_clean('html')} AS cleaned FROM pages")
 def _(t: Tables):
-    return E.clean_filing(t.pages.select("page_id", "html"), "html", "cleaned").drop("html")
+    return E.clean_filing(t.spread("pages").select("page_id", "html"), "html", "cleaned").drop("html")
 
 
 @plan("E02_letters_only", r"""
     SELECT doc_id, md5(regexp_replace(regexp_replace(text, '[^a-zA-Z]', ' ', 'g'), '\s+', ' ', 'g')) AS digest FROM documents""")
 def _(t: Tables):
-    return t.documents.select("doc_id", F.md5(E.letters_only(F.col("text"))).alias("digest"))
+    return t.spread("documents").select("doc_id", F.md5(E.letters_only(F.col("text"))).alias("digest"))
 
 
 _DICT = """d AS MATERIALIZED (SELECT DISTINCT w AS word, CASE WHEN starts_with(w, 'th') THEN 1 ELSE 0 END AS negative,
@@ -66,12 +66,12 @@ def _dictionary(t: Tables):
 
 
 def _matched(t: Tables):
-    return E.match_dictionary(E.word_counts(t.documents, ["doc_id"], "text"), _dictionary(t))
+    return E.match_dictionary(t.spread("documents"), ["doc_id"], "text", _dictionary(t))
 
 
 @plan("E03_dictionary_match", f"WITH {_DICT} SELECT doc_id, CAST(sum(n) AS BIGINT) AS words, count(*) AS kinds FROM k JOIN d USING (word) GROUP BY 1")
 def _(t: Tables):
-    return _matched(t).groupBy("doc_id").agg(F.sum("n").alias("words"), rows("kinds"))
+    return _matched(t).groupBy("doc_id").agg(F.sum("n").alias("words"), F.countDistinct("word").alias("kinds"))
 
 
 @plan("E04_fog_index", """
@@ -80,7 +80,7 @@ def _(t: Tables):
     SELECT doc_id, round(0.4::DOUBLE * (count(*)::DOUBLE / any_value(p) + 100.0::DOUBLE * count(*) FILTER (len(regexp_extract_all(w, '[aeiouy]+')) > 2) / count(*)), 4) AS fog
     FROM w JOIN s USING (doc_id) WHERE p > 0 GROUP BY doc_id""")
 def _(t: Tables):
-    return E.fog_index(t.documents, "doc_id", "text")
+    return E.fog_index(t.spread("documents"), "doc_id", "text")
 
 
 @plan("E05_sentiment", f"""WITH {_DICT} SELECT doc_id, CAST(sum(n) AS BIGINT) AS words, CAST(sum(CASE WHEN negative > 0 THEN n ELSE 0 END) AS BIGINT) AS negative,
@@ -117,7 +117,7 @@ _STOPS = ["the", "and", "of", "la", "le", "de", "der", "die"]
     SELECT source, lower(w) AS word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT source, w, count(*) AS n FROM (SELECT source, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY 1, 2)
     WHERE regexp_full_match(w, '[A-Za-z]+') AND lower(w) NOT IN ({", ".join(f"'{w}'" for w in _STOPS)}) GROUP BY 1, 2""")
 def _(t: Tables):
-    counts = (t.documents.select("source", F.explode(F.split("text", " ")).alias("word"))
+    counts = (t.spread("documents").select("source", F.explode(F.split("text", " ")).alias("word"))
               .groupBy("source", "word").agg(rows()))
     stops = t.spark.createDataFrame([(w,) for w in _STOPS], "word string")
     return E.without_stop_words(counts, stops).groupBy("source", "word").agg(F.sum("n").alias("n"))
@@ -126,7 +126,7 @@ def _(t: Tables):
 @plan("E08_word_set_minus_stops", f"""
     SELECT DISTINCT w AS word FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) WHERE w NOT IN ({", ".join(f"'{w}'" for w in _STOPS)})""")
 def _(t: Tables):
-    words = t.documents.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
+    words = t.spread("documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word"))
     return words.subtract(t.spark.createDataFrame([(w,) for w in _STOPS], "word string"))
 
 

@@ -34,10 +34,11 @@ def test_fog_and_dictionary(spark):
     docs = spark.createDataFrame([(1, "Readability matters. It does."), (2, "no period"), (3, "...")], "id int, t string")
     assert values(E.fog_index(docs, "id", "t")) == [(1, round(0.4 * (4 / 2 + 100.0 * 1 / 4), 4))]
     words = spark.createDataFrame([("BAD", 1, 0), ("May", 0, 2)], "word string, negative int, modal int")
-    counts = E.word_counts(spark.createDataFrame([(1, "bad bad may other")], "id int, t string"), ["id"], "t")
-    matched = E.match_dictionary(counts, words)
-    assert values(E.dictionary_measures(matched, ["id"])) == [(1, 3, 2, 0.666667)]
-    assert values(E.modal_counts(matched)) == [(2, 1)]
+    texts = spark.createDataFrame([(1, "bad bad may other")], "id int, t string")
+    for limit in (10, 1):
+        matched = E.match_dictionary(texts, ["id"], "t", words, limit=limit)
+        assert values(E.dictionary_measures(matched, ["id"])) == [(1, 3, 2, 0.666667)]
+        assert values(E.modal_counts(matched)) == [(2, 1)]
 
 
 def test_stop_words(spark):
