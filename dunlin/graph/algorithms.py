@@ -22,24 +22,36 @@ def pagerank(
     tolerance: float | None = 0.01,
     iterations: int = 100,
     normalize: bool = False,
+    rounds_per_cut: int = 3,
 ) -> DataFrame:
     """``r = reset + (1 - reset) * sum(r_src / outdegree)``, starting from one.
 
     Stops when no rank moves by ``tolerance`` or more, or after ``iterations``
     rounds.  ``normalize`` scales the ranks so that they sum to the number of
     vertices, which matters when some vertices have no outgoing edge.
+
+    Every vertex also has an arc to itself without weight, which carries the
+    reset share and the old rank.  So a round reads the ranks once: one join,
+    one aggregation.  Without a tolerance several rounds share one cut.
     """
     share = graph.out_degrees().select(F.col("id").alias("src"), ((1 - reset) / F.col("out_degree")).alias("w"))
-    arcs = materialize(graph.edges.select("src", "dst").join(share, "src"), "arcs")
-    ranks = materialize(graph.vertices.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("old")), "ranks")
-    for _ in range(iterations):
-        sent = arcs.join(ranks.select(F.col("id").alias("src"), "rank"), "src").select(
-            F.col("dst").alias("id"), (F.col("rank") * F.col("w")).alias("add"), F.lit(None).cast("double").alias("old"))
-        base = ranks.select("id", F.lit(reset).alias("add"), F.col("rank").alias("old"))
-        step = (base.unionByName(sent).groupBy("id")
-                .agg(F.sum("add").alias("rank"), F.max("old").alias("old")))
-        previous, ranks = ranks, materialize(step, "ranks")
-        discard(previous)
+    own = graph.vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
+    arcs = materialize(graph.edges.select("src", "dst").join(share, "src").unionByName(own), "arcs")
+    ranks = graph.vertices.select("id", F.lit(1.0).alias("rank"))
+    stored = None
+    for done in range(1, iterations + 1):
+        kept = F.col("w").isNull()
+        step = (arcs.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+                .groupBy(F.col("dst").alias("id"))
+                .agg(F.sum(F.when(kept, F.lit(reset)).otherwise(F.col("rank") * F.col("w"))).alias("rank"),
+                     F.max(F.when(kept, F.col("rank"))).alias("old")))
+        if tolerance is None and done % rounds_per_cut and done < iterations:
+            ranks = step
+            continue
+        previous, ranks = stored, materialize(step, "ranks")
+        stored = ranks
+        if previous is not None:
+            discard(previous)
         if tolerance is not None:
             moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
             if moved is None or moved < tolerance:
@@ -51,24 +63,32 @@ def pagerank(
     return result
 
 
-def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:
+def label_propagation(graph: Graph, iterations: int = 10, rounds_per_cut: int = 3) -> DataFrame:
     """Synchronous: each vertex takes the label most common among its neighbours.
 
-    Edges count in both directions and a tie goes to the smallest label.
+    Edges count in both directions and a tie goes to the smallest label.  An
+    arc of weight zero from each vertex to itself keeps the label of vertices
+    without neighbours, so a round reads the labels once.
     """
-    arcs = materialize(graph.edges.select(F.inline(F.array(
-        F.struct(F.col("src").alias("from"), F.col("dst").alias("to")),
-        F.struct(F.col("dst").alias("from"), F.col("src").alias("to"))))), "arcs")
-    labels = materialize(graph.vertices.select("id", F.col("id").alias("label")), "labels")
-    for _ in range(iterations):
+    both = graph.edges.select(F.inline(F.array(
+        F.struct(F.col("src").alias("from"), F.col("dst").alias("to"), F.lit(1).alias("w")),
+        F.struct(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(1).alias("w")))))
+    own = graph.vertices.select(F.col("id").alias("from"), F.col("id").alias("to"), F.lit(0).alias("w"))
+    arcs = materialize(both.unionByName(own), "arcs")
+    labels, stored = graph.vertices.select("id", F.col("id").alias("label")), None
+    for done in range(1, iterations + 1):
         votes = (arcs.join(labels.withColumnRenamed("id", "from"), "from")
-                 .groupBy("to", "label").agg(F.count(F.lit(1)).alias("n")))
-        best = votes.groupBy(F.col("to").alias("id")).agg(
-            F.max(F.struct(F.col("n"), (-F.col("label")).alias("low"))).alias("top"))
-        step = (labels.join(best, "id", "left")
-                .select("id", F.coalesce(-F.col("top.low"), F.col("label")).alias("label")))
-        previous, labels = labels, materialize(step, "labels")
-        discard(previous)
+                 .groupBy("to", "label").agg(F.sum("w").alias("n")))
+        # The largest count, then the smallest label.
+        step = (votes.groupBy(F.col("to").alias("id"))
+                .agg(F.max_by("label", F.struct(F.col("n"), (-F.col("label")).alias("low"))).alias("label")))
+        if done % rounds_per_cut and done < iterations:
+            labels = step
+            continue
+        previous, labels = stored, materialize(step, "labels")
+        stored = labels
+        if previous is not None:
+            discard(previous)
     return labels
 
 

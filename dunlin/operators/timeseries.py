@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dunlin.functions.dates import from_parts
+from dunlin.sources.readers import read_with_origin, typed_fields
+
 
 def business_days(start: str, end: str) -> Column:
     """Array of the Mondays to Fridays from ``start`` to ``end``, both included."""
@@ -25,7 +28,9 @@ def align(df: DataFrame, key: str, ts: str, value: str, start: str, end: str) ->
     bounded by the calendar and no key-by-day grid has to be joined.
     """
     daily = (df.groupBy(key, F.to_date(ts).alias("day")).agg(F.avg(value).alias("v")))
-    per_key = daily.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("day", "v"))).alias("seen"))
+    inside = F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    entry = F.when(inside, F.struct("day", "v"))
+    per_key = daily.groupBy(key).agg(F.map_from_entries(F.collect_list(entry)).alias("seen"))
     return (per_key.select(key, "seen", F.posexplode(business_days(start, end)).alias("pos", "day"))
             .select(key, "pos", "day", F.try_element_at("seen", F.col("day")).alias("value")))
 
@@ -72,3 +77,16 @@ def series_stats(series: DataFrame, key: str, value: str = "value", digits: int
         F.count(value).alias("n"), F.round(F.avg(value), digits).alias("mean"),
         F.round(F.stddev_pop(value), digits).alias("stdev"),
         F.round(F.max(value), digits).alias("max"), F.round(F.min(value), digits).alias("min"))
+
+
+def load_series(spark: SparkSession, path: str, header: str, ticker_pattern: str) -> DataFrame:
+    """Long series ``(ticker, ts, value)`` from one delimited file per ticker.
+
+    Lines hold ``year,month,day,value``.  All files come from a single scan;
+    the ticker is the first group of ``ticker_pattern`` in the file's path.
+    """
+    lines = read_with_origin(spark, path)
+    tagged = lines.where(F.col("value") != header).select(
+        F.concat_ws(",", F.regexp_extract("path", ticker_pattern, 1), "value").alias("value"))
+    fields = {"ticker": "string", "year": "int", "month": "int", "day": "int", "value": "double"}
+    return typed_fields(tagged, fields).select("ticker", from_parts(F.col("year"), F.col("month"), F.col("day")).alias("ts"), "value")

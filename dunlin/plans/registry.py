@@ -24,6 +24,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
@@ -41,7 +42,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        if name not in self._read:  # one listing and footer read per table
+            self._read[name] = self.spark.read.parquet(self.path(name))
+        return self._read[name]
 
 
 def plan(name: str, sql: str | None = None):

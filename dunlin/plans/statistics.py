@@ -9,6 +9,8 @@ from dunlin.operators import sampling as Z
 from dunlin.operators import timeseries as Y
 from dunlin.operators import windows as W
 from dunlin.plans.registry import Tables, plan
+from dunlin.session import scratch_path
+from dunlin.sources.writers import write_table
 
 
 
@@ -358,6 +360,20 @@ def _(t: Tables):
     return Y.series_stats(Y.fill_linear(Y.align(t.events, "user_id", "ts", "value", *JANUARY), "user_id"), "user_id")
 
 
+@plan("Y05_series_from_many_files", """
+    SELECT event_type AS ticker, date_trunc('day', ts)::TIMESTAMP AS ts, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2""")
+def _(t: Tables):
+    header = "year,month,day,value"
+    ts = F.col("ts")
+    lines = t.events.select(F.col("event_type").alias("ticker"),
+                            F.concat_ws(",", F.year(ts), F.month(ts), F.dayofmonth(ts), F.col("value")).alias("value"))
+    heads = t.events.select(F.col("event_type").alias("ticker"), F.lit(header).alias("value")).distinct()
+    path = scratch_path(t.spark, "y05")
+    write_table(lines.union(heads), path, "text", partition_by=["ticker"], max_records_per_file=5_000_000)
+    series = Y.load_series(t.spark, path, header, "ticker=([^/]+)/")
+    return series.groupBy("ticker", "ts").agg(rows(), F.round(F.sum("value"), 2).alias("total"))
+
+
 # ------------------------------------------------------------------- sampling
 
 

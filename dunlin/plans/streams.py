@@ -108,6 +108,13 @@ def _(t: Tables):
     return J.drain(joined.select("event_id", "user_id", "c_mktsegment"), "t06")
 
 
+@plan("J19_stream_static_outer_join", """
+    SELECT event_id, s_name FROM events LEFT JOIN supplier ON user_id = s_suppkey""")
+def _(t: Tables):
+    joined = J.join_static(events(t), t.supplier.select("s_suppkey", "s_name"), "user_id", "s_suppkey", "left")
+    return J.drain(joined.select("event_id", "s_name"), "j19")
+
+
 @plan("T07_joined_window_count", WINDOWS.format(
     key="c_mktsegment", name="c_mktsegment", source="(SELECT * FROM events JOIN customer ON user_id = c_custkey)"))
 def _(t: Tables):

@@ -43,19 +43,44 @@ def build_session(app: str = "dunlin", master: str | None = None, **settings: st
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder that all executors can read and write."""
+    """Folder that all executors can read and write.
+
+    Without the setting a local session gets a temporary folder; on a cluster
+    that is an error, since executors would not see each other's files.
+    """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     if not root:
         root = spark.sparkContext.getConf().get(CHECKPOINT_SETTING)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="dunlin-")
         spark.conf.set(CHECKPOINT_SETTING, root)
     return root.rstrip("/")
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_root(spark)}/dunlin/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/dunlin/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(conf).delete(path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder.
+
+    Frames that still read from there must not be used afterwards.
+    """
+    _delete(spark, scratch_root(spark))
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -72,14 +97,10 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`materialize`."""
     spark = df.sparkSession
-    marker = f"{shared_root(spark)}/dunlin/"
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
-    for folder in folders:
-        if marker.split("://")[-1].lstrip("/") in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+    marker = scratch_root(spark).split("://")[-1].removeprefix("file:").lstrip("/")
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if f"{marker}/" in folder:
+            _delete(spark, folder)
 
 
 def holds_at_most(df: DataFrame, rows: int) -> bool:

@@ -35,7 +35,7 @@ class PolledLinesReader(DataSourceStreamReader):
 
     def _filesystem(self):
         if "://" in self.folder or self.folder.startswith("file:/"):
-            return pafs.FileSystem.from_uri(self.folder)
+            return pafs.FileSystem.from_uri(self.folder.replace("s3a://", "s3://", 1))
         return pafs.LocalFileSystem(), self.folder
 
     def _files(self):
