@@ -352,12 +352,12 @@ def _(t: Tables):
 
 @plan("M11_date_aligned_tables", """
     WITH s AS (SELECT CAST(l_shipdate AS DATE) AS d, round(sum(l_quantity), 2) AS qty FROM lineitem GROUP BY 1),
-         o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(avg(o_totalprice), 6) AS price FROM orders GROUP BY 1)
+         o AS (SELECT CAST(o_orderdate AS DATE) AS d, round(sum(o_totalprice), 2) AS price FROM orders GROUP BY 1)
     SELECT d, qty, price FROM s JOIN o USING (d)""")
 def _(t: Tables):
     shipped = (t.lineitem.groupBy(F.date_format("l_shipdate", "dd/MM/yyyy").alias("date"))
                .agg(F.round(F.sum("l_quantity"), 2).alias("qty")))
     ordered = (t.orders.groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
-               .agg(F.round(F.avg("o_totalprice"), 6).alias("price")))
+               .agg(F.round(F.sum("o_totalprice"), 2).alias("price")))
     joined = join_on_expression(shipped, ordered, F.to_date("date", "dd/MM/yyyy"), F.to_date("day"), "d")
     return joined.select("d", "qty", "price")

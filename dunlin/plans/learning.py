@@ -200,7 +200,7 @@ def _(t: Tables):
 def _lines(t: Tables):
     """Line items with a label their features explain."""
     label = (F.col("l_extendedprice") * (1 - F.col("l_discount")) > 50000).cast("double")
-    data = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", *_NUM, "l_shipdate", label.alias("label"))
+    data = t.spread("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", *_NUM, "l_shipdate", label.alias("label"))
     vectors = L.assemble(data, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
     return split_by_weight(vectors, [0.8, 0.2], ["l_orderkey", "l_partkey", "l_linenumber"], seed=11)
 
@@ -262,7 +262,7 @@ def _(t: Tables):
 
 @plan("N04_naive_bayes", "SELECT count(*) AS n, true AS valid FROM documents JOIN labels USING (doc_id)")
 def _(t: Tables):
-    data = t.documents.select("doc_id", "text").join(t.labels, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
+    data = t.spread("documents").select("doc_id", "text").join(t.labels, "doc_id").select("text", F.col("quality").cast("double").alias("label"))
     model = Pipeline(stages=L.token_stages("text") + [NaiveBayes(modelType="multinomial")]).fit(data)
     return model.transform(data).agg(rows(), (F.min(F.col("prediction").isin(0.0, 1.0).cast("int")) == 1).alias("valid"))
 
@@ -270,7 +270,7 @@ def _(t: Tables):
 @plan("N05_glm_gaussian", """
     SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept FROM lineitem""")
 def _(t: Tables):
-    data = L.assemble(t.lineitem.select("l_quantity", F.col("l_extendedprice").alias("label")), ["l_quantity"])
+    data = L.assemble(t.spread("lineitem").select("l_quantity", F.col("l_extendedprice").alias("label")), ["l_quantity"])
     model = GeneralizedLinearRegression(family="gaussian", regParam=0.0, maxIter=25, tol=1e-6).fit(data)
     return t.spark.createDataFrame([(model.coefficients[0].item(), float(model.intercept))], "slope double, intercept double").select(
         F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
@@ -278,7 +278,7 @@ def _(t: Tables):
 
 @plan("X07_models_over_parameter_list", "SELECT unnest(['gaussian', 'poisson']) AS family, true AS converged")
 def _(t: Tables):
-    data = L.assemble(t.lineitem.select("l_tax", "l_discount", F.col("l_quantity").alias("label")), ["l_tax", "l_discount"]).cache()
+    data = L.assemble(t.spread("lineitem").select("l_tax", "l_discount", F.col("l_quantity").alias("label")), ["l_tax", "l_discount"]).cache()
     try:
         return N.fit_family(
             ["gaussian", "poisson"], lambda f: GeneralizedLinearRegression(family=f, maxIter=15, regParam=0.1).fit(data),
@@ -309,7 +309,7 @@ def _(t: Tables):
 
 @plan("N08_gaussian_mixture", "SELECT 1.0::DOUBLE AS weight, count(*) AS n FROM lineitem")
 def _(t: Tables):
-    train = L.assemble(t.lineitem.select("l_quantity", "l_discount", "l_tax"), ["l_quantity", "l_discount", "l_tax"])
+    train = L.assemble(t.spread("lineitem").select("l_quantity", "l_discount", "l_tax"), ["l_quantity", "l_discount", "l_tax"])
     model = GaussianMixture(k=2, seed=3, maxIter=10).fit(train)
     return model.transform(train).where("prediction IN (0, 1)").agg(F.round(F.lit(sum(model.weights)), 6).alias("weight"), rows())
 

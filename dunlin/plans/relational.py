@@ -25,12 +25,12 @@ def _(t: Tables):
 
 
 @plan("P03_add_replace_column", """
-    SELECT o_orderkey, round(o_totalprice / 1000, 2) AS o_totalprice,
+    SELECT o_orderkey, round(o_totalprice / 1000, 5) AS o_totalprice,
            upper(o_orderpriority) AS priority FROM orders""")
 def _(t: Tables):
     return (t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
             .withColumns({"priority": F.upper("o_orderpriority"),
-                          "o_totalprice": F.round(F.col("o_totalprice") / 1000, 2)})
+                          "o_totalprice": F.round(F.col("o_totalprice") / 1000, 5)})
             .drop("o_orderpriority"))
 
 

@@ -216,7 +216,7 @@ def _(t: Tables):
 
 def _line_folder(t: Tables, label: str) -> str:
     path = scratch_path(t.spark, label)
-    t.documents.select(F.explode(F.split("text", "\n")).alias("value")).write.text(path)
+    t.spread("documents").select(F.explode(F.split("text", "\n")).alias("value")).write.text(path)
     time.sleep(1.2)
     return path
 
@@ -226,7 +226,7 @@ _LINES = "(SELECT unnest(string_split(text, chr(10))) AS line FROM documents)"
 
 @plan("T17_polled_source", f"SELECT count(*) AS n, CAST(sum(length(line)) AS BIGINT) AS chars FROM {_LINES}")
 def _(t: Tables):
-    lines = read_polled_lines(t.spark, _line_folder(t, "t17-in"), settle="1", rangeBytes=str(256 << 10))
+    lines = read_polled_lines(t.spark, _line_folder(t, "t17-in"), settle="1")
     return J.drain(lines, "t17").agg(rows(), F.sum(F.length("value")).alias("chars"))
 
 
