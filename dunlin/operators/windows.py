@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dunlin.session import broadcast_if_bounded
+from dunlin.session import broadcast_if_bounded, materialize
 
 #: Hash buckets per stratum; only the bucket that holds a cut is ordered.
 HASH_BITS = 12
@@ -55,7 +55,7 @@ def cut_strata(
         here = (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
         cuts += [F.max(F.when(here, F.col("__b"))).alias(f"__c{i}"),
                  F.max(F.when(here, rank - F.col("upto") + F.col("n"))).alias(f"__r{i}")]
-    edges = hist.groupBy(*names).agg(*cuts)
+    edges = materialize(hist.groupBy(*names).agg(*cuts), "cuts")  # one row per stratum
 
     joined = rows.join(broadcast_if_bounded(edges), names)
     contested = F.lit(False)

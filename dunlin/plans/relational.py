@@ -232,15 +232,15 @@ def _(t: Tables):
 
 @plan("J13_sort_merge_join_scrambled", """
     SELECT l_returnflag, count(*) AS n, round(sum(o_totalprice), 2) AS total
-    FROM lineitem JOIN orders ON (l_orderkey * 15485863) % 1000003 = (o_orderkey * 15485863) % 1000003
-    WHERE l_orderkey = o_orderkey GROUP BY 1""")
+    FROM lineitem JOIN orders ON (l_orderkey * 7919) % 2305843009213693951 = (o_orderkey * 7919) % 2305843009213693951 GROUP BY 1""")
 def _(t: Tables):
     def scrambled(name):
-        return (F.col(name) * 15485863) % 1000003
+        # Modulo a prime above every key, so that two keys never meet.
+        return (F.col(name) * 7919) % ((1 << 61) - 1)
 
-    lines = t.lineitem.select("l_orderkey", "l_returnflag", scrambled("l_orderkey").alias("k"))
-    orders = t.orders.select("o_orderkey", "o_totalprice", scrambled("o_orderkey").alias("k"))
-    joined = lines.join(orders.hint("merge"), "k").filter("l_orderkey = o_orderkey")
+    lines = t.lineitem.select("l_returnflag", scrambled("l_orderkey").alias("k"))
+    orders = t.orders.select("o_totalprice", scrambled("o_orderkey").alias("k"))
+    joined = lines.join(orders.hint("merge"), "k")
     return joined.groupBy("l_returnflag").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 

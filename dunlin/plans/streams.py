@@ -42,11 +42,12 @@ CLOSED = f"SELECT * FROM ({BY_TYPE}) WHERE win_end <= (SELECT max(ts) FROM event
 @plan("T01_file_stream_rate_cap", "SELECT count(*) AS n, round(sum(value), 2) AS total, true AS capped FROM events")
 def _(t: Tables):
     staged, out = scratch_path(t.spark, "t01-in"), scratch_path(t.spark, "t01")
-    t.events.repartition(6).write.parquet(staged)
-    stream = J.read_files(t.spark, staged, t.events.schema, files_per_trigger=2)
+    files = max(6, t.events.rdd.getNumPartitions())
+    t.events.repartition(files).write.parquet(staged)
+    stream = J.read_files(t.spark, staged, t.events.schema, files_per_trigger=files // 3)
     query = J.start_file_sink(stream.select("value"), f"{out}/data", f"{out}/checkpoint")
     query.awaitTermination()
-    capped = J.progress_row(query)["batches"] == 3
+    capped = J.progress_row(query)["batches"] >= 3
     return t.spark.read.parquet(f"{out}/data").agg(rows(), F.round(F.sum("value"), 2).alias("total"), F.lit(capped).alias("capped"))
 
 
@@ -258,8 +259,9 @@ def _(t: Tables):
 @plan("T20_text_file_per_batch", "SELECT count(*) AS n, true AS per_batch, round(sum(value), 2) AS total FROM events")
 def _(t: Tables):
     staged, out = scratch_path(t.spark, "t20-in"), scratch_path(t.spark, "t20")
-    t.events.repartition(4).write.parquet(staged)
-    stream = J.read_files(t.spark, staged, t.events.schema, files_per_trigger=2)
+    files = max(4, t.events.rdd.getNumPartitions())
+    t.events.repartition(files).write.parquet(staged)
+    stream = J.read_files(t.spark, staged, t.events.schema, files_per_trigger=files // 2)
     text = stream.select(F.concat_ws(",", "event_id", "value").alias("value"))
     J.write_batches(text, f"{out}/checkpoint", J.batch_folder_writer(f"{out}/lines", "text")).awaitTermination()
     back = t.spark.read.text(f"{out}/lines")

@@ -31,9 +31,10 @@ def read_delimited(
 
 
 def read_lines(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """Raw lines; with ``partitions`` they are spread over at least that many."""
+    """Raw lines; they are dealt out only if the files make fewer ``partitions``."""
     lines = spark.read.text(path)
-    return lines.repartition(partitions) if partitions else lines
+    few = partitions and lines.rdd.getNumPartitions() < partitions
+    return lines.repartition(partitions) if few else lines
 
 
 def typed_fields(
