@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from dunlin.session import broadcast_if_bounded, materialize
+from dunlin.session import broadcast_if_bounded, materialize, ship_code
 
 GROUP_ROWS = 200_000
 
 
 def register_scalar(spark: SparkSession, name: str, function: Callable[[pd.Series], pd.Series], kind: DataType | str):
     """Make a batch function callable by name from SQL text."""
+    ship_code(spark)
     return spark.udf.register(name, F.pandas_udf(function, kind))
 
 
@@ -48,6 +49,7 @@ def grouped_apply(
     A retried task must see the same order, so write ``df`` out first if it
     comes from a shuffle.
     """
+    ship_code(df.sparkSession)
     text = _text_fields(schema)
     tasks = max(df.sparkSession.sparkContext.defaultParallelism,
                 int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -92,6 +94,7 @@ def mergeable_aggregate(
     built-in aggregates that combine those rows.
     """
 
+    ship_code(df.sparkSession)
     text = _text_fields(partial_schema)
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

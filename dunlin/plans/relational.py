@@ -285,15 +285,13 @@ def _(t: Tables):
 
 
 @plan("J16_merge_shared_columns", """
-    SELECT nationkey, tag, c_custkey, s_suppkey FROM
-      (SELECT c_custkey, c_nationkey AS nationkey, c_custkey % 100 AS tag FROM customer)
-      JOIN (SELECT s_suppkey, s_nationkey AS nationkey, s_suppkey % 100 AS tag FROM supplier) USING (nationkey, tag)""")
-def _(t: Tables):
-    customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("nationkey"),
-                                  (F.col("c_custkey") % 100).alias("tag"))
-    suppliers = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nationkey"),
-                                  (F.col("s_suppkey") % 100).alias("tag"))
-    return R.merge_tables(customers, suppliers)
+    SELECT nationkey, parity, c_custkey, n_name FROM
+      (SELECT c_custkey, c_nationkey AS nationkey, c_nationkey % 2 AS parity FROM customer)
+      JOIN (SELECT n_name, n_nationkey AS nationkey, n_nationkey % 2 AS parity FROM nation) USING (nationkey, parity)""")
+def _(t: Tables):
+    customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("nationkey"), (F.col("c_nationkey") % 2).alias("parity"))
+    nations = t.nation.select("n_name", F.col("n_nationkey").alias("nationkey"), (F.col("n_nationkey") % 2).alias("parity"))
+    return R.merge_tables(customers, nations)
 
 
 @plan("J16_merge_named_key", """

@@ -272,7 +272,7 @@ def _(t: Tables):
 @plan("K04_partitioned_write", """
     SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS qty FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1""")
 def _(t: Tables):
-    path = written(t.lineitem, "parquet", "k04", partition_by=["l_returnflag"], max_records_per_file=5_000_000)
+    path = written(t.lineitem, "parquet", "k04", partition_by=["l_returnflag"], max_records_per_file=5_000_000, rebalance=True)
     return (t.spark.read.parquet(path).where("l_returnflag = 'R'").groupBy("l_returnflag")
             .agg(rows(), F.round(F.sum("l_quantity"), 2).alias("qty")))
 

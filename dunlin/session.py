@@ -7,8 +7,10 @@ is only made where that setting is absent, as in local tests.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Functions that run inside tasks import it, and executors need not have it
+    installed.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='dunlin-code-')}/dunlin", "zip", package.parent, package.name)
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(folder)

@@ -15,6 +15,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     compression: str | None = None,
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
     **options: str,
 ) -> None:
     """Write in any built-in format, optionally partitioned by columns.

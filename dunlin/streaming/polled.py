@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import io
+import sys
 import time
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -98,5 +100,8 @@ class PolledLines(DataSource):
 
 def read_polled_lines(spark: SparkSession, path: str, **options):
     """Stream of ``(file, value)`` lines from a polled folder."""
+    # The process that plans the source cannot see shipped files, so the classes
+    # of this module travel by value.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PolledLines)
     return spark.readStream.format(SOURCE_NAME).option("path", path).options(**options).load()
