@@ -1,14 +1,10 @@
 """Oracle comparison of plans and assertions on their physical form."""
 
 import os
-import sys
-from pathlib import Path
 
 import duckdb
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
-
 import __spark_entry__ as entry
 from check import TABLES, canon
 from dunlin.plans import PLANS, Tables
