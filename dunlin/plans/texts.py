@@ -94,7 +94,7 @@ def _(t: Tables):
     return E.modal_counts(_matched(t))
 
 
-def _sql_pipeline(column: str) -> str:
+def _sql_stages(column: str) -> str:
     out = column
     for pattern, to in ((E.TABLE, " "), (E.TAG, " "), (E.URL, ""), (E.FILE_NAME, " "), (E.NOT_LETTER_OR_PERIOD, " "),
                         (E.NOT_LETTER, " "), (r"\s+", " ")):
@@ -102,7 +102,7 @@ def _sql_pipeline(column: str) -> str:
     return out
 
 
-@plan("E07_saved_text_stages", f"SELECT conv_id, turn, md5({_sql_pipeline('text')}) AS digest FROM conversations WHERE trim({_sql_pipeline('text')}) <> ''")
+@plan("E07_saved_text_stages", f"SELECT conv_id, turn, md5({_sql_stages('text')}) AS digest FROM conversations WHERE trim({_sql_stages('text')}) <> ''")
 def _(t: Tables):
     path = scratch_path(t.spark, "e07")
     Pipeline(stages=text_cleaning_stages("text")).fit(t.documents).write().overwrite().save(path)
@@ -213,14 +213,14 @@ def _(t: Tables):
     return words.where(U.not_in_set(F.col("w"), _STOPS)).groupBy("lang").agg(rows())
 
 
-@plan("X08_custom_text_stages", f"SELECT page_id, md5({_sql_pipeline('html')}) AS digest FROM pages")
+@plan("X08_custom_text_stages", f"SELECT page_id, md5({_sql_stages('html')}) AS digest FROM pages")
 def _(t: Tables):
     model = Pipeline(stages=text_cleaning_stages("html")).fit(t.pages)
     return model.transform(t.pages).select("page_id", F.md5("cleaned").alias("digest"))
 
 
 @plan("X08_stages_with_tokenizer", f"""
-    SELECT page_id, CAST(len(list_filter(regexp_extract_all(lower({_sql_pipeline('html')}), '[a-z]+'), lambda w: w NOT IN ({", ".join(f"'{w}'" for w in _STOPS)}))) AS INTEGER) AS kept FROM pages""")
+    SELECT page_id, CAST(len(list_filter(regexp_extract_all(lower({_sql_stages('html')}), '[a-z]+'), lambda w: w NOT IN ({", ".join(f"'{w}'" for w in _STOPS)}))) AS INTEGER) AS kept FROM pages""")
 def _(t: Tables):
     stages = text_cleaning_stages("html") + [
         RegexTokenizer(inputCol="cleaned", outputCol="words", pattern=r"\W"),
