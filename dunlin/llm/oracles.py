@@ -51,7 +51,30 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+#: Prefix filter on the alphabetical order of words; every candidate is verified on its lists.
+OP6 = r"""
+WITH l AS (SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
+w AS (SELECT doc_id, pos, line, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS raw FROM l),
+s AS (SELECT doc_id, pos, line, list_sort(list_distinct(raw)) AS s FROM w WHERE len(raw) >= 5 AND len(list_distinct(raw)) > 1),
+f AS (SELECT line, any_value(s) AS s, min(struct_pack(d := doc_id, p := pos)) AS first FROM s GROUP BY line),
+df AS (SELECT t, count(*) AS c FROM (SELECT unnest(s) AS t FROM f) GROUP BY t),
+ft AS (SELECT first, unnest(s) AS t, len(s) AS n FROM f),
+ord AS (SELECT first, t, n, row_number() OVER (PARTITION BY first ORDER BY c, t) AS r FROM ft JOIN df USING (t)),
+pre AS (SELECT first, t, n FROM ord WHERE r <= n - ceil(n * 4 / 5.0) + 1),
+cand AS (SELECT DISTINCT a.first AS x, b.first AS y FROM pre a JOIN pre b ON a.t = b.t AND b.first < a.first AND least(a.n, b.n) * 5 >= greatest(a.n, b.n) * 4),
+sim AS (
+  SELECT DISTINCT x FROM cand JOIN f fx ON fx.first = x JOIN f fy ON fy.first = y
+  WHERE len(list_intersect(fx.s, fy.s)) * 5 >= (len(fx.s) + len(fy.s) - len(list_intersect(fx.s, fy.s))) * 4),
+gone AS (
+  SELECT s.doc_id, s.pos FROM s JOIN f USING (line) LEFT JOIN sim ON sim.x = f.first
+  WHERE sim.x IS NOT NULL OR struct_pack(d := s.doc_id, p := s.pos) <> f.first),
+g AS (SELECT doc_id, count(*) AS n, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_repetition": OP1,
     "op2_decontamination": OP2,
+    "op6_line_dedup": OP6,
 }

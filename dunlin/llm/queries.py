@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dunlin.llm import oracles
 from dunlin.llm.common import read
 from dunlin.llm.decontamination import covered, find_windows
+from dunlin.llm.linededup import line_report
 from dunlin.llm.packing import pack
 from dunlin.llm.repetition import repetition
 from dunlin.llm.simhash import near_duplicates
@@ -38,13 +39,17 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op5_simhash, op10_toxicity)
+    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op5_simhash, op6_line_dedup, op10_toxicity)
 }
 
 SQL: dict[str, str] = oracles.SQL
