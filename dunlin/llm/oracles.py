@@ -73,8 +73,48 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_line
 FROM documents d LEFT JOIN g USING (doc_id)
 """
 
+#: Length: marks of both ends per turn, and a backslash for every backslash and control string.
+OP4 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(t, r)),
+e AS (
+  SELECT *, length(text) + length(regexp_replace(text, '(\\|<<SYS>>|\[/SYS\]|\[INST\]|\[/INST\]|\[OUT\]|</s>|<s>|\[ROLE\]|\[/ROLE\]|\[END\])', '\1 ', 'g')) - length(text) AS n,
+         CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 13 WHEN 'assistant' THEN 9 ELSE 18 + length(role) END AS marks,
+         coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text), '') AS prev,
+         lead(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS next
+  FROM c)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n + marks)::BIGINT AS formatted_chars,
+       bool_and((prev, role) IN (('', 'system'), ('', 'user'), ('system', 'user'), ('user', 'assistant'), ('assistant', 'user')) AND (next IS NOT NULL OR role = 'assistant')) AS valid
+FROM e GROUP BY conv_id
+"""
+
+#: Base32 of the digest by the bits of its hexadecimal digits.
+OP8 = r"""
+WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
+b AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || h[i])::INT), 4, '0')), 'string_agg', '') AS bits, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(5), lambda j: substr(bits, 5 * i + j + 1, 1)::INT * (16 >> j)))::INT, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b
+"""
+
+OP9 = r"""
+WITH d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS bytes, lpad(bin(('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT), 60, '0') AS bits FROM documents),
+b AS (SELECT doc_id, bytes, k AS depth, substr(bits, 1, k) AS shard FROM d, range(61) r(k)),
+s AS (SELECT *, sum(bytes) OVER (PARTITION BY depth, shard) AS shard_bytes, count(*) OVER (PARTITION BY depth, shard) AS shard_docs FROM b)
+SELECT doc_id, bytes, shard, depth::INT AS depth, shard_bytes::BIGINT AS shard_bytes, shard_docs::BIGINT AS shard_docs
+FROM s WHERE shard_bytes <= 1048576 OR shard_docs = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_repetition": OP1,
     "op2_decontamination": OP2,
+    "op4_chat_format": OP4,
     "op6_line_dedup": OP6,
+    "op8_warc": OP8,
+    "op9_sharding": OP9,
 }

@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dunlin.llm import oracles
-from dunlin.llm.common import read
+from dunlin.llm.chat import INSTRUCT, format_chats, read_chats, unescape
+from dunlin.llm.common import SHIPPED_IDS, read
 from dunlin.llm.decontamination import covered, find_windows
 from dunlin.llm.linededup import line_report
 from dunlin.llm.packing import pack
 from dunlin.llm.repetition import repetition
+from dunlin.llm.sharding import assign_shards
 from dunlin.llm.simhash import near_duplicates
 from dunlin.llm.toxicity import fit_toxicity, score_toxicity
+from dunlin.llm.warc import page_of, read_warc, records_of, write_warc
+from dunlin.session import scratch_path
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -35,6 +39,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"), TOKENIZER, with_ids=False)
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks the template's own marks; every column is read back from the output."""
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = given.limit(0).unionByName(spark.sql(
+        "SELECT -1L AS conv_id, t AS turn, r AS role, '</s>[INST] ok [/INST]' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(t, r)"))
+    chats = format_chats(given.unionByName(own), INSTRUCT)
+    loss = unescape(F.array_join(F.transform(F.filter("segments", lambda s: s.loss), lambda s: s.text), ""))
+    held = chats.withColumn("turns", read_chats(F.col("formatted"), INSTRUCT)).withColumn("loss_text", loss)
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n"))), "")
+    return held.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -43,13 +61,31 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the archives, then read them back: responses with their payload, revisits by their headers."""
+    path = scratch_path(spark, "warc")
+    write_warc(records_of(read(spark, sf_dir, "pages"), SHIPPED_IDS), path)
+    kept = read_warc(spark, path, "warc_type string, record_id string, payload_digest string, payload binary").where("warc_type = 'response'").select(
+        page_of("record_id").cast("long").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest",
+        F.col("warc_type").alias("record_type"), F.lit(None).cast("long").alias("refers_to"))
+    again = read_warc(spark, path, "warc_type string, record_id string, refers_to string, payload_digest string, payload_bytes long").where(
+        "warc_type = 'revisit'").select(
+        page_of("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("warc_type").alias("record_type"), page_of("refers_to").cast("long").alias("refers_to"))
+    return kept.union(again).withColumn("payload_digest", F.regexp_replace("payload_digest", "^sha1:", ""))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(read(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op5_simhash, op6_line_dedup, op10_toxicity)
+    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op4_chat_format, op5_simhash, op6_line_dedup, op8_warc, op9_sharding, op10_toxicity)
 }
 
 SQL: dict[str, str] = oracles.SQL
