@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written apart from the operators."""
 
+from dunlin.llm.licenses import COPYRIGHT_LINE, KNOWN, SPELLINGS
+
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 #: Windows of 5 words give the base rule; windows of 10 words span the repeats of
@@ -92,6 +94,35 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM e GROUP BY conv_id
 """
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical(column: str) -> str:
+    """The canonical form of a licence text, word by word: spellings of one word are mapped in a list, then those of two."""
+    words = f"regexp_replace(lower(regexp_replace({column}, {_quoted(COPYRIGHT_LINE)}, '', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')"
+    single = [(a, b) for a, b in SPELLINGS if " " not in a]
+    table = f"MAP {{{', '.join(f'{_quoted(a)}: {_quoted(b)}' for a, b in single)}}}"
+    out = f"array_to_string(list_transform(string_split(trim({words}), ' '), lambda w: coalesce(({table})[w], w)), ' ')"
+    out = f"(' ' || replace({out}, ' ', '  ') || ' ')"
+    for a, b in SPELLINGS:
+        if " " in a:
+            out = f"replace({out}, ' {a.replace(' ', '  ')} ', ' {b.replace(' ', '  ')} ')"
+    return f"replace(trim({out}), '  ', ' ')"
+
+
+OP7 = f"""
+WITH k AS (SELECT sha256({_canonical('t')}) AS digest, min(i) AS found FROM (VALUES {', '.join(f'({_quoted(i)}, {_quoted(t)})' for i, t in KNOWN)}) v(i, t) GROUP BY 1),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, {_canonical('l')} AS c FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d)),
+n AS (SELECT doc_id, string_agg(DISTINCT found, ',' ORDER BY found) AS notices, count(*) AS n_notices FROM l JOIN k ON sha256(c) = digest WHERE c <> '' GROUP BY doc_id),
+w AS (SELECT doc_id, {_canonical('text')} AS c FROM d)
+SELECT doc_id, sha256(c) AS text_digest, CASE WHEN c <> '' THEN found END AS license_id, coalesce(notices, '') AS notices, coalesce(n_notices, 0)::BIGINT AS n_notices
+FROM w LEFT JOIN k ON sha256(c) = digest LEFT JOIN n USING (doc_id)
+"""
+
 #: Base32 of the digest by the bits of its hexadecimal digits.
 OP8 = r"""
 WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS h, strlen(coalesce(html, ''))::BIGINT AS n FROM pages),
@@ -115,6 +146,7 @@ SQL: dict[str, str] = {
     "op2_decontamination": OP2,
     "op4_chat_format": OP4,
     "op6_line_dedup": OP6,
+    "op7_license_scan": OP7,
     "op8_warc": OP8,
     "op9_sharding": OP9,
 }

@@ -12,6 +12,7 @@ from dunlin.llm import oracles
 from dunlin.llm.chat import INSTRUCT, format_chats, read_chats, unescape
 from dunlin.llm.common import SHIPPED_IDS, read
 from dunlin.llm.decontamination import covered, find_windows
+from dunlin.llm.licenses import known_digests, scan_licenses
 from dunlin.llm.linededup import line_report
 from dunlin.llm.packing import pack
 from dunlin.llm.repetition import repetition
@@ -61,6 +62,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(read(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"), known_digests(spark))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the archives, then read them back: responses with their payload, revisits by their headers."""
     path = scratch_path(spark, "warc")
@@ -85,7 +90,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op4_chat_format, op5_simhash, op6_line_dedup, op8_warc, op9_sharding, op10_toxicity)
+    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op4_chat_format, op5_simhash, op6_line_dedup, op7_license_scan, op8_warc, op9_sharding, op10_toxicity)
 }
 
 SQL: dict[str, str] = oracles.SQL
