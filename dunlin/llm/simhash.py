@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.llm.common import in_arrow, pieces, text_of
+from dunlin.llm.common import in_arrow, pieces, text_of, without_ids
 from dunlin.session import discard, materialize, ship_code
 
 SEED = 42
@@ -67,6 +67,11 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
     return in_arrow(source, mark, f"doc_id {dict(source.dtypes)['doc_id']}, fingerprint long")
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances; signed longs are counted by their bits, not by their absolute values."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)
+
+
 class BKForest:
     """BK-trees over distinct 64-bit values, one per shard, built and searched level by level."""
 
@@ -83,7 +88,7 @@ class BKForest:
         # Of all values that come down to a node, the first at each distance
         # becomes its child and the others go on below that child.
         while len(left):
-            distance = np.bitwise_count(self.values[left] ^ self.values[under]).astype(np.int64)
+            distance = differing(self.values[left], self.values[under])
             by = np.lexsort((left, distance, under))
             left, under, distance = left[by], under[by], distance[by]
             first = np.r_[True, (under[1:] != under[:-1]) | (distance[1:] != distance[:-1])]
@@ -106,7 +111,7 @@ class BKForest:
             query = known[at: at + width]
             node = self.roots[tree[query]]
             while len(node):
-                distance = np.bitwise_count(queries[query] ^ self.values[node]).astype(np.int64)
+                distance = differing(queries[query], self.values[node])
                 hit = distance <= radius
                 yield query[hit], self.values[node[hit]]
                 number = self.offsets[node + 1] - self.offsets[node]

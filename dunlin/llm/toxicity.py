@@ -1,12 +1,13 @@
 """Toxicity grades by cumulative-link (ordinal logistic) regression.
 
 P(grade > k) = sigmoid(w.x - cut_k): one weight vector is shared by all ordered
-cut points.  The features are hashed lower-case words, 1 + log(count) each.
-Only slots whose share of documents differs clearly between toxic and other
-labelled rows get a weight, so chance words of few rows carry none.
+cut points.  The features are hashed lower-case words and their beginnings of
+four to seven letters (inflected forms share these), 1 + log(count) each.  Only
+slots whose share of documents differs clearly between toxic and other labelled
+rows get a weight, so chance words of few rows carry none.
 
 The labels table has no grades; they are ordered from its two columns: 0 = not
-toxic, 1 = toxic in a text of good quality, 2 = toxic in a text of bad quality.
+toxic and of good quality, 1 = not toxic but of bad quality, 2 = toxic.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,34 +28,36 @@ from dunlin.llm.common import in_arrow, pieces, text_of
 
 #: Labelled rows that a model is fitted on at most: the documented bound of the sample.
 FIT_ROWS = 20_000
-FEATURE_BITS = 18
+FEATURE_BITS = 20
 #: Standard errors by which a slot's share has to differ, and slots kept at most.
 CLEAR, SLOTS = 5.0, 1024
 GRADES = 3
 WORD = re.compile(r"[^\W\d_]+")
+#: Lengths of the beginnings of longer words that are features.
+HEADS = (4, 5, 6, 7)
 #: Words whose slot a task keeps.
 KEPT_WORDS = 400_000
 
 
 class Slots(dict):
-    """The place of a word's slot among those wanted, or -1; a bounded table of words met."""
+    """The places of a word's slots among those wanted; a bounded table of words met."""
 
     def __init__(self, wanted: np.ndarray | None, bits: int):
         super().__init__()
         self.bits = bits
         self.places = None if wanted is None else {int(s): i for i, s in enumerate(wanted)}
 
-    def __missing__(self, word: str) -> int:
-        slot = zlib.crc32(word.encode("utf-8", "surrogatepass")) & ((1 << self.bits) - 1)
-        place = slot if self.places is None else self.places.get(slot, -1)
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        # A beginning is told from a word of the same letters by its hyphen.
+        parts = [word, *(word[:n] + "-" for n in HEADS if len(word) > n)]
+        slots = {zlib.crc32(p.encode("utf-8", "surrogatepass")) & ((1 << self.bits) - 1) for p in parts}
+        places = tuple(sorted(slots)) if self.places is None else tuple(self.places[s] for s in sorted(slots) if s in self.places)
         if len(self) < KEPT_WORDS:
-            self[word] = place
-        return place
+            self[word] = places
+        return places
 
     def counts(self, text: str | None) -> Counter:
-        found = Counter(map(self.__getitem__, WORD.findall((text or "").lower())))
-        found.pop(-1, None)
-        return found
+        return Counter(chain.from_iterable(map(self.__getitem__, WORD.findall((text or "").lower()))))
 
 
 def amount(n: np.ndarray) -> np.ndarray:
@@ -62,7 +66,7 @@ def amount(n: np.ndarray) -> np.ndarray:
 
 def grade_of(quality: str = "quality", toxic: str = "toxic") -> Column:
     """0, 1 or 2; null where ``toxic`` is null."""
-    return F.when(F.col(toxic) == 0, 0).when(F.col(toxic) == 1, F.when(F.col(quality) == 0, 2).otherwise(1))
+    return F.when(F.col(toxic) == 1, GRADES - 1).when(F.col(toxic) == 0, F.when(F.col(quality) == 0, 1).otherwise(0))
 
 
 @dataclass
@@ -79,39 +83,51 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(np.clip(self.cuts[None, :] - score[:, None], -60, 60)))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, penalty: float = 1e-3, rounds: int = 600) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and cut points by gradient steps with adaptive rates on the cumulative log likelihood.
+def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, penalty: float = 0.1, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered cut points by Fisher scoring on the log likelihood less ``penalty / 2 * |weights|^2``.
 
-    Cut points are kept ordered: the first is free, the others are sums of
-    positive gaps.
+    A step is halved until the likelihood grows; cut points out of order have none.
     """
     n, m = x.shape
-    weights = np.zeros(m)
-    share = np.clip([(grade > k).mean() for k in range(grades - 1)], 1e-3, 1 - 1e-3)
-    cuts = -np.log(share / (1 - share))
-    gaps = np.log(np.maximum(np.diff(cuts), 1e-2))
-    first = cuts[0]
-    state = np.zeros(m + grades - 1)
+    row, inner = np.arange(n), range(1, grades)
+    share = np.clip([(grade > k).mean() for k in range(grades - 1)], 1e-4, 1 - 1e-4)
+    cuts = -np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1)
+    state = np.r_[np.zeros(m), cuts]
+
+    def chances(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P(grade >= k) with both ends, and the chance of each grade."""
+        above = 1.0 / (1.0 + np.exp(-np.clip((x @ at[:m])[:, None] - at[m:][None, :], -40, 40)))
+        above = np.c_[np.ones(n), above, np.zeros(n)]
+        return above, above[:, :-1] - above[:, 1:]
+
+    def value(at: np.ndarray) -> float:
+        if (np.diff(at[m:]) <= 0).any():
+            return -np.inf
+        return np.log(np.maximum(chances(at)[1][row, grade], 1e-15)).sum() - penalty / 2 * at[:m] @ at[:m]
+
+    best = value(state)
     for _ in range(rounds):
-        cuts = first + np.r_[0.0, np.cumsum(np.exp(gaps))]
-        score = x @ weights
-        bounds = np.c_[np.full(n, np.inf), score[:, None] - cuts[None, :], np.full(n, -np.inf)]
-        upper = 1.0 / (1.0 + np.exp(-np.clip(bounds, -40, 40)))
-        upper[:, 0], upper[:, -1] = 1.0, 0.0
-        slope = upper * (1 - upper)
-        row = np.arange(n)
-        chance = np.maximum(upper[row, grade] - upper[row, grade + 1], 1e-12)
-        lead, trail = slope[row, grade] / chance, slope[row, grade + 1] / chance
-        by_score = lead - trail
-        by_cut = np.array([(np.where(grade + 1 == k, trail, 0) - np.where(grade == k, lead, 0)).sum() for k in range(1, grades)]) / n
-        tail = np.cumsum(by_cut[::-1])[::-1]
-        step = np.r_[x.T @ by_score / n - penalty * weights, tail[0], tail[1:] * np.exp(gaps)]
-        state += step * step
-        move = 0.3 * step / np.sqrt(state + 1e-12)
-        weights += move[:m]
-        first += move[m]
-        gaps += move[m + 1:]
-    return weights, first + np.r_[0.0, np.cumsum(np.exp(gaps))]
+        above, p = chances(state)
+        p = np.maximum(p, 1e-12)
+        slope = above * (1 - above)
+        turn = slope[:, :-1] - slope[:, 1:]
+        step = np.zeros((n, grades - 1, grades))
+        for k in inner:
+            step[:, k - 1, k], step[:, k - 1, k - 1] = -slope[:, k], slope[:, k]
+        gradient = np.r_[x.T @ (turn / p)[row, grade] - penalty * state[:m], (step / p[:, None, :])[row, :, grade].sum(axis=0)]
+        across = np.einsum("ij,ikj->ik", turn / p, step)
+        info = np.zeros((m + grades - 1,) * 2)
+        info[:m, :m] = x.T @ (x * (turn * turn / p).sum(axis=1)[:, None]) + penalty * np.eye(m)
+        info[:m, m:] = x.T @ across
+        info[m:, :m] = info[:m, m:].T
+        info[m:, m:] = np.einsum("ikj,ilj->kl", step / p[:, None, :], step) + 1e-6 * np.eye(grades - 1)
+        move = np.linalg.solve(info, gradient)
+        while (now := value(state + move)) < best and np.abs(move).max() > 1e-7:
+            move /= 2
+        if now - best < 1e-4:
+            break
+        state, best = state + move, now
+    return state[:m], state[m:]
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits: int = FEATURE_BITS,
@@ -119,8 +135,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits:
     """Fit on at most ``rows`` labelled documents, chosen by the hash of their ids.
 
     A document with several labels takes the highest grade; labels without a
-    grade or a document, and null ids, are left out.  With no labelled toxic row
-    the model has no weights and rejects nothing.
+    grade or a document, and null ids, are left out.  With labelled toxic rows
+    alone, or none, the model has no weights and rejects nothing.
     """
     graded = (labels.select(F.col("doc_id").alias("label_id"), grade_of().alias("grade"))
               .where("grade IS NOT NULL AND label_id IS NOT NULL").groupBy("label_id").agg(F.max("grade").alias("grade")))
@@ -144,9 +160,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits:
     slot = lists.flatten().to_numpy().astype(np.int64) if len(grade) else np.empty(0, np.int64)
     number = held.column("counts").combine_chunks().flatten().to_numpy() if len(grade) else np.empty(0)
     row = np.repeat(np.arange(len(grade)), sizes)
-    toxic = grade > 0
+    toxic = grade == GRADES - 1
     if not toxic.any() or toxic.all():
-        return OrdinalModel(np.empty(0, np.int64), np.empty(0), np.array([50.0, 51.0]) if not toxic.any() else np.array([-50.0, 50.0]), bits)
+        return OrdinalModel(np.empty(0, np.int64), np.empty(0), np.array([49.0, 50.0]), bits)
     with_toxic = np.bincount(slot[toxic[row]], minlength=1 << bits)
     with_other = np.bincount(slot[~toxic[row]], minlength=1 << bits)
     a, b = toxic.sum(), (~toxic).sum()
@@ -170,7 +186,7 @@ SCORES = "toxic_chance double, expected_severity double, severity int"
 def score_toxicity(docs: DataFrame, model: OrdinalModel, limit: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, toxic_chance, expected_severity, severity, toxic, kept`` of every row.
 
-    ``toxic_chance`` is P(grade > 0), ``expected_severity`` the mean grade,
+    ``toxic_chance`` is that of the highest grade, ``expected_severity`` the mean grade,
     ``severity`` the likeliest grade; a document is toxic, and not kept, from a
     chance of ``limit`` on.  Null and empty texts have no features and take the
     base chance.  Repeated rows are scored alike, other columns ignored, and an
@@ -186,7 +202,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel, limit: float = 0.5, doc
             above = model.above(points)
             chances = np.c_[np.ones(len(points)), above] - np.c_[above, np.zeros(len(points))]
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(chances.argmax(axis=1).astype(np.int32))],
+                [piece.column("doc_id"), pa.array(above[:, -1]), pa.array(above.sum(axis=1)), pa.array(chances.argmax(axis=1).astype(np.int32))],
                 ["doc_id", "toxic_chance", "expected_severity", "severity"])
 
     scored = in_arrow(source, score, f"doc_id {dict(source.dtypes)['doc_id']}, {SCORES}")
@@ -203,6 +219,6 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, limit: float = 0.5, text: s
         table = Slots(model.slots, model.bits)
         points = np.array([sum(model.weights[s] * amount(n) for s, n in table.counts(t).items()) for t in batch.column(at).to_pylist()], float)
         if len(points):
-            yield batch.filter(pa.array(model.above(points)[:, 0] < limit))
+            yield batch.filter(pa.array(model.above(points)[:, -1] < limit))
 
     return in_arrow(plain, keep, plain.schema).toDF(*docs.columns)

@@ -93,7 +93,7 @@ class WarcWriter(DataSourceArrowWriter):
                                 out.close()
                                 files[-1][1] = size
                             files.append([f"{uuid.uuid4().hex}.warc" + ".gz" * self.gzip, 0])
-                            out, size = store.open_output_stream(f"{root}/{files[-1][0]}"), 0
+                            out, size = store.open_output_stream(f"{root}/{files[-1][0]}", compression=None), 0
                         data = self.record(row)
                         out.write(data)
                         size += len(data)
