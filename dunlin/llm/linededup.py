@@ -6,7 +6,7 @@ m words with a Jaccard similarity of t or more share a word among the first
 n - ceil(t n) + 1 and m - ceil(t m) + 1 of that order (prefix filter); the places
 of the first shared word, the sizes and a 64-bit parity map of each set bound
 their overlap from above (positional, length and bitmap filter).  What passes
-is verified on the words themselves.
+is verified on the 64-bit hashes of all words of both lines.
 
 Equal lines are folded first, by their hash, so copies never meet each other.
 Variants of one line are settled next: sets that agree in two of their four
@@ -64,18 +64,21 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     over 64 bits) and ``ends`` (the two lowest and two highest word hashes).
     """
     rank = materialize(_frequencies(docs), "ranks")
-    words = _lines(docs).withColumn("words", _words(F.col("line"))).where(F.size("words") >= min_words)
-    hashed = words.select("doc_id", "pos", "k1", "k2", F.expr("sort_array(array_distinct(transform(words, w -> xxhash64(w))))").alias("h"),
-                          rank.scalar().alias("rank"))
+    # Told by one pattern: a filter on the split words would split them twice.
+    enough = F.col("line").rlike(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1))
+    lines = _lines(docs).where(enough).withColumn("words", _words(F.col("line"))).withColumn("rank", rank.scalar())
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
-    ranked = f"transform(h, x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1}))"
-    ordered = hashed.select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({ranked})").alias("ranked"))
+    # The table is used once, so that it is read in place and never copied into rows.
+    ranked = (f"sort_array(transform(array_distinct(transform(words, w -> xxhash64(w))), "
+              f"x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1})))")
+    ordered = lines.select("doc_id", "pos", "k1", "k2", F.expr(ranked).alias("ranked"))
+    hashed = ordered.withColumn("h", F.expr(f"sort_array(transform(ranked, x -> x & {(1 << _HASH_BITS) - 1}))"))
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
         F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"),
-        F.expr("array(h[0], h[1], h[size(h) - 2], h[size(h) - 1])").alias("ends"),
+        F.expr("array(get(h, 0), get(h, 1), get(h, size(h) - 2), get(h, size(h) - 1))").alias("ends"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    return ordered.where("size(h) > 1").groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*")
+    return hashed.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where("n > 1")
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
@@ -122,7 +125,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
     if ids.count() <= SHIPPED_IDS:
         ids = F.broadcast(ids)
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    words = lines.join(ids, (F.col("doc_id") == F.col("ad")) & (F.col("pos") == F.col("ap"))).select("ad", "ap", F.array_distinct(_words(F.col("line"))).alias("w"))
+    asked = lines.join(ids, (F.col("doc_id") == F.col("ad")) & (F.col("pos") == F.col("ap"))).withColumn("words", _words(F.col("line")))
+    words = asked.select("ad", "ap", F.expr("array_distinct(transform(words, w -> xxhash64(w)))").alias("w"))
     words = materialize(words, "asked-words")
     x = words.toDF("xd", "xp", "xw")
     y = words.toDF("yd", "yp", "yw")
