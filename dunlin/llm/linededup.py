@@ -33,8 +33,8 @@ SIMILARITY = 0.8
 MIN_WORDS = 5
 #: Buckets of the table of word frequencies are 2 to this power; its size does not depend on the data.
 RANK_BITS = 20
-BLANKS = " \t\n\x0b\x0c\r"
-BREAK = r"[\x20\x09-\x0D]+"
+#: White space inside a line, beside the space.
+BLANKS = "\t\x0b\x0c\r"
 _HASH_BITS = 46
 
 
@@ -45,12 +45,18 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.trim(line, F.lit(BLANKS)), BREAK)
+    # Splitting at one plain character needs no pattern.
+    for blank in BLANKS:
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
 
 
 def _frequencies(docs: DataFrame) -> DataFrame:
-    """One row, ``rank``: for every bucket 1024 log2 of one more than its words in all documents."""
-    words = docs.select(F.explode(F.split("text", BREAK)).alias("w"))
+    """One row, ``rank``: for every bucket 1024 log2 of one more than its words in all documents.
+
+    Words are cut at spaces alone here: any table gives a valid order.
+    """
+    words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << RANK_BITS) - 1).alias("id")).count()
     ranked = counts.select("id", (F.log2(F.col("count") + 1) * 1024).cast("int").alias("r"))
     full = docs.sparkSession.range(1 << RANK_BITS).join(ranked, "id", "left").select("id", F.coalesce("r", F.lit(0)).alias("r"))
@@ -66,19 +72,20 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     rank = materialize(_frequencies(docs), "ranks")
     # Told by one pattern: a filter on the split words would split them twice.
     enough = F.col("line").rlike(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1))
-    lines = _lines(docs).where(enough).withColumn("words", _words(F.col("line"))).withColumn("rank", rank.scalar())
+    words = _lines(docs).where(enough).withColumn("words", _words(F.col("line")))
+    # The generator keeps the optimizer from computing the hashes again wherever they are used.
+    hashes = F.expr("array(sort_array(array_distinct(transform(words, w -> xxhash64(w)))))")
+    hashed = words.select("doc_id", "pos", "k1", "k2", F.explode(hashes).alias("h"))
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
     # The table is used once, so that it is read in place and never copied into rows.
-    ranked = (f"sort_array(transform(array_distinct(transform(words, w -> xxhash64(w))), "
-              f"x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1})))")
-    ordered = lines.select("doc_id", "pos", "k1", "k2", F.expr(ranked).alias("ranked"))
-    hashed = ordered.withColumn("h", F.expr(f"sort_array(transform(ranked, x -> x & {(1 << _HASH_BITS) - 1}))"))
+    packed = f"transform(h, x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1}))"
+    ordered = hashed.withColumn("rank", rank.scalar()).select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({packed})").alias("ranked"))
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
         F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"),
         F.expr("array(get(h, 0), get(h, 1), get(h, size(h) - 2), get(h, size(h) - 1))").alias("ends"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    return hashed.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where("n > 1")
+    return ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where("n > 1")
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
@@ -109,12 +116,13 @@ def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame
     n = lambda s: f"int(shiftright({s}.m, 32))"
     i = lambda s: f"int(shiftright({s}.m & {(1 << 32) - 1}L, 1))"
     need = f"((({n('x')} + {n('y')}) * {t.numerator}L + {t.denominator + t.numerator - 1}L) div {t.denominator + t.numerator})"
-    # The flag is tested together with the other side, so that both sides stay one exchange.
+    # Cheap tests first; the flag is tested together with the other side, so that both sides stay one exchange.
     near = " AND ".join([
-        "x.word = y.word", "(y.doc_id, y.pos) < (x.doc_id, x.pos)", "(x.m & 1) * y.m > 0",
+        "x.word = y.word", "(x.m & 1) * y.m > 0",
         f"least({n('x')}, {n('y')}) * {t.denominator}L >= greatest({n('x')}, {n('y')}) * {t.numerator}L",
+        f"bit_count(x.map ^ y.map) <= {n('x')} + {n('y')} - 2 * {need}",
         f"1 + least({n('x')} - {i('x')} - 1, {n('y')} - {i('y')} - 1) >= {need}",
-        f"bit_count(x.map ^ y.map) <= {n('x')} + {n('y')} - 2 * {need}"])
+        "(y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.pos < x.pos)"])
     return x.join(y, F.expr(near)).select(
         F.col("x.doc_id").alias("xd"), F.col("x.pos").alias("xp"), F.col("y.doc_id").alias("yd"), F.col("y.pos").alias("yp")).distinct()
 
