@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -51,8 +52,11 @@ def pieces(batch: pa.RecordBatch, column: str, characters: int = 2_000_000) -> I
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished jobs before the next large one starts."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # The second round finds what the first one only marked.
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -73,9 +73,9 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     # Told by one pattern: a filter on the split words would split them twice.
     enough = F.col("line").rlike(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1))
     words = _lines(docs).where(enough).withColumn("words", _words(F.col("line")))
+    hashes = words.select("doc_id", "pos", "k1", "k2", F.expr("sort_array(array_distinct(transform(words, w -> xxhash64(w))))").alias("own"))
     # The generator keeps the optimizer from computing the hashes again wherever they are used.
-    hashes = F.expr("array(sort_array(array_distinct(transform(words, w -> xxhash64(w)))))")
-    hashed = words.select("doc_id", "pos", "k1", "k2", F.explode(hashes).alias("h"))
+    hashed = hashes.select("doc_id", "pos", "k1", "k2", F.explode(F.array("own")).alias("h"))
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
     # The table is used once, so that it is read in place and never copied into rows.
     packed = f"transform(h, x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1}))"

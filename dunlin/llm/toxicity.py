@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.common import in_arrow, pieces, text_of
+from dunlin.session import materialize
 
 #: Labelled rows that a model is fitted on at most: the documented bound of the sample.
 FIT_ROWS = 20_000
@@ -143,43 +144,56 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits:
     sample = graded.orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
     labelled = text_of(docs, doc_id, text).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("label_id", "grade", "text")
 
+    chosen = _clear_slots(labelled, bits)
+    kind = dict(labelled.dtypes)["label_id"]
+
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        table = Slots(None, bits)
+        table = Slots(chosen, bits)
         for piece in pieces(batch, "text"):
             found = [table.counts(t) for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("label_id"), piece.column("grade").cast(pa.int32()),
                  pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
-                ["label_id", "grade", "slots", "counts"])
+                ["label_id", "grade", "places", "counts"])
 
-    held = in_arrow(labelled, count, f"label_id {dict(labelled.dtypes)['label_id']}, grade int, slots array<int>, counts array<int>").toArrow()
-    held = held.sort_by("label_id").combine_chunks()
+    # At most ``rows`` short lists: only places of the chosen slots.
+    held = in_arrow(labelled, count, f"label_id {kind}, grade int, places array<int>, counts array<int>").toArrow().sort_by("label_id").combine_chunks()
     grade = held.column("grade").to_numpy().astype(np.int64)
-    lists = held.column("slots").combine_chunks()
-    sizes = np.diff(lists.offsets.to_numpy()) if len(grade) else np.empty(0, np.int64)
-    slot = lists.flatten().to_numpy().astype(np.int64) if len(grade) else np.empty(0, np.int64)
-    number = held.column("counts").combine_chunks().flatten().to_numpy() if len(grade) else np.empty(0)
-    row = np.repeat(np.arange(len(grade)), sizes)
     toxic = grade == GRADES - 1
     if not toxic.any() or toxic.all():
         return OrdinalModel(np.empty(0, np.int64), np.empty(0), np.array([49.0, 50.0]), bits)
-    with_toxic = np.bincount(slot[toxic[row]], minlength=1 << bits)
-    with_other = np.bincount(slot[~toxic[row]], minlength=1 << bits)
-    a, b = toxic.sum(), (~toxic).sum()
-    share = (with_toxic + with_other) / (a + b)
-    clear = np.abs(with_toxic / a - with_other / b) / np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / a + 1 / b))
-    clear[with_toxic + with_other < 5] = 0
-    chosen = np.sort(np.argsort(-clear, kind="stable")[:SLOTS])
-    chosen = chosen[clear[chosen] >= CLEAR]
-    place = np.full(1 << bits, -1)
-    place[chosen] = np.arange(len(chosen))
-    known = place[slot] >= 0
-    x = np.zeros((len(grade), len(chosen)))
-    x[row[known], place[slot[known]]] = amount(number[known])
+    x = np.zeros((len(grade), len(chosen)), np.float32)
+    for row, (places, counts) in enumerate(zip(held.column("places").to_pylist(), held.column("counts").to_pylist())):
+        x[row, places] = amount(np.array(counts, float))
     weights, cuts = fit_ordinal(x, grade)
     return OrdinalModel(chosen, weights, cuts, bits)
 
 
+def _clear_slots(labelled: DataFrame, bits: int) -> np.ndarray:
+    """Slots whose share of documents differs by ``CLEAR`` standard errors, at most ``SLOTS`` of them; counted in Spark."""
+
+    def tally(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        table = Slots(None, bits)
+        sums: dict[int, list[int]] = {}
+        for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
+            # Slot -1 counts the documents themselves.
+            for slot in (-1, *table.counts(text)):
+                sums.setdefault(slot, [0, 0])[int(grade == GRADES - 1)] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), *(pa.array([v[k] for v in sums.values()], pa.int64()) for k in (1, 0))], ["slot", "toxic", "other"])
+
+    tallied = in_arrow(labelled, tally, "slot long, toxic long, other long").groupBy("slot").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
+    tallied = materialize(tallied, "slots")
+    total = tallied.where("slot = -1").first()
+    if total is None or not total["t"] or not total["o"]:
+        return np.empty(0, np.int64)
+    a, b = float(total["t"]), float(total["o"])
+    share = (F.col("t") + F.col("o")) / (a + b)
+    clear = F.abs(F.col("t") / a - F.col("o") / b) / F.sqrt(F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / a + 1 / b))
+    best = tallied.where("slot >= 0 AND t + o >= 5").withColumn("z", clear).where(F.col("z") >= CLEAR).orderBy(F.desc("z"), "slot").limit(SLOTS)
+    return np.sort(np.array([r["slot"] for r in best.select("slot").collect()], np.int64))
+
+
 SCORES = "toxic_chance double, expected_severity double, severity int"
 
 
