@@ -45,21 +45,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    # Splitting at one plain character needs no pattern.
-    for blank in BLANKS:
-        line = F.replace(line, F.lit(blank), F.lit(" "))
-    return F.array_remove(F.split(line, " "), "")
+    # Splitting at one plain character needs no pattern; few lines hold other white space or runs of it.
+    rare = line.rlike(rf"[{BLANKS}]|  |^ | $")
+    return F.when(rare, F.array_remove(F.split(line, rf"[ {BLANKS}]+"), "")).otherwise(F.split(line, " "))
 
 
 def _frequencies(docs: DataFrame) -> DataFrame:
-    """One row, ``rank``: for every bucket 1024 log2 of one more than its words in all documents.
+    """One row, ``rank``: for every bucket 1024 log2 of one more than its words in all documents, above the bits of a hash.
 
     Words are cut at spaces alone here: any table gives a valid order.
     """
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << RANK_BITS) - 1).alias("id")).count()
-    ranked = counts.select("id", (F.log2(F.col("count") + 1) * 1024).cast("int").alias("r"))
-    full = docs.sparkSession.range(1 << RANK_BITS).join(ranked, "id", "left").select("id", F.coalesce("r", F.lit(0)).alias("r"))
+    ranked = counts.select("id", F.shiftleft((F.log2(F.col("count") + 1) * 1024).cast("long"), _HASH_BITS).alias("r"))
+    full = docs.sparkSession.range(1 << RANK_BITS).join(ranked, "id", "left").select("id", F.coalesce("r", F.lit(0).cast("long")).alias("r"))
     return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda s: s.r).alias("rank"))
 
 
@@ -78,7 +77,7 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     hashed = hashes.select("doc_id", "pos", "k1", "k2", F.explode(F.array("own")).alias("h"))
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
     # The table is used once, so that it is read in place and never copied into rows.
-    packed = f"transform(h, x -> shiftleft(bigint(get(rank, int(x & {(1 << RANK_BITS) - 1}))), {_HASH_BITS}) | (x & {(1 << _HASH_BITS) - 1}))"
+    packed = f"transform(h, x -> get(rank, int(x & {(1 << RANK_BITS) - 1})) | (x & {(1 << _HASH_BITS) - 1}))"
     ordered = hashed.withColumn("rank", rank.scalar()).select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({packed})").alias("ranked"))
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
