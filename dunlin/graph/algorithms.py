@@ -7,6 +7,7 @@ decides whether to go on; the state itself never reaches the driver.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -20,26 +21,29 @@ def pagerank(
     graph: Graph,
     reset: float = 0.15,
     tolerance: float | None = 0.01,
-    iterations: int = 100,
+    iterations: int | None = None,
     normalize: bool = False,
     rounds_per_cut: int = 3,
 ) -> DataFrame:
     """``r = reset + (1 - reset) * sum(r_src / outdegree)``, starting from one.
 
-    Stops when no rank moves by ``tolerance`` or more, or after ``iterations``
-    rounds.  ``normalize`` scales the ranks so that they sum to the number of
+    Stops when no rank moves by ``tolerance`` or more, however many rounds that
+    takes; if ``iterations`` are stated and end sooner, that is an error.
+    Without a tolerance exactly ``iterations`` rounds are done.  ``normalize`` scales the ranks so that they sum to the number of
     vertices, which matters when some vertices have no outgoing edge.
 
     Every vertex also has an arc to itself without weight, which carries the
     reset share and the old rank.  So a round reads the ranks once: one join,
     one aggregation.  Without a tolerance several rounds share one cut.
     """
+    if tolerance is None and iterations is None:
+        raise ValueError("state a tolerance or a number of iterations")
     share = graph.out_degrees().select(F.col("id").alias("src"), ((1 - reset) / F.col("out_degree")).alias("w"))
     own = graph.vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
     arcs = materialize(graph.edges.select("src", "dst").join(share, "src").unionByName(own), "arcs")
     ranks = graph.vertices.select("id", F.lit(1.0).alias("rank"))
     stored = None
-    for done in range(1, iterations + 1):
+    for done in itertools.count(1):
         kept = F.col("w").isNull()
         step = (arcs.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
                 .groupBy(F.col("dst").alias("id"))
@@ -56,6 +60,10 @@ def pagerank(
             moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
             if moved is None or moved < tolerance:
                 break
+            if done == iterations:
+                raise RuntimeError(f"ranks still move by {moved} after {done} rounds")
+        elif done >= iterations:
+            break
     result = ranks.select("id", F.col("rank").alias("pagerank"))
     if normalize:
         scale = result.agg(F.count(F.lit(1)) / F.sum("pagerank")).scalar()
@@ -111,6 +119,19 @@ def _spread_smallest(arcs: DataFrame, state: DataFrame) -> DataFrame:
             return state.select("id", "colour")
 
 
+def _replace(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Store the next state of a loop and free the one it was made from."""
+    stored = materialize(new, "state")
+    discard(old)
+    return stored
+
+
+def _between(arcs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Arcs whose ends are both among ``ids``."""
+    return (arcs.join(ids, F.col("src") == F.col("id"), "left_semi")
+            .join(ids, F.col("dst") == F.col("id"), "left_semi"))
+
+
 def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -> DataFrame:
     """``(id, component)`` with the smallest vertex id as component.
 
@@ -129,11 +150,12 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
         while True:
             both = arcs.select("src").intersect(arcs.select("dst")).select(F.col("src").alias("id"))
             kept = materialize(left.join(both, "id", "left_semi"), "left")
-            if kept.count() == left.count():
-                break
+            settled = kept.count() == left.count()
+            discard(left)
             left = kept
-            arcs = materialize(arcs.join(kept, F.col("src") == F.col("id"), "left_semi")
-                               .join(kept, F.col("dst") == F.col("id"), "left_semi"), "arcs")
+            if settled:
+                break
+            arcs = _replace(arcs, _between(arcs, kept))
         if left.limit(1).count() == 0:
             break
         colours = _spread_smallest(arcs.select(F.col("src").alias("from"), F.col("dst").alias("to")),
@@ -147,9 +169,11 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
         found = materialize(colours.join(reached, "id", "left_semi")
                             .select("id", F.col("colour").alias("component")), "component")
         done.append(found)
-        left = materialize(left.join(found, "id", "left_anti"), "left")
-        arcs = materialize(arcs.join(left, F.col("src") == F.col("id"), "left_semi")
-                           .join(left, F.col("dst") == F.col("id"), "left_semi"), "arcs")
+        discard(inner)
+        discard(colours)
+        left = _replace(left, left.join(found, "id", "left_anti"))
+        arcs = _replace(arcs, _between(arcs, left))
+    discard(arcs)
     if not done:
         return ids.select("id", F.col("id").alias("component"))
     members = done[0]
@@ -189,29 +213,16 @@ def shortest_paths(graph: Graph, landmarks: Sequence, max_hops: int | None = Non
     return ids.join(maps, "id", "left").select("id", F.coalesce("distances", empty).alias("distances"))
 
 
-def bfs(
-    graph: Graph,
-    start: Column | str,
-    goal: Column | str,
-    edge_filter: Column | str | None = None,
-    max_length: int = 10,
-) -> DataFrame:
-    """All shortest paths from vertices matching ``start`` to ones matching ``goal``.
-
-    Columns are ``from, e0, v1, e1, …, to`` as structs.  A vertex that matches
-    both gives a path of length zero.  Distances are found level by level
-    first; paths are only put together from vertices that lie on one.
-    """
+def _shortest_steps(
+    graph: Graph, start: Column | str, goal: Column | str, edge_filter: Column | str | None, max_length: int
+) -> tuple[int | None, list[DataFrame], DataFrame]:
+    """Length of the shortest path between the two sets, its edges by depth, and the ids that match both sets, or that start such a path."""
     edges = graph.edges.where(edge_filter) if edge_filter is not None else graph.edges
-    vertex = F.struct(*graph.vertices.columns)
-    spark = graph.vertices.sparkSession
-    sources, targets = graph.vertices.where(start).select("id"), graph.vertices.where(goal).select("id")
-    levels = [materialize(sources, "level")]
-    goals = materialize(targets, "goals")
+    levels = [materialize(graph.vertices.where(start).select("id"), "level")]
+    goals = materialize(graph.vertices.where(goal).select("id"), "goals")
     length = None
     for depth in range(max_length + 1):
-        hit = levels[depth].join(goals, "id", "left_semi")
-        if hit.limit(1).count():
+        if not levels[depth].join(goals, "id", "left_semi").isEmpty():
             length = depth
             break
         if depth == max_length:
@@ -221,15 +232,11 @@ def bfs(
         for level in levels:
             reached = reached.join(level, "id", "left_anti")
         levels.append(materialize(reached, "level"))
-        if levels[-1].limit(1).count() == 0:
+        if levels[-1].isEmpty():
             break
-    if length is None:
-        empty = graph.vertices.limit(0).select(vertex.alias("from"), vertex.alias("to"))
-        return empty
-    if length == 0:
-        both = graph.vertices.join(levels[0].join(goals, "id", "left_semi"), "id", "left_semi")
-        return both.select(vertex.alias("from"), vertex.alias("to"))
-    # Walk back from the goals so that only vertices on a shortest path stay.
+    if not length:
+        return length, [], levels[0].join(goals, "id", "left_semi")
+    # Walk back from the goals so that only edges on a shortest path stay.
     steps, keep = [], levels[length].join(goals, "id", "left_semi")
     for depth in range(length - 1, -1, -1):
         step = materialize(
@@ -237,6 +244,52 @@ def bfs(
             .join(levels[depth], F.col("src") == F.col("id"), "left_semi"), "step")
         steps.insert(0, step)
         keep = step.select(F.col("src").alias("id")).distinct()
+    return length, steps, keep
+
+
+def bfs_path_counts(
+    graph: Graph,
+    start: Column | str,
+    goal: Column | str,
+    edge_filter: Column | str | None = None,
+    max_length: int = 10,
+) -> DataFrame:
+    """``(from, to, hops, paths)``: how many shortest paths join each pair, without listing them.
+
+    Counts are carried level by level per start and vertex, so their number is
+    bounded by the pairs, not by the paths.
+    """
+    length, steps, keep = _shortest_steps(graph, start, goal, edge_filter, max_length)
+    if length is None:
+        keep = keep.limit(0)
+    counts = keep.select(F.col("id").alias("from"), F.col("id").alias("to"), F.lit(1).cast("long").alias("paths"))
+    for step in steps:
+        at = counts.withColumnRenamed("to", "src")
+        counts = (step.select("src", "dst").join(at, "src").groupBy("from", F.col("dst").alias("to"))
+                  .agg(F.sum("paths").alias("paths")))
+    return counts.select("from", "to", F.lit(length or 0).alias("hops"), "paths")
+
+
+def bfs(
+    graph: Graph,
+    start: Column | str,
+    goal: Column | str,
+    edge_filter: Column | str | None = None,
+    max_length: int = 10,
+) -> DataFrame:
+    """All shortest paths from vertices matching ``start`` to ones matching ``goal``.
+
+    Columns are ``from, e0, v1, e1, …, to`` as structs.  A vertex that matches
+    both gives a path of length zero.  Distances are found level by level
+    first; paths are only put together from vertices that lie on one.
+    """
+    vertex = F.struct(*graph.vertices.columns)
+    length, steps, keep = _shortest_steps(graph, start, goal, edge_filter, max_length)
+    if length is None:
+        return graph.vertices.limit(0).select(vertex.alias("from"), vertex.alias("to"))
+    if length == 0:
+        both = graph.vertices.join(keep, "id", "left_semi")
+        return both.select(vertex.alias("from"), vertex.alias("to"))
     paths = None
     for depth, step in enumerate(steps):
         arc = step.select(F.col("src").alias(f"#{depth}"), F.col("dst").alias(f"#{depth + 1}"),

@@ -162,17 +162,19 @@ def zigzag_count(edges: DataFrame) -> DataFrame:
     return free.select((F.col("n") - met.scalar()).alias("n"))
 
 
-def open_two_path_count(graph: Graph, attribute: str | None = None) -> DataFrame:
+def open_two_path_count(graph: Graph, attribute: str | Sequence[str] | None = None) -> DataFrame:
     """Matches of ``(a)->(b); (b)->(c); !(a)->(c)`` with a≠c.
 
-    With ``attribute`` both ends must agree on that vertex attribute, and null
-    agrees with nothing.
+    With ``attribute`` both ends must agree on that vertex attribute, or on all
+    of several, and null agrees with nothing.
     """
     edges = graph.edges.select("src", "dst")
     if attribute is None:
         tagged = edges.select("src", "dst", F.lit(1).alias("ka"), F.lit(1).alias("kb"))
     else:
-        key = graph.vertices.select("id", F.col(attribute).alias("k")).where("k IS NOT NULL")
+        named = [attribute] if isinstance(attribute, str) else list(attribute)
+        known = graph.vertices.dropna("any", subset=named)
+        key = known.select("id", F.struct(*named).alias("k"))
         tagged = (edges.join(key.select(F.col("id").alias("src"), F.col("k").alias("ka")), "src", "left")
                   .join(key.select(F.col("id").alias("dst"), F.col("k").alias("kb")), "dst", "left"))
     into = tagged.where("ka IS NOT NULL").groupBy(F.col("dst").alias("b"), F.col("ka").alias("k")).agg(F.count(F.lit(1)).alias("i"))

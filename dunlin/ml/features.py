@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Bucketizer,
+    CountVectorizer,
     HashingTF,
     IndexToString,
     NGram,
@@ -21,8 +22,6 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.operators.aggregates import bounded_values
-
 
 def index_strings(df: DataFrame, columns: Sequence[str], suffix: str = "Cat"):
     """One fitted indexer for all columns: codes by falling frequency, ties by name."""
@@ -85,12 +84,27 @@ def token_stages(
     return stages
 
 
-def balance_labels(df: DataFrame, label: str, seed: int = 0) -> DataFrame:
-    """Sample every label down to about the size of the rarest one."""
-    bounded_values(df, label)
-    sizes = {r[0]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    least = min(sizes.values())
-    return df.sampleBy(label, {k: least / n for k, n in sizes.items()}, seed)
+def balance_labels(df: DataFrame, label: str, key: Sequence[str], seed: int = 0) -> DataFrame:
+    """Sample every label down to about the size of the rarest one, for any number of labels.
+
+    A row stays if the hash of its ``key`` falls below its label's share, so a
+    retried task keeps the same rows.  Label sizes are joined, not collected.
+    """
+    sizes = df.groupBy(F.col(label).alias("__label")).agg(F.count(F.lit(1)).alias("__n"))
+    least = sizes.agg(F.min("__n")).scalar()
+    spot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *key), 11).cast("double") / float(1 << 53)
+    shares = sizes.select("__label", (least / F.col("__n")).alias("__share"))
+    return df.join(shares, df[label].eqNullSafe(shares["__label"])).where(spot < F.col("__share")).drop("__label", "__share")
+
+
+def topic_vectors(df: DataFrame, tokens: str, out: str = "features", vocabulary: int = 10_000) -> tuple[DataFrame, list[str]]:
+    """Word counts over the ``vocabulary`` most frequent words, and those words.
+
+    The size of the vocabulary is the feature: rarer words say little about
+    topics and are left out of the vectors.
+    """
+    counter = CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=vocabulary).fit(df)
+    return counter.transform(df), list(counter.vocabulary)
 
 
 def stage_names(model: PipelineModel) -> list[str]:

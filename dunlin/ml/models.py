@@ -107,7 +107,7 @@ def area_under_roc(df: DataFrame, score: str, label: str, digits: int = 6, slice
     """
     bounds = value_slices(df, score, slices)
     marked = df.where(F.col(score).isNotNull()).select(
-        F.col(score).cast("double").alias("s"), (F.col(label) > 0).cast("long").alias("pos"),
+        F.col(score).alias("s"), (F.col(label) > 0).cast("long").alias("pos"),
         (F.col(label) <= 0).cast("long").alias("neg"), slice_of(F.col(score).cast("double"), bounds).alias("slice"))
     per_score = marked.groupBy("slice", "s").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     totals = marked.groupBy("slice").agg(F.sum("neg").alias("neg"))
@@ -116,3 +116,27 @@ def area_under_roc(df: DataFrame, score: str, label: str, digits: int = 6, slice
     placed = per_score.withColumn("below", inside).join(F.broadcast(before), "slice")
     wins = F.sum(F.col("pos") * (F.col("offset") + F.col("below") + F.col("neg") / 2.0))
     return placed.agg(F.round(wins / F.sum("pos") / F.sum("neg"), digits).alias("auc"))
+
+
+def class_margins(vector: str, weights: Sequence[Sequence[float]], offsets: Sequence[float], is_array: bool = False) -> Column:
+    """One score per class: the product of its weights with the vector, plus its offset."""
+    values = F.col(vector) if is_array else vector_to_array(vector)
+    products = []
+    for row, offset in zip(weights, offsets):
+        pairs = F.zip_with(values, F.array(*[F.lit(float(w)) for w in row]), lambda x, w: x.cast("double") * w)
+        products.append(F.aggregate(pairs, F.lit(float(offset)), lambda a, x: a + x))
+    return F.array(*products)
+
+
+def softmax(margins: Column) -> Column:
+    """Scores as chances that sum to one."""
+    powers = F.transform(margins, lambda m: F.exp(m - F.array_max(margins)))
+    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, x: a + x))
+
+
+def cluster_summary(df: DataFrame, cluster: str, label: str) -> DataFrame:
+    """Per cluster its size, most frequent label (ties: the smallest) and the rows with another label."""
+    counts = df.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(cluster).agg(
+        F.sum("n").alias("n"), F.max_by(label, F.struct(F.col("n"), -F.col(label))).alias("majority"),
+        (F.sum("n") - F.max("n")).alias("mismatch"))

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dunlin.session import materialize
+
 
 def share_of_total(df: DataFrame, keys: Sequence[str], digits: int = 4) -> DataFrame:
     """Rows and percent of all rows per group.
@@ -66,18 +68,31 @@ def correlations(df: DataFrame, columns: Sequence[str], digits: int = 6) -> Data
     return row.select(F.inline(items))
 
 
-def bounded_values(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct non-null values of a column with few of them; more is an error."""
+def distinct_values(df: DataFrame, column: str, limit: int) -> list:
+    """Distinct non-null values of a column; more than the stated limit is an error."""
     found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(found) > limit:
         raise ValueError(f"{column} holds more than {limit} distinct values")
     return sorted(r[0] for r in found)
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
-    """Contingency table with one count column per value of ``column``."""
-    listed = list(values) if values is not None else bounded_values(df, column)
-    return df.groupBy(row).pivot(column, listed).agg(F.count(F.lit(1))).na.fill(0)
+def _listed(df: DataFrame, column: str, values: Sequence | None, limit: int | None) -> list:
+    if values is None and limit is None:
+        raise ValueError("a wide table needs its values listed, or a limit on how many it may have")
+    return list(values) if values is not None else distinct_values(df, column, limit)
+
+
+def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Contingency table as ``(row, column, n)``, for any number of values."""
+    return df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+
+
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None, limit: int | None = None) -> DataFrame:
+    """Contingency table with one count column per value of ``column``.
+
+    The values are listed, or found in the data up to the stated ``limit``.
+    """
+    return df.groupBy(row).pivot(column, _listed(df, column, values, limit)).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def pivot(
@@ -86,10 +101,10 @@ def pivot(
     column: str,
     aggregates: Sequence[Column],
     values: Sequence | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Pivot over listed values, or over the distinct ones if they are few."""
-    listed = list(values) if values is not None else bounded_values(df, column)
-    return df.groupBy(*keys).pivot(column, listed).agg(*aggregates)
+    """Pivot over listed values, or over those found up to the stated ``limit``."""
+    return df.groupBy(*keys).pivot(column, _listed(df, column, values, limit)).agg(*aggregates)
 
 
 def column_group_sums(df: DataFrame, keys: Sequence[str], groups: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -140,8 +155,11 @@ def shares_within(df: DataFrame, outer: str, inner: str, digits: int = 4) -> Dat
     return counts.select(outer, inner, "n", F.round(F.col("n") / whole, digits).alias("share"))
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 10000) -> DataFrame:
-    """Minimum, quartiles and maximum per group, from a mergeable sketch."""
+def approximate_five_numbers(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 10000) -> DataFrame:
+    """Exact extremes and approximate quartiles per group, from a mergeable sketch.
+
+    A quartile's rank is off by at most ``1 / accuracy`` of the group.
+    """
     quarts = F.percentile_approx(column, [0.25, 0.5, 0.75], accuracy)
     return (df.groupBy(*keys)
             .agg(F.min(column).alias("min"), quarts.alias("q"), F.max(column).alias("max"))
@@ -168,33 +186,51 @@ def value_slices(df: DataFrame, column: str, slices: int = 64) -> list[float]:
     return sorted(set(found or []))
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], slices: int = 64) -> DataFrame:
-    """Exact quantiles ``(probability, value)`` without a global sort.
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float], accuracy: int = 10_000) -> DataFrame:
+    """Exact quantiles ``(probability, value)`` in two passes and in the column's own type.
 
-    Slice totals tell which slices hold the wanted ranks.  Only rows of those
-    slices are shuffled, after equal values are counted together, so a value
+    A sketch brackets each quantile between two values.  One more pass counts
+    the rows outside the brackets and, value by value, those inside, so a value
     that fills much of the table is one row.  A quantile is the smallest value
     whose rank is at least ``ceil(probability * n)``.
     """
-    values = df.select(F.col(column).cast("double").alias("value")).where(F.col("value").isNotNull())
-    bounds = value_slices(values, "value", slices)
-    placed = values.withColumn("slice", slice_of(F.col("value"), bounds))
-    sizes = {r["slice"]: r["n"] for r in placed.groupBy("slice").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = sum(sizes.values())
     spark = df.sparkSession
-    wanted = []
-    for p in probabilities:
-        rank, before = max(1, math.ceil(p * total)), 0
-        for piece in sorted(sizes):
-            if before + sizes[piece] >= rank:
-                wanted.append((float(p), piece, rank - before))
-                break
-            before += sizes[piece]
-    targets = spark.createDataFrame(wanted, "probability double, slice int, rank long")
-    running = F.sum("n").over(Window.partitionBy("slice").orderBy("value"))
-    counts = (placed.where(F.col("slice").isin([w[1] for w in wanted]))
-              .groupBy("slice", "value").agg(F.count(F.lit(1)).alias("n")))
-    ordered = counts.withColumn("upto", running)
-    return (ordered.join(F.broadcast(targets), "slice")
+    values = df.select(F.col(column).alias("value")).where(F.col("value").isNotNull())
+    kind = values.schema["value"].dataType
+    steps = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-2 / accuracy, 2 / accuracy)})
+    found = values.agg(F.percentile_approx("value", steps, accuracy).alias("q"), F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    if not found["n"]:
+        return spark.createDataFrame([], f"probability double, value {kind.simpleString()}")
+    at = dict(zip(steps, found["q"]))
+    # The sketch works in doubles; a long or decimal bracket may be rounded, so the counts below check it.
+    ranks = {float(p): max(1, math.ceil(p * found["n"])) for p in probabilities}
+    brackets = {p: (found["lo"] if p - 2 / accuracy <= 0 else at[max(0.0, p - 2 / accuracy)],
+                    found["hi"] if p + 2 / accuracy >= 1 else at[min(1.0, p + 2 / accuracy)]) for p in ranks}
+    while True:
+        bounds = sorted({v for pair in brackets.values() for v in pair})
+        lits = [F.lit(v).cast(kind) for v in bounds]
+        # Odd slots are the bounds themselves, even ones what lies between.
+        slot = sum(((F.col("value") >= v).cast("int") + (F.col("value") > v).cast("int") for v in lits), F.lit(0))
+        inside = {s for low, high in brackets.values() for s in range(2 * bounds.index(low) + 1, 2 * bounds.index(high) + 2)}
+        placed = values.withColumn("slot", slot)
+        counts = materialize(placed.groupBy("slot", F.when(F.col("slot").isin(sorted(inside)), F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n")), "quantiles")
+        sizes = {r["slot"]: r["n"] for r in counts.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+        wanted, missed = [], []
+        for p, rank in ranks.items():
+            before = 0
+            for s in sorted(sizes):
+                if before + sizes[s] >= rank:
+                    break
+                before += sizes[s]
+            wanted.append((p, s, rank - before))
+            if s not in inside:
+                missed.append(p)
+        if not missed:
+            break
+        brackets |= {p: (found["lo"], found["hi"]) for p in missed}
+    targets = spark.createDataFrame(wanted, "probability double, slot int, rank long")
+    upto = F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
+    ordered = counts.where(F.col("slot").isin([w[1] for w in wanted])).withColumn("upto", upto)
+    return (ordered.join(F.broadcast(targets), "slot")
             .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
             .select("probability", "value"))

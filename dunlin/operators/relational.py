@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.session import BROADCAST_ROWS, broadcast_if_bounded, holds_at_most
+from dunlin.session import broadcast_if_bounded
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -59,7 +59,7 @@ def star_lookup(
 ) -> DataFrame:
     """Attach several code tables ``(table, fact key, table key)`` to a fact table.
 
-    Each code table is shipped to the executors only if it is proven small.
+    Each code table is shipped to the executors only if its measured bytes are few.
     """
     out = facts
     for table, fact_key, table_key in lookups:
@@ -67,11 +67,9 @@ def star_lookup(
     return out
 
 
-def cartesian(left: DataFrame, right: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Every pair of rows; the right side must be proven small, else an error."""
-    if not holds_at_most(right, limit):
-        raise ValueError(f"the right side of a product holds more than {limit} rows")
-    return left.crossJoin(F.broadcast(right))
+def cartesian(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair of rows; the result has as many rows as both counts multiplied."""
+    return left.crossJoin(right)
 
 
 def merge_tables(
@@ -79,15 +77,18 @@ def merge_tables(
     right: DataFrame,
     by: Sequence[str] | None = None,
     suffixes: tuple[str, str] = ("_x", "_y"),
+    product: bool = False,
 ) -> DataFrame:
     """Merge by all shared columns or by named ones.
 
-    Shared columns that are not keys get a suffix.  With no shared column the
-    result is the (guarded) product of both tables.
+    Shared columns that are not keys get a suffix.  Tables without a shared
+    column are only multiplied if ``product`` asks for it.
     """
     shared = [c for c in left.columns if c in right.columns]
     keys = shared if by is None else list(by)
     if not keys:
+        if not product:
+            raise ValueError("the tables share no column; ask for their product by name")
         return cartesian(left, right)
     clash = [c for c in shared if c not in keys]
     left = left.withColumnsRenamed({c: c + suffixes[0] for c in clash})

@@ -31,10 +31,14 @@ def _fraction(stratum: str, fractions: Mapping) -> Column:
     return chain
 
 
+#: Means above this are drawn as a sum of independent smaller ones; exp(-mean) stays well above zero.
+POISSON_MEAN = 32.0
+
+
 def _poisson_steps(mean: float) -> list[float]:
     """Cumulative Poisson probabilities up to where doubles reach one."""
     steps, term, total, k = [], math.exp(-mean), 0.0, 0
-    while total + term > total and k < 10_000:
+    while total + term > total:
         total += term
         steps.append(min(total, 1.0))
         k += 1
@@ -47,15 +51,19 @@ def keyed_with_replacement(df: DataFrame, stratum: str, means: Mapping, seed: in
 
     All strata are drawn in one pass over the table; unlisted ones give no rows.
     """
-    draw = F.rand(seed)
-    steps = None
+    steps = draws = None
     for value, mean in means.items():
-        cdf = F.array(*[F.lit(s) for s in _poisson_steps(float(mean))])
+        parts = max(1, math.ceil(float(mean) / POISSON_MEAN))
+        cdf = F.array(*[F.lit(s) for s in _poisson_steps(float(mean) / parts)])
         test = F.col(stratum) == F.lit(value)
         steps = F.when(test, cdf) if steps is None else steps.when(test, cdf)
-    drawn = df.withColumns({"__u": draw, "__cdf": steps}).where(F.col("__cdf").isNotNull())
-    copies = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    return (drawn.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies)))
+        draws = F.when(test, parts) if draws is None else draws.when(test, parts)
+    drawn = df.withColumns({"__u": F.rand(seed), "__cdf": steps, "__draws": draws}).where(F.col("__cdf").isNotNull())
+    # One random number per row seeds its draws.
+    spot = lambda i: F.shiftrightunsigned(F.xxhash64("__u", i), 11).cast("double") / float(1 << 53)
+    once = lambda i: F.size(F.filter("__cdf", lambda c: c <= spot(i)))
+    copies = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda n, i: n + once(i))
+    return (drawn.withColumn("__n", copies).where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
             .select(*df.columns))
 
 

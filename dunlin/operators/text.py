@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.functions.strings import words
-from dunlin.session import BROADCAST_ROWS, broadcast_if_bounded, holds_at_most
+from dunlin.session import broadcast_if_bounded
 
 # Patterns and replacement texts of the filing cleaner.
 ABBREVIATION = r"[A-Z]\.([A-Z]\.)+"
@@ -24,6 +24,7 @@ EMBEDDED_TYPES = (
 HEAD = r"<HEAD>.*?</HEAD>"
 META = r"(?s)<TYPE>.*?<SEQUENCE>.*?<FILENAME>.*?<DESCRIPTION>"
 TABLE = r"(?is)<Table.*?</Table>"
+TABLE_END = "</table>"
 TAG = r"(?s)<[^>]*>"
 ENTITIES = (
     (r"(&#32;|&nbsp;|&#x(A|a)0;)", " "),
@@ -62,7 +63,11 @@ def drop_metadata(text: Column) -> Column:
 
 
 def drop_tables_and_tags(text: Column) -> Column:
-    flat = F.when(F.contains(F.lower(text), F.lit("<table")), F.regexp_replace(text, TABLE, " ")).otherwise(text)
+    # Only what comes before the last closing tag can hold a whole table; there
+    # every lazy match ends, so unclosed tags are not tried again and again.
+    upto = F.length(text) - F.instr(F.reverse(F.lower(text)), TABLE_END[::-1]) + 1
+    held = F.contains(F.lower(text), F.lit("<table")) & F.contains(F.lower(text), F.lit(TABLE_END))
+    flat = F.when(held, F.concat(F.regexp_replace(F.substring(text, F.lit(1), upto), TABLE, " "), F.substring(text, upto + 1, F.length(text)))).otherwise(text)
     return F.regexp_replace(flat, TAG, " ")
 
 
@@ -84,7 +89,9 @@ def drop_boilerplate(text: Column) -> Column:
 
 def keep_letters_and_periods(text: Column) -> Column:
     """Remove URLs and file names, then blank out all but letters and periods."""
-    text = F.regexp_replace(F.regexp_replace(text, URL, ""), FILE_NAME, " ")
+    # A match can only begin where a run of name letters begins: the greedy run
+    # takes the last extension in it either way.
+    text = F.regexp_replace(F.regexp_replace(text, URL, ""), r"(?<![_a-zA-Z0-9\-.])" + FILE_NAME, " ")
     return F.regexp_replace(text, NOT_LETTER_OR_PERIOD, " ")
 
 
@@ -129,21 +136,17 @@ def word_counts(df: DataFrame, keys: Sequence[str], column: str, pattern: str =
             .groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n")))
 
 
-def match_dictionary(
-    df: DataFrame, keys: Sequence[str], column: str, dictionary: DataFrame, word: str = "word", limit: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Words of the texts found in the dictionary: ``(keys, word, n, attributes)``.
+def match_dictionary(df: DataFrame, keys: Sequence[str], column: str, dictionary: DataFrame, word: str = "word") -> DataFrame:
+    """Words of the texts found in the dictionary: ``(keys, word, n, attributes)``, one row per key and word.
 
-    A dictionary proven small goes to every executor and words are dropped
-    where they arise, with ``n`` one per occurrence.  Beyond the bound, words
-    are counted per key before they are shuffled to the dictionary.
+    If the dictionary's words are few bytes they go to every executor and other
+    words are dropped where they arise; the counts are the same either way.
     """
     entries = dictionary.withColumn("word", F.lower(word)) if word == "word" else (
         dictionary.withColumn("word", F.lower(word)).drop(word))
-    if holds_at_most(entries, limit):
-        found = df.select(*keys, F.explode(words(F.col(column))).alias("word"), F.lit(1).cast("long").alias("n"))
-        return found.join(F.broadcast(entries), "word")
-    return word_counts(df, keys, column).join(entries, "word")
+    known = broadcast_if_bounded(entries.select("word").distinct())
+    found = df.select(*keys, F.explode(words(F.col(column))).alias("word")).join(known, "word", "left_semi")
+    return found.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n")).join(entries, "word")
 
 
 def dictionary_measures(matched: DataFrame, keys: Sequence[str], digits: int = 6) -> DataFrame:

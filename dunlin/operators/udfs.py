@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from dunlin.session import broadcast_if_bounded, materialize, ship_code
+from dunlin.session import ship_code
 
-GROUP_ROWS = 200_000
+#: Results of pieces that a task holds before it merges them.
+PARTIAL_RESULTS = 20_000
 
 
 def register_scalar(spark: SparkSession, name: str, function: Callable[[pd.Series], pd.Series], kind: DataType | str):
@@ -36,49 +37,51 @@ def grouped_apply(
     function: Callable[[pd.DataFrame], pd.DataFrame],
     schema: StructType | str,
     merge: Callable[[pd.DataFrame], pd.DataFrame],
-    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
-    """Apply ``function`` to each group, one pandas frame at a time.
-
-    A group with more than ``group_rows`` rows is dealt out over several
-    pieces.  ``function`` runs on every piece and ``merge`` on the collected
-    results of a group's pieces, so no worker ever holds a large group.  Other
-    groups are done in one step.
-
-    Rows are dealt by their position in ``df``, which splits even equal rows.
-    A retried task must see the same order, so write ``df`` out first if it
-    comes from a shuffle.
+    """Apply ``function`` to pieces of each group and ``merge`` to the results.
+
+    Every group takes the same way, whatever its size: ``function`` sees the
+    rows of the group in one Arrow batch, ``merge`` the collected results of
+    some pieces of one group, first inside a task and then across tasks.
+    ``merge`` must accept its own output, and its result must not depend on how
+    the pieces were cut.  Both return the key columns.  Use :func:`whole_groups`
+    for a function that has to see its group at once.
     """
     ship_code(df.sparkSession)
-    text = _text_fields(schema)
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism,
-                int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    text, by = _text_fields(schema), list(keys)
 
-    def first(frame: pd.DataFrame) -> pd.DataFrame:
-        return _plain_text(function(frame.drop(columns="__piece", errors="ignore")), text)
+    def per_key(frame: pd.DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame]) -> list[pd.DataFrame]:
+        return [_plain_text(apply(group), text) for _, group in frame.groupby(by, dropna=False, sort=False)]
 
-    def second(frame: pd.DataFrame) -> pd.DataFrame:
+    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for frame in frames:
+            if not len(frame):
+                continue
+            held += per_key(frame, function)
+            if len(held) > PARTIAL_RESULTS:
+                merged = per_key(pd.concat(held, ignore_index=True), merge)
+                # Keys that never repeat would be merged in vain; pass them on.
+                if len(merged) > PARTIAL_RESULTS // 2:
+                    yield from merged
+                    merged = []
+                held = merged
+        if held:
+            yield from per_key(pd.concat(held, ignore_index=True), merge)
+
+    def final(frame: pd.DataFrame) -> pd.DataFrame:
         return _plain_text(merge(frame), text)
 
-    def apply(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-        # A fixed partition count: adaptive merging would judge Python work by bytes.
-        return rows.repartition(tasks, *by).groupBy(*by).applyInPandas(first, schema)
-
-    large = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > group_rows)
-             .withColumn("__pieces", F.ceil(F.col("__n") / F.lit(group_rows))).drop("__n"))
-    large = materialize(large, "large-groups")
-    if large.limit(1).count() == 0:
-        return apply(df, keys)
-    same = None
-    for k in keys:
-        term = df[k].eqNullSafe(large[k])
-        same = term if same is None else same & term
-    hot = broadcast_if_bounded(large)
-    numbered = df.withColumn("__row", F.monotonically_increasing_id())
-    dealt = (numbered.join(hot, same).drop(*[large[k] for k in keys])
-             .withColumn("__piece", F.pmod(F.xxhash64("__row"), F.col("__pieces"))).drop("__pieces", "__row"))
-    merged = apply(dealt, [*keys, "__piece"]).groupBy(*keys).applyInPandas(second, schema)
-    return apply(df.join(hot, same, "left_anti"), keys).union(merged)
+    return df.mapInPandas(partial, schema).groupBy(*keys).applyInPandas(final, schema)
+
+
+def whole_groups(
+    df: DataFrame, keys: Sequence[str], function: Callable[[pd.DataFrame], pd.DataFrame], schema: StructType | str
+) -> DataFrame:
+    """Apply ``function`` to each whole group; a worker has to hold its largest group."""
+    ship_code(df.sparkSession)
+    text = _text_fields(schema)
+    return df.groupBy(*keys).applyInPandas(lambda frame: _plain_text(function(frame), text), schema)
 
 
 def mergeable_aggregate(

@@ -37,8 +37,9 @@ def cut_strata(
     ``quotas`` lists ``(part name, stratum size -> cumulative rank)`` in rising
     order; rows past the last rank are left out.  ``key`` must identify a row.
     The random order is a hash of key and seed, so it is the same in every
-    run.  A histogram of the hash finds the bucket each cut falls in, and only
-    rows of those buckets are ranked: no stratum is sorted as a whole.
+    run.  A histogram of the hash finds the bucket each cut falls in, ranking
+    that bucket alone finds the row at the cut, and one last pass over the table
+    keeps what is not after it: no stratum is sorted as a whole.
     """
     mixed = F.xxhash64(F.lit(seed), *key)
     rows = df.withColumns({"__h": mixed, "__b": F.shiftrightunsigned(mixed, 64 - HASH_BITS).cast("int")})
@@ -55,22 +56,27 @@ def cut_strata(
         here = (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
         cuts += [F.max(F.when(here, F.col("__b"))).alias(f"__c{i}"),
                  F.max(F.when(here, rank - F.col("upto") + F.col("n"))).alias(f"__r{i}")]
-    edges = materialize(hist.groupBy(*names).agg(*cuts), "cuts")  # one row per stratum
+    edges = materialize(hist.groupBy(*names).agg(*cuts), "edges")  # one row per stratum
 
-    joined = rows.join(broadcast_if_bounded(edges), names)
+    # Rank the contested buckets alone and keep the row at each cut.
+    joined = rows.select(*names, "__b", "__h", *key).join(broadcast_if_bounded(edges), names)
     contested = F.lit(False)
     for i in range(len(quotas)):
         contested = contested | F.coalesce(F.col("__b") == F.col(f"__c{i}"), F.lit(False))
     rank = F.row_number().over(Window.partitionBy(*names, "__b").orderBy("__h", *key))
     ranked = joined.where(contested).withColumn("__n", rank)
-    plain = joined.where(~contested).withColumn("__n", F.lit(None).cast("int"))
+    # The bucket is the unsigned head of the hash, so it comes first in the order.
+    place = F.struct("__b", "__h", *key)
+    last = [F.max(F.when((F.col("__b") == F.col(f"__c{i}")) & (F.col("__n") == F.col(f"__r{i}")), place)).alias(f"__cut{i}")
+            for i in range(len(quotas))]
+    stored = materialize(ranked.groupBy(*names).agg(*last), "cuts")
 
+    # One pass: a row is in the first part whose cut is not before it.
     label = None
     for i, (name, _) in enumerate(quotas):
-        inside = (F.coalesce(F.col("__b") < F.col(f"__c{i}"), F.lit(False))
-                  | F.coalesce((F.col("__b") == F.col(f"__c{i}")) & (F.col("__n") <= F.col(f"__r{i}")), F.lit(False)))
+        inside = F.coalesce(place <= F.col(f"__cut{i}"), F.lit(False))
         label = F.when(inside, name) if label is None else label.when(inside, name)
-    return (plain.unionByName(ranked).withColumn(out, label).where(F.col(out).isNotNull())
+    return (rows.join(broadcast_if_bounded(stored), names).withColumn(out, label).where(F.col(out).isNotNull())
             .select(*df.columns, out))
 
 

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-#: Rows up to which a lookup may be shipped whole to every executor.
-BROADCAST_ROWS = 500_000
+#: Measured bytes up to which a lookup may be shipped whole to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "dunlin", master: str | None = None, **settings: str) -> SparkSession:
@@ -89,7 +89,8 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def delete_path(spark: SparkSession, folder: str) -> None:
+    """Delete a file or folder on whatever file system it is; an absent one is no error."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(conf).delete(path, True)
@@ -100,7 +101,7 @@ def clear_scratch(spark: SparkSession) -> None:
 
     Frames that still read from there must not be used afterwards.
     """
-    _delete(spark, scratch_root(spark))
+    delete_path(spark, scratch_root(spark))
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -120,17 +121,19 @@ def discard(df: DataFrame) -> None:
     marker = scratch_root(spark).split("://")[-1].removeprefix("file:").lstrip("/")
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
         if f"{marker}/" in folder:
-            _delete(spark, folder)
+            delete_path(spark, folder)
 
 
-def holds_at_most(df: DataFrame, rows: int) -> bool:
-    """True if ``df`` has no more than ``rows`` rows; stops counting there."""
-    return df.select(F.lit(1)).limit(rows + 1).count() <= rows
+def measured_bytes(df: DataFrame) -> int:
+    """About what the rows of ``df`` hold in memory: their JSON text plus 16 bytes per field."""
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    return int(df.agg(F.sum(row + F.lit(16 * len(df.columns)))).first()[0] or 0)
 
 
-def broadcast_if_bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only when its row count is proven small.
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only when its measured bytes are within the bound.
 
-    Beyond the bound the frame is returned as it is and the join shuffles.
+    Drop unused columns first.  Beyond the bound the frame is returned as it is
+    and the join shuffles.
     """
-    return F.broadcast(df) if holds_at_most(df, rows) else df
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df

@@ -21,8 +21,12 @@ def write_table(
     """Write in any built-in format, optionally partitioned by columns.
 
     ``max_records_per_file`` bounds file size without a shuffle, so one large
-    partition value does not end in one huge file.
+    partition value does not end in one huge file.  ``rebalance`` brings rows of
+    one value together first, so that not every task opens a file per value;
+    adaptive execution cuts large values into several tasks.
     """
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
