@@ -126,6 +126,24 @@ def _(t: Tables):
     return M.open_two_path_count(Graph(g.vertices, materialize(g.edges, "edges")))
 
 
+@plan("G05g_open_two_path_two_attributes", f"""WITH {E} SELECT count(*) AS n FROM e x JOIN e y ON x.dst = y.src AND x.src <> y.dst
+    JOIN customer p ON p.c_custkey = x.src JOIN customer q ON q.c_custkey = y.dst AND p.c_mktsegment = q.c_mktsegment AND p.c_nationkey = q.c_nationkey
+    WHERE NOT EXISTS (SELECT 1 FROM e z WHERE z.src = x.src AND z.dst = y.dst)""")
+def _(t: Tables):
+    g = customer_graph(t)
+    return M.open_two_path_count(Graph(g.vertices, materialize(g.edges, "edges")), ["kind", "size"])
+
+
+@plan("G05_find_negated_anonymous", f"""WITH {E}, f AS (SELECT src, dst FROM e WHERE src < dst)
+    SELECT x.src AS a, y.dst AS c, count(*) AS n FROM f x JOIN f y ON x.dst = y.src
+    WHERE EXISTS (SELECT 1 FROM f o WHERE o.src = y.dst) AND NOT EXISTS (SELECT 1 FROM f z WHERE z.src = x.src AND z.dst = y.dst) GROUP BY 1, 2""")
+def _(t: Tables):
+    g = customer_graph(t).filter_edges("src < dst")
+    found = M.find(Graph(g.vertices.select("id"), g.edges), "(a)-[e]->(b); (b)-[e2]->(c); (c)-[]->(); !(a)-[]->(c)")
+    # Anonymous parts are not columns; a match per outgoing edge of c remains.
+    return found.select("a", "b", "c").distinct().groupBy(F.col("a.id").alias("a"), F.col("c.id").alias("c")).agg(rows())
+
+
 @plan("G06_motif_attribute_filter", f"""WITH {E} SELECT src, dst FROM e JOIN customer a ON a.c_custkey = src JOIN customer b ON b.c_custkey = dst
     WHERE a.c_mktsegment = 'BUILDING' AND b.c_mktsegment = 'BUILDING' AND a.c_nationkey < b.c_nationkey""")
 def _(t: Tables):
@@ -229,10 +247,9 @@ def _(t: Tables):
       AND y.dst IN (SELECT id FROM g) AND NOT EXISTS (SELECT 1 FROM p1) AND NOT EXISTS (SELECT 1 FROM p2))
     SELECT a, z, hops, count(*) AS paths FROM (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3) GROUP BY 1, 2, 3""")
 def _(t: Tables):
-    found = X.bfs(customer_graph(t), "size = 1 AND kind = 'BUILDING'", "size = 2 AND kind = 'MACHINERY'",
-                  edge_filter="src < dst", max_length=3)
-    hops = sum(1 for c in found.columns if c.startswith("e"))
-    return found.groupBy(F.col("from.id").alias("a"), F.col("to.id").alias("z")).agg(rows("paths")).withColumn("hops", F.lit(hops))
+    counts = X.bfs_path_counts(customer_graph(t), "size = 1 AND kind = 'BUILDING'", "size = 2 AND kind = 'MACHINERY'",
+                               edge_filter="src < dst", max_length=3)
+    return counts.select(F.col("from").alias("a"), F.col("to").alias("z"), "hops", "paths")
 
 
 @plan("G15_aggregate_messages", f"""WITH {E} SELECT id, CAST(sum(c_nationkey) AS BIGINT) AS total FROM
@@ -242,14 +259,16 @@ def _(t: Tables):
         F.sum("msg").alias("total"), to_src=F.col("dst_attr.size"), to_dst=F.col("src_attr.size"))
 
 
-@plan("G16_vertex_partitioning", "SELECT count(*) AS n, true AS together, true AS at_most_five FROM customer")
+@plan("G16_vertex_partitioning", "SELECT count(*) AS n, true AS together, true AS narrowed FROM customer")
 def _(t: Tables):
-    vertices = customer_graph(t).vertices.select("id", "kind").na.fill("unknown").repartition(11, "kind")
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    vertices = customer_graph(t).vertices.select("id", "kind").na.fill("unknown").repartition(tasks, "kind")
     spread = vertices.groupBy("kind", F.spark_partition_id().alias("p")).agg(rows())
     together = spread.groupBy("kind").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    narrow = vertices.coalesce(5).select(F.spark_partition_id().alias("p")).distinct().agg(rows())
+    few = max(1, tasks // 2)
+    narrow = vertices.coalesce(few).select(F.spark_partition_id().alias("p")).distinct().agg(rows())
     return together.agg(F.sum("n").alias("n"), (F.max("k") == 1).alias("together"),).select(
-        "n", "together", (narrow.scalar() <= 5).alias("at_most_five"))
+        "n", "together", (narrow.scalar() <= few).alias("narrowed"))
 
 
 @plan("G17_edges_from_nested_json", """

@@ -306,7 +306,7 @@ def _(t: Tables):
 
 @plan("J17_cartesian", "SELECT n_name, r_name FROM nation, region")
 def _(t: Tables):
-    return R.merge_tables(t.nation.select("n_name"), t.region.select("r_name"))
+    return R.merge_tables(t.nation.select("n_name"), t.region.select("r_name"), product=True)
 
 
 @plan("J18_self_join", """

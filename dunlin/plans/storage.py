@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +115,22 @@ def _(t: Tables):
     return back.groupBy("n_regionkey").agg(rows(), F.sum("n_nationkey").alias("keys"))
 
 
+@plan("S09_multi_line_csv", "SELECT n_nationkey, concat(n_name, chr(10), n_regionkey, ', \"quoted\"') AS note FROM nation")
+def _(t: Tables):
+    # Line breaks, separators and quotes inside a field.
+    note = F.concat("n_name", F.lit("\n"), F.col("n_regionkey").cast("string"), F.lit(', "quoted"'))
+    path = written(t.nation.select("n_nationkey", note.alias("note")), "csv", "s09c", header="true", escape='"')
+    return R.read_delimited(t.spark, path, "n_nationkey INT, note STRING", multiLine="true", escape='"')
+
+
+@plan("S08_json_lines_inferred", """
+    SELECT CAST(props ->> 'k' AS BIGINT) AS k, count(*) AS n, true AS typed FROM events GROUP BY 1""")
+def _(t: Tables):
+    path = written(t.events.select(F.col("props").alias("value")), "text", "s08i")
+    found = R.read_json(t.spark, path)
+    return found.groupBy("k").agg(rows(), F.lit(dict(found.dtypes)["k"] == "bigint").alias("typed"))
+
+
 @plan("S10_bad_record_modes", """
     SELECT count(*) AS permissive, count(*) FILTER (event_id % 10 = 0) AS corrupt,
            count(*) FILTER (event_id % 10 <> 0) AS kept, true AS failfast_raised FROM events""")
@@ -125,19 +143,19 @@ def _(t: Tables):
     try:
         R.read_json(spark, path, "k INT", "FAILFAST").agg(F.sum("k")).first()
         raised = False
-    except Exception:  # noqa: BLE001  the kind of error is Spark's
-        raised = True
+    except (PySparkException, Py4JJavaError) as error:
+        raised = "MALFORMED_RECORD" in str(error)
     both = loose.agg(rows("permissive"), F.count_if(F.col("_bad").isNotNull() & F.col("k").isNull()).alias("corrupt"))
     kept = dropped.agg(F.count("k").alias("kept"))
     return both.select("*", kept.scalar().alias("kept"), F.lit(raised).alias("failfast_raised"))
 
 
-@plan("S11_xml_rows", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS chars FROM pages")
+@plan("S11_xml_rows", "SELECT page_id, url, CAST(length(html) AS INTEGER) AS chars, md5(html) AS digest FROM pages")
 def _(t: Tables):
-    safe = t.pages.select("page_id", "url", F.base64(F.encode("html", "UTF-8")).alias("body"))
-    path = written(safe, "xml", "s11", rowTag="page", rootTag="pages")
+    # Raw markup: tags, entities and quotes have to be escaped and read back as text.
+    path = written(t.pages.select("page_id", "url", F.col("html").alias("body")), "xml", "s11", rowTag="page", rootTag="pages")
     back = R.read_xml(t.spark, path, "page", "page_id BIGINT, url STRING, body STRING")
-    return back.select("page_id", "url", F.length(F.decode(F.unbase64("body"), "UTF-8")).alias("chars"))
+    return back.select("page_id", "url", F.length("body").alias("chars"), F.md5("body").alias("digest"))
 
 
 @plan("S12_parquet", "SELECT l_linestatus, count(*) AS n, round(sum(l_extendedprice), 2) AS total FROM lineitem WHERE l_quantity >= 25 GROUP BY 1")
@@ -299,7 +317,8 @@ def _(t: Tables):
 
 @plan("K07_repartition_by_key", "SELECT count(DISTINCT p_type) AS keys, 1::BIGINT AS most_partitions_per_key FROM part")
 def _(t: Tables):
-    placed = t.part.repartition(11, "p_type").select("p_type", F.spark_partition_id().alias("p"))
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = t.part.repartition(tasks, "p_type").select("p_type", F.spark_partition_id().alias("p"))
     per_key = placed.groupBy("p_type").agg(F.countDistinct("p").alias("parts"))
     return per_key.agg(rows("keys"), F.max("parts").alias("most_partitions_per_key"))
 

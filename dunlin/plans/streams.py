@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from dunlin.plans.registry import Tables, plan
@@ -45,9 +45,10 @@ def _(t: Tables):
     files = max(6, t.events.rdd.getNumPartitions())
     t.events.repartition(files).write.parquet(staged)
     stream = J.read_files(t.spark, staged, t.events.schema, files_per_trigger=files // 3)
-    query = J.start_file_sink(stream.select("value"), f"{out}/data", f"{out}/checkpoint")
-    query.awaitTermination()
-    capped = J.progress_row(query)["batches"] >= 3
+    with J.totals(t.spark) as held:
+        query = J.start_file_sink(stream.select("value"), f"{out}/data", f"{out}/checkpoint")
+        query.awaitTermination()
+        capped = J.progress_row(query, held)["batches"] >= 3
     return t.spark.read.parquet(f"{out}/data").agg(rows(), F.round(F.sum("value"), 2).alias("total"), F.lit(capped).alias("capped"))
 
 
@@ -168,8 +169,19 @@ def _(t: Tables):
 def _(t: Tables):
     out = scratch_path(t.spark, "t13")
     query = J.start_file_sink(events(t).select("event_id"), f"{out}/data", f"{out}/checkpoint")
-    stopped = query.awaitTermination(600)
-    return t.spark.read.parquet(f"{out}/data").agg(rows(), F.lit(bool(stopped)).alias("stopped"))
+    query.awaitTermination()
+    return t.spark.read.parquet(f"{out}/data").agg(rows(), F.lit(not query.isActive).alias("stopped"))
+
+
+@plan("T13_interval_trigger", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def _(t: Tables):
+    out = scratch_path(t.spark, "t13i")
+    query = J.start_file_sink(events(t).select("event_type"), f"{out}/data", f"{out}/checkpoint", interval="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return t.spark.read.parquet(f"{out}/data").groupBy("event_type").agg(rows())
 
 
 def _topic(t: Tables, label: str) -> str:
@@ -201,24 +213,48 @@ def _(t: Tables):
 
 
 @plan("T16_query_progress", """
-    SELECT count(*) AS input_rows, false AS active, false AS failed, true AS has_ids, true AS plan_shown, 0::BIGINT AS still_active FROM events""")
+    SELECT count(*) AS input_rows, false AS active, false AS failed, true AS has_ids, true AS all_written, 0::BIGINT AS still_active FROM events""")
 def _(t: Tables):
     out, name = scratch_path(t.spark, "t16"), f"t16_{uuid.uuid4().hex[:8]}"
-    query = J.start_file_sink(events(t).select("event_id"), f"{out}/data", f"{out}/checkpoint", name=name)
-    query.awaitTermination()
-    seen = J.progress_row(query)
+    with J.totals(t.spark) as held:
+        query = J.start_file_sink(events(t).select("event_id"), f"{out}/data", f"{out}/checkpoint", name=name)
+        query.awaitTermination()
+        seen = J.progress_row(query, held)
     active = sum(1 for q in t.spark.streams.active if q.name == name)
-    written = t.spark.read.parquet(f"{out}/data").agg(rows()).first()["n"]
-    return t.events.agg(
-        (F.count(F.lit(1)) * 0 + seen["input_rows"]).alias("input_rows"), F.lit(seen["active"]).alias("active"),
+    return t.spark.read.parquet(f"{out}/data").agg(
+        F.lit(seen["input_rows"]).cast("long").alias("input_rows"), F.lit(seen["active"]).alias("active"),
         F.lit(seen["failed"]).alias("failed"), F.lit(seen["has_ids"]).alias("has_ids"),
-        F.lit(written == seen["input_rows"]).alias("plan_shown"), F.lit(active).cast("long").alias("still_active"))
+        (F.count(F.lit(1)) == seen["input_rows"]).alias("all_written"), F.lit(active).cast("long").alias("still_active"))
+
+
+@plan("T16_stop_and_failure", """
+    SELECT count(*) AS n, true AS was_active, false AS active, false AS stop_failed, true AS failure_seen FROM events""")
+def _(t: Tables):
+    out = scratch_path(t.spark, "t16s")
+    with J.totals(t.spark) as held:
+        live = J.start_file_sink(events(t).select("event_id"), f"{out}/data", f"{out}/checkpoint", interval="1 second")
+        live.processAllAvailable()
+        was_active = live.isActive
+        live.stop()
+        stopped = J.progress_row(live, held)
+
+        def refuse(batch, batch_id):
+            raise ValueError("refused on purpose")
+
+        broken = J.write_batches(events(t).select("event_id"), f"{out}/checkpoint-2", refuse)
+        try:
+            broken.awaitTermination()
+        except StreamingQueryException:
+            pass
+        failure = J.progress_row(broken, held)["error"]
+    return t.spark.read.parquet(f"{out}/data").agg(
+        rows(), F.lit(was_active).alias("was_active"), F.lit(stopped["active"]).alias("active"), F.lit(stopped["failed"]).alias("stop_failed"),
+        F.lit("refused on purpose" in (failure or "")).alias("failure_seen"))
 
 
 def _line_folder(t: Tables, label: str) -> str:
     path = scratch_path(t.spark, label)
     t.spread("documents").select(F.explode(F.split("text", "\n")).alias("value")).write.text(path)
-    time.sleep(1.2)
     return path
 
 
@@ -227,14 +263,14 @@ _LINES = "(SELECT unnest(string_split(text, chr(10))) AS line FROM documents)"
 
 @plan("T17_polled_source", f"SELECT count(*) AS n, CAST(sum(length(line)) AS BIGINT) AS chars FROM {_LINES}")
 def _(t: Tables):
-    lines = read_polled_lines(t.spark, _line_folder(t, "t17-in"), settle="1")
+    lines = read_polled_lines(t.spark, _line_folder(t, "t17-in"), scratch_path(t.spark, "t17-log"))
     return J.drain(lines, "t17").agg(rows(), F.sum(F.length("value")).alias("chars"))
 
 
 @plan("T18_streaming_word_count", f"""
     SELECT word, count(*) AS n FROM (SELECT unnest(string_split(line, ' ')) AS word FROM {_LINES}) GROUP BY 1""")
 def _(t: Tables):
-    lines = read_polled_lines(t.spark, _line_folder(t, "t18-in"), settle="1")
+    lines = read_polled_lines(t.spark, _line_folder(t, "t18-in"), scratch_path(t.spark, "t18-log"))
     words = lines.select(F.explode(F.split("value", " ")).alias("word")).groupBy("word").agg(rows())
     return J.drain_complete(words, "t18")
 

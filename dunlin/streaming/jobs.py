@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from threading import Event
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import StructType
 
-from dunlin.session import broadcast_if_bounded, scratch_path
+from dunlin.session import broadcast_if_bounded, delete_path, scratch_path
 
 # -------------------------------------------------------------------- sources
 
@@ -137,13 +140,25 @@ def drain(df: DataFrame, label: str, fmt: str = "parquet", partition_by: Sequenc
 
 
 def drain_complete(df: DataFrame, label: str) -> DataFrame:
-    """Run an aggregating stream in complete mode and return its last result."""
+    """Run an aggregating stream in complete mode and return its last result.
+
+    Each batch replaces the one before it, which is deleted once it is no longer
+    needed for a replay.  Without input the result is empty.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    query = write_batches(df, f"{path}/checkpoint", batch_folder_writer(f"{path}/data"), "complete")
+    store, done = batch_folder_writer(f"{path}/data"), []
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        done.append(batch_id)
+        delete_path(spark, f"{path}/data/batch={batch_id - 2}")
+
+    query = write_batches(df, f"{path}/checkpoint", write, "complete")
     query.awaitTermination()
-    last = query.lastProgress["batchId"]
-    return spark.read.schema(df.schema).parquet(f"{path}/data/batch={last}")
+    if not done:
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(f"{path}/data/batch={done[-1]}")
 
 
 def drain_update(df: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
@@ -165,12 +180,47 @@ def drain_to_memory(df: DataFrame, name: str, mode: str = "complete") -> DataFra
     return spark.sql(f"SELECT * FROM {name}")
 
 
-def progress_row(query: StreamingQuery) -> dict:
-    """What a finished or running query reports about itself."""
+class Totals(StreamingQueryListener):
+    """Adds up what each run of a query reports; Spark itself keeps only the last reports."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = defaultdict(int)
+        self.batches: dict[str, int] = defaultdict(int)
+        self.ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] += event.progress.numInputRows
+        self.batches[run] += event.progress.numInputRows > 0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+
+@contextmanager
+def totals(spark: SparkSession) -> Iterator[Totals]:
+    """Count the reports of all queries started inside the block."""
+    held = Totals()
+    spark.streams.addListener(held)
+    try:
+        yield held
+    finally:
+        spark.streams.removeListener(held)
+
+
+def progress_row(query: StreamingQuery, held: Totals) -> dict:
+    """What a query that has ended reports about itself, from its first batch to its last."""
+    # Reports arrive on their own thread; the end is the last of them.
+    held.ended[str(query.runId)].wait(60)
     failure = query.exception()
     return {
-        "name": query.name, "active": query.isActive, "failed": failure is not None,
+        "name": query.name, "active": query.isActive, "failed": failure is not None, "error": str(failure) if failure else None,
         "has_ids": bool(query.id) and bool(query.runId), "message": query.status["message"],
-        "input_rows": sum(p["numInputRows"] for p in query.recentProgress),
-        "batches": sum(1 for p in query.recentProgress if p["numInputRows"] > 0),
+        "input_rows": held.rows[str(query.runId)], "batches": held.batches[str(query.runId)],
     }

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import io
+import json
 import sys
-import time
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
 SOURCE_NAME = "dunlin_lines"
-BATCH_ROWS = 8192
+#: Bytes that a task decodes at once.
+BLOCK_BYTES = 4 << 20
 
 
 class ByteRange(InputPartition):
@@ -25,66 +26,77 @@ class ByteRange(InputPartition):
 
 
 class PolledLinesReader(DataSourceStreamReader):
-    """Offsets are ``(modification time, name)`` of the last file taken.
+    """Offsets count the entries of a log of files seen, kept beside the stream's checkpoint.
 
-    Files have to be moved into the folder complete and stay unchanged.  Files
-    younger than ``settle`` seconds wait for the next poll, so that two files
-    with the same time stamp are never torn apart.
+    Every poll that finds files not yet in the log writes one more entry with
+    their names and sizes, so a file is taken once whatever its time stamp, and
+    a restart finds the same entries.  Files have to be moved into the folder
+    complete, keep their name and stay unchanged.  An emptied folder gives
+    nothing new; a missing one is an error.
     """
 
-    def __init__(self, folder: str, settle: float, range_bytes: int):
-        self.folder, self.settle, self.range_bytes = folder, settle, range_bytes
+    def __init__(self, folder: str, log: str, range_bytes: int):
+        self.folder, self.log, self.range_bytes = folder, log, range_bytes
 
-    def _filesystem(self):
-        if "://" in self.folder or self.folder.startswith("file:/"):
-            return pafs.FileSystem.from_uri(self.folder.replace("s3a://", "s3://", 1))
-        return pafs.LocalFileSystem(), self.folder
+    def _place(self, path: str):
+        if "://" in path or path.startswith("file:/"):
+            return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return pafs.LocalFileSystem(), path
 
-    def _files(self):
-        fs, root = self._filesystem()
+    def _entries(self) -> list[str]:
+        fs, root = self._place(self.log)
         found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return sorted((f.mtime_ns or 0, f.base_name, f.path, f.size) for f in found
-                      if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
+        return sorted(f.path for f in found if f.base_name.endswith(".json"))
+
+    def _read(self, path: str) -> list:
+        fs, _ = self._place(self.log)
+        with fs.open_input_stream(path) as held:
+            return json.loads(held.read())
 
     def initialOffset(self) -> dict:
-        return {"time": -1, "name": ""}
+        return {"entries": 0}
 
     def latestOffset(self) -> dict:
-        limit = time.time_ns() - int(self.settle * 1e9)
-        ready = [f for f in self._files() if f[0] <= limit]
-        return {"time": ready[-1][0], "name": ready[-1][1]} if ready else self.initialOffset()
+        fs, root = self._place(self.folder)
+        found = fs.get_file_info(pafs.FileSelector(root))
+        files = sorted((f.path, f.size) for f in found if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
+        entries = self._entries()
+        seen = {path for entry in entries for path, _ in self._read(entry)}
+        fresh = [f for f in files if f[0] not in seen]
+        if fresh:
+            log_fs, log_root = self._place(self.log)
+            log_fs.create_dir(log_root, recursive=True)
+            name = f"{log_root}/{len(entries):012d}"
+            # Written aside and moved, so that a torn entry is never read.
+            with log_fs.open_output_stream(f"{name}.tmp") as out:
+                out.write(json.dumps(fresh).encode())
+            log_fs.move(f"{name}.tmp", f"{name}.json")
+        return {"entries": len(entries) + bool(fresh)}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:
-        low, high = (start["time"], start["name"]), (end["time"], end["name"])
-        out = []
-        for mtime, name, path, size in self._files():
-            if low < (mtime, name) <= high:
-                out += [ByteRange(path, at, min(at + self.range_bytes, size))
-                        for at in range(0, size, self.range_bytes)]
-        return out
+        taken = self._entries()[start["entries"]:end["entries"]]
+        return [ByteRange(path, at, min(at + self.range_bytes, size))
+                for entry in taken for path, size in self._read(entry) for at in range(0, size, self.range_bytes)]
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
-        fs, _ = self._filesystem()
+        fs, _ = self._place(self.folder)
         name = partition.path.rsplit("/", 1)[-1]
         with io.BufferedReader(fs.open_input_file(partition.path), 1 << 20) as handle:
             if partition.start > 0:
                 handle.seek(partition.start - 1)
                 handle.readline()
-            lines: list[str] = []
             while handle.tell() < partition.end:
-                raw = handle.readline()
-                if not raw:
+                # Whole blocks up to the end of the stretch, each ended at a line's end.
+                block = handle.read(min(BLOCK_BYTES, partition.end - handle.tell()))
+                block += handle.readline() if not block.endswith(b"\n") else b""
+                if not block:
                     break
-                lines.append(raw.rstrip(b"\r\n").decode("utf-8", "replace"))
-                if len(lines) == BATCH_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(lines)), pa.array(lines)], ["file", "value"])
-                    lines = []
-            if lines:
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(lines)), pa.array(lines)], ["file", "value"])
+                lines = block.decode("utf-8", "replace").replace("\r\n", "\n").removesuffix("\n").split("\n")
+                yield pa.RecordBatch.from_arrays([pa.array([name]).take(pa.array([0] * len(lines))), pa.array(lines)], ["file", "value"])
 
 
 class PolledLines(DataSource):
-    """Options: ``path``, ``settle`` (seconds) and ``rangeBytes``."""
+    """Options: ``path``, ``log`` (folder of the files seen) and ``rangeBytes``."""
 
     @classmethod
     def name(cls) -> str:
@@ -94,14 +106,26 @@ class PolledLines(DataSource):
         return "file string, value string"
 
     def streamReader(self, schema) -> PolledLinesReader:
-        return PolledLinesReader(self.options["path"], float(self.options.get("settle", "1")),
+        return PolledLinesReader(self.options["path"], self.options["log"],
                                  int(self.options.get("rangebytes", self.options.get("rangeBytes", 64 << 20))))
 
 
-def read_polled_lines(spark: SparkSession, path: str, **options):
-    """Stream of ``(file, value)`` lines from a polled folder."""
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system on which Spark itself would look for it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
+
+
+def read_polled_lines(spark: SparkSession, path: str, log: str, **options):
+    """Stream of ``(file, value)`` lines from a polled folder.
+
+    ``log`` belongs to one stream, like its checkpoint, and both are kept or
+    dropped together.
+    """
     # The process that plans the source cannot see shipped files, so the classes
     # of this module travel by value.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PolledLines)
-    return spark.readStream.format(SOURCE_NAME).option("path", path).options(**options).load()
+    return (spark.readStream.format(SOURCE_NAME).option("path", _qualified(spark, path)).option("log", _qualified(spark, log))
+            .options(**options).load())
