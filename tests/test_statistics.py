@@ -36,9 +36,14 @@ def test_correlation_of_constant(spark):
 def test_crosstab_guard(spark):
     df = spark.range(50).select(F.lit("x").alias("r"), F.col("id").alias("c"))
     with pytest.raises(ValueError):
-        A.bounded_values(df, "c", limit=10)
+        A.crosstab(df, "r", "c", limit=10)
+    with pytest.raises(ValueError):
+        A.crosstab(df, "r", "c")
+    many = spark.range(3000).select(F.lit("x").alias("r"), F.col("id").alias("c"))
+    assert A.crosstab_long(many, "r", "c").count() == 3000
+    assert len(A.crosstab(many, "r", "c", limit=5000).columns) == 3001
     small = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("b", None)], "r string, c string")
-    assert values(A.crosstab(small, "r", "c")) == [("a", 1, 1), ("b", 1, 0)]
+    assert values(A.crosstab(small, "r", "c", limit=5)) == [("a", 1, 1), ("b", 1, 0)]
 
 
 def test_exact_quantiles_with_hot_value(spark):
@@ -48,10 +53,20 @@ def test_exact_quantiles_with_hot_value(spark):
     ordered = sorted(x for x in data if x is not None)
     probabilities = [0.0, 0.001, 0.25, 0.5, 0.77, 1.0]
     want = {p: ordered[max(1, -int(-p * len(ordered) // 1)) - 1] for p in probabilities}
-    got = {r["probability"]: r["value"] for r in A.exact_quantiles(df, "x", probabilities, slices=16).collect()}
+    got = {r["probability"]: r["value"] for r in A.exact_quantiles(df, "x", probabilities, accuracy=16).collect()}
     assert got == want
 
 
+def test_exact_quantiles_keep_the_type(spark):
+    base = 1 << 60
+    longs = spark.range(2001).select((F.col("id") + base).alias("x"))
+    assert [r["value"] for r in A.exact_quantiles(longs, "x", [0.5, 0.9], 50).orderBy("probability").collect()] == [base + 1000, base + 1800]
+    exact = spark.range(1001).select((F.col("id").cast("decimal(30,10)") + F.lit("12345678901234567.0000000001").cast("decimal(30,10)")).alias("x"))
+    got = A.exact_quantiles(exact, "x", [0.25]).first()["value"]
+    assert str(got) == "12345678901234817.0000000001"
+    assert A.exact_quantiles(longs.limit(0), "x", [0.5]).count() == 0
+
+
 def test_area_under_roc(spark):
     rng = random.Random(2)
     data = [(rng.choice([1.0, 1.0, 2.0, rng.random()]), rng.randint(0, 1)) for _ in range(400)]
@@ -99,6 +114,27 @@ def test_keyed_with_replacement_mean(spark):
     n = Z.keyed_with_replacement(df, "s", {"a": 1.5}, seed=1).count()
     assert abs(n - 30000) < 900
     assert Z.keyed_with_replacement(df, "s", {"b": 1.5}, seed=1).count() == 0
+    # A mean at which exp(-mean) is no longer a normal double.
+    counts = [r["count"] for r in Z.keyed_with_replacement(spark.range(300).select("id", F.lit("a").alias("s")), "s", {"a": 800}, seed=2).groupBy("id").count().collect()]
+    mean = sum(counts) / len(counts)
+    spread = sum((c - mean) ** 2 for c in counts) / len(counts)
+    assert len(counts) == 300 and abs(mean - 800) < 8 and 500 < spread < 1200
+
+
+def test_labels_are_balanced_beyond_a_thousand(spark):
+    from dunlin.ml.features import balance_labels
+    df = spark.range(40_000).select("id", F.least(F.col("id") % 3000, F.lit(1500)).alias("label"))
+    sizes = [r["count"] for r in balance_labels(df, "label", ["id"], 1).groupBy("label").count().collect()]
+    assert len(sizes) == 1501 and max(sizes) < 40
+
+
+def test_strata_are_cut_in_one_last_pass(spark, tmp_path):
+    spark.range(5000).select("id", (F.col("id") % 7).alias("s")).write.parquet(f"{tmp_path}/t")
+    out = W.random_per_stratum(spark.read.parquet(f"{tmp_path}/t"), ["s"], ["id"], 10)
+    assert out.count() == 70
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # The table itself and the stored cuts.
+    assert plan.count("Relation") == 2 and "Window" not in plan
 
 
 def brute_fill(points):
@@ -145,8 +181,8 @@ def test_merge_and_rename(spark):
     b = spark.createDataFrame([(1, "y"), (2, "z")], "k int, name string")
     assert R.merge_tables(a, b).count() == 0
     assert R.merge_tables(a, b, by=["k"]).columns == ["k", "name_x", "name_y"]
-    assert R.merge_tables(a, b.toDF("q", "r")).count() == 2
+    assert R.merge_tables(a, b.toDF("q", "r"), product=True).count() == 2
     with pytest.raises(ValueError):
-        R.cartesian(a, spark.range(100), limit=10)
+        R.merge_tables(a, b.toDF("q", "r"))
     with pytest.raises(ValueError):
         R.rename_columns(a, {"absent": "b"})

@@ -1,15 +1,16 @@
-import time
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from dunlin.operators import catalog as C
 from dunlin.operators import udfs as U
-from dunlin.session import broadcast_if_bounded, discard, holds_at_most, materialize
+from dunlin.session import broadcast_if_bounded, discard, materialize, measured_bytes
 from dunlin.sources import readers as R
 from dunlin.sources import records as B
 from dunlin.streaming import jobs as J
-from dunlin.streaming.polled import ByteRange, PolledLinesReader, read_polled_lines
+from dunlin.sources.writers import write_table
+from dunlin.streaming.polled import PolledLinesReader, read_polled_lines
 from tests.conftest import values
 
 BLOCKS = """# header line
@@ -92,9 +93,11 @@ def test_materialize_and_discard(spark):
 
 
 def test_broadcast_needs_a_proven_bound(spark):
-    assert holds_at_most(spark.range(5), 5) and not holds_at_most(spark.range(6), 5)
-    small = spark.range(100).join(broadcast_if_bounded(spark.range(5), 5), "id")
-    large = spark.range(100).join(broadcast_if_bounded(spark.range(6), 5), "id")
+    # Few rows, but wide ones: the bound is in bytes.
+    wide = spark.range(3).withColumn("fill", F.repeat(F.lit("x"), 1_000_000))
+    assert measured_bytes(wide) > 3_000_000 and measured_bytes(spark.range(0)) == 0
+    small = spark.range(100).join(broadcast_if_bounded(spark.range(5), 1000), "id")
+    large = spark.range(100).join(broadcast_if_bounded(wide, 1_000_000), "id")
     assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in large._jdf.queryExecution().analyzed().toString()
 
@@ -104,19 +107,45 @@ def test_schema_json(spark):
     assert C.schema_from_json(C.schema_to_json(schema)) == schema
 
 
+def polled(reader, start):
+    end = reader.latestOffset()
+    return end, [v for p in reader.partitions(start, end) for batch in reader.read(p) for v in batch.column(1).to_pylist()]
+
+
 def test_polled_ranges_cover_every_line_once(tmp_path):
     lines = [f"line {i} " + "x" * (i % 17) for i in range(200)] + ["é" * 30, "", "last"]
-    (tmp_path / "a.txt").write_text("\n".join(lines), encoding="utf-8")
-    (tmp_path / "_SUCCESS").write_text("")
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("\n".join(lines), encoding="utf-8")
+    (folder / "_SUCCESS").write_text("")
     for size in (1, 7, 64, 10_000):
-        reader = PolledLinesReader(str(tmp_path), 0.0, size)
-        end = reader.latestOffset()
-        parts = reader.partitions(reader.initialOffset(), end)
-        got = [v for p in parts for batch in reader.read(p) for v in batch.column(1).to_pylist()]
+        reader = PolledLinesReader(str(folder), str(tmp_path / f"log-{size}"), size)
+        end, got = polled(reader, reader.initialOffset())
         assert got == lines
-        assert reader.partitions(end, end) == []
-    assert PolledLinesReader(str(tmp_path), 3600.0, 10).latestOffset()["name"] == ""
-    assert isinstance(parts[0], ByteRange)
+        assert reader.partitions(end, end) == [] and reader.latestOffset() == end
+
+
+def test_polled_files_are_taken_once(tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    reader = PolledLinesReader(str(folder), str(tmp_path / "log"), 100)
+    assert reader.latestOffset() == reader.initialOffset()
+    (folder / "b.txt").write_text("b\r\nc\n\n")
+    first, got = polled(reader, reader.initialOffset())
+    assert got == ["b", "c", ""]
+    # A file that was moved in later keeps an older time stamp.
+    (folder / "a.txt").write_text("late")
+    os.utime(folder / "a.txt", (1, 1))
+    second, got = polled(reader, first)
+    assert got == ["late"]
+    # An emptied folder never sets the offset back, and a file is not read again.
+    for name in ("a.txt", "b.txt"):
+        (folder / name).unlink()
+    assert reader.latestOffset() == second
+    (folder / "a.txt").write_text("late")
+    assert PolledLinesReader(str(folder), str(tmp_path / "log"), 100).latestOffset() == second
+    with pytest.raises(FileNotFoundError):
+        PolledLinesReader(str(tmp_path / "none"), str(tmp_path / "log"), 100).latestOffset()
 
 
 def test_polled_stream_resumes(spark, tmp_path):
@@ -124,8 +153,7 @@ def test_polled_stream_resumes(spark, tmp_path):
     folder.mkdir()
 
     def run():
-        time.sleep(0.2)
-        stream = read_polled_lines(spark, str(folder), settle="0.1")
+        stream = read_polled_lines(spark, str(folder), f"{out}/log")
         J.start_file_sink(stream, f"{out}/data", f"{out}/checkpoint").awaitTermination()
 
     (folder / "b.txt").write_text("one\ntwo\n")
@@ -136,6 +164,42 @@ def test_polled_stream_resumes(spark, tmp_path):
     assert values(spark.read.parquet(f"{out}/data"), "value") == [("one",), ("three",), ("two",)]
 
 
+def test_complete_drain_keeps_the_last_result(spark, tmp_path):
+    src = str(tmp_path / "in")
+    for i in range(5):
+        spark.range(i + 1).coalesce(1).write.mode("append").parquet(src)
+    stream = J.read_files(spark, src, "id long", files_per_trigger=1)
+    assert J.drain_complete(stream.groupBy().count(), "keep").first()[0] == 15
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert J.drain_complete(J.read_files(spark, str(empty), "id long").groupBy("id").count(), "none").count() == 0
+
+
+def test_totals_outlast_the_reports_spark_keeps(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for _ in range(6):
+        spark.range(10).coalesce(1).write.mode("append").parquet(src)
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        with J.totals(spark) as held:
+            query = J.start_file_sink(J.read_files(spark, src, "id long", files_per_trigger=1), f"{out}/data", f"{out}/checkpoint")
+            query.awaitTermination()
+            seen = J.progress_row(query, held)
+        assert len(query.recentProgress) <= 2 and (seen["input_rows"], seen["batches"]) == (60, 6)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+
+
+def test_rebalanced_write_opens_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).withColumn("k", F.col("id") % 5)
+    write_table(df, f"{tmp_path}/a", partition_by=["k"])
+    write_table(df, f"{tmp_path}/b", partition_by=["k"], rebalance=True)
+    files = [len(spark.read.parquet(f"{tmp_path}/{x}").inputFiles()) for x in "ab"]
+    assert files[0] == 40 and files[1] <= 10
+    assert spark.read.parquet(f"{tmp_path}/b").count() == 4000
+
+
 def test_late_rows(spark, tmp_path):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "ts timestamp, k string"
@@ -161,15 +225,24 @@ def test_envelopes(spark):
     assert J.decode_envelope(sent, "id INT").columns == ["key", "id"]
 
 
-def test_grouped_apply_splits_large_groups(spark):
+def test_grouped_apply_takes_one_way_for_every_group(spark, monkeypatch):
+    from dunlin.operators import udfs
     df = spark.createDataFrame([("hot", 1.0)] * 1000 + [("hot", 7.0), ("cold", 2.0), (None, 3.0)], "k string, v double").repartition(3)
-    seen = []
+    sizes = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+    def count(frame):
+        return frame.groupby("k", dropna=False)["v"].agg(["max", "count"]).reset_index()
+
+    def merge(frame):
+        return frame.groupby("k", dropna=False).agg({"max": "max", "count": "sum"}).reset_index()
 
-    def first(frame):
-        assert len(frame) < 500
-        return frame.groupby("k", dropna=False)["v"].max().reset_index()
+    want = sorted([("hot", 7.0, 1001), ("cold", 2.0, 1), (None, 3.0, 1)], key=repr)
+    for batch, held in (("10000", 20_000), ("7", 2)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        monkeypatch.setattr(udfs, "PARTIAL_RESULTS", held)
+        try:
+            assert values(U.grouped_apply(df, ["k"], count, "k string, max double, count long", merge)) == want
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", sizes)
+    assert values(U.whole_groups(df, ["k"], count, "k string, max double, count long")) == want
 
-    out = U.grouped_apply(df, ["k"], first, "k string, v double",
-                          lambda f: f.groupby("k", dropna=False)["v"].max().reset_index(), group_rows=100)
-    assert values(out) == sorted([("hot", 7.0), ("cold", 2.0), (None, 3.0)], key=repr)
-    assert not seen
