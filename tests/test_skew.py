@@ -33,7 +33,8 @@ def skewed(tmp_path_factory):
 
 @pytest.mark.parametrize("name", [
     "J07_join_duplicate_build_keys", "J14_segment_revenue", "W01_latest_per_key", "W05_linear_fill", "Y03_linear_fill",
-    "Z05_exact_stratified_sample", "A16_quantiles_exact", "E05_sentiment", "G05f_zigzag", "G10_triangle_count", "X04_grouped_apply"])
+    "Z05_exact_stratified_sample", "A16_quantiles_exact", "E05_sentiment", "G05f_zigzag", "G10_triangle_count", "X04_grouped_apply",
+    "W02_random_k_per_stratum", "E03_dictionary_match", "T17_polled_source", "G09_strongly_connected", "G14_bfs", "A17_pivot"])
 def test_hot_keys(spark, skewed, name):
     folder, con = skewed
     got = PLANS[name].build(Tables(spark, folder))
