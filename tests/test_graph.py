@@ -151,6 +151,30 @@ def test_paths(spark):
     assert zero.columns == ["from", "to"] and [r["to"]["id"] for r in zero.collect()] == [2]
 
 
+def test_path_counts_are_not_listed(spark):
+    """Ten diamonds in a row: 1024 shortest paths, one row."""
+    edges, at = [], 0
+    for _ in range(10):
+        edges += [(at, at + 1), (at, at + 2), (at + 1, at + 3), (at + 2, at + 3)]
+        at += 3
+    graph = make(spark, edges, at + 1)
+    got = X.bfs_path_counts(graph, "id = 0", f"id = {at}", max_length=30)
+    assert values(got, "from", "to", "hops", "paths") == [(0, at, 20, 1024)]
+    assert X.bfs_path_counts(graph, "id = 0", f"id = {at}", max_length=5).count() == 0
+    assert values(X.bfs_path_counts(graph, "id < 3", "id = 2"), "from", "hops", "paths") == [(2, 0, 1)]
+
+
+def test_pagerank_does_not_stop_unsettled(spark):
+    graph = make(spark, [(i, i + 1) for i in range(9)] + [(9, 0), (5, 0)], 10)
+    with pytest.raises(RuntimeError):
+        X.pagerank(graph, tolerance=1e-6, iterations=3)
+    with pytest.raises(ValueError):
+        X.pagerank(graph, tolerance=None)
+    got = dict(values(X.pagerank(graph, tolerance=1e-6)))
+    exact = dict(values(X.pagerank(graph, tolerance=None, iterations=120)))
+    assert max(abs(got[k] - exact[k]) for k in exact) < 1e-4
+
+
 def test_model(spark, tmp_path):
     edges = [(1, 2), (1, 2), (2, 2), (2, 3), (4, 1)]
     graph = Graph.from_edges(spark.createDataFrame(edges, "src long, dst long"))
