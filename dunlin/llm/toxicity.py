@@ -33,6 +33,8 @@ FEATURE_BITS = 20
 #: Standard errors by which a slot's share has to differ, and slots kept at most.
 CLEAR, SLOTS = 5.0, 1024
 GRADES = 3
+#: Rows that the fit widens at once.
+BLOCK = 1024
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings of longer words that are features.
 HEADS = (4, 5, 6, 7)
@@ -88,8 +90,26 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, penalty:
     """Weights and ordered cut points by Fisher scoring on the log likelihood less ``penalty / 2 * |weights|^2``.
 
     A step is halved until the likelihood grows; cut points out of order have none.
+    ``x`` is widened block by block, so that single precision can be given.
     """
     n, m = x.shape
+    blocks = [slice(a, a + BLOCK) for a in range(0, n, BLOCK)]
+
+    def score(weights: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[b].astype(np.float64) @ weights for b in blocks]) if blocks else np.empty(0)
+
+    def gathered(values: np.ndarray) -> np.ndarray:
+        """x transposed times ``values``."""
+        return sum((x[b].T.astype(np.float64) @ values[b] for b in blocks), np.zeros((m, *values.shape[1:])))
+
+    def weighted(values: np.ndarray) -> np.ndarray:
+        """x transposed times x with its rows scaled."""
+        total = np.zeros((m, m))
+        for b in blocks:
+            wide = x[b].astype(np.float64)
+            total += wide.T @ (wide * values[b][:, None])
+        return total
+
     row, inner = np.arange(n), range(1, grades)
     share = np.clip([(grade > k).mean() for k in range(grades - 1)], 1e-4, 1 - 1e-4)
     cuts = -np.log(share / (1 - share)) + 1e-3 * np.arange(grades - 1)
@@ -97,7 +117,7 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, penalty:
 
     def chances(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """P(grade >= k) with both ends, and the chance of each grade."""
-        above = 1.0 / (1.0 + np.exp(-np.clip((x @ at[:m])[:, None] - at[m:][None, :], -40, 40)))
+        above = 1.0 / (1.0 + np.exp(-np.clip(score(at[:m])[:, None] - at[m:][None, :], -40, 40)))
         above = np.c_[np.ones(n), above, np.zeros(n)]
         return above, above[:, :-1] - above[:, 1:]
 
@@ -115,11 +135,11 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int = GRADES, penalty:
         step = np.zeros((n, grades - 1, grades))
         for k in inner:
             step[:, k - 1, k], step[:, k - 1, k - 1] = -slope[:, k], slope[:, k]
-        gradient = np.r_[x.T @ (turn / p)[row, grade] - penalty * state[:m], (step / p[:, None, :])[row, :, grade].sum(axis=0)]
+        gradient = np.r_[gathered((turn / p)[row, grade]) - penalty * state[:m], (step / p[:, None, :])[row, :, grade].sum(axis=0)]
         across = np.einsum("ij,ikj->ik", turn / p, step)
         info = np.zeros((m + grades - 1,) * 2)
-        info[:m, :m] = x.T @ (x * (turn * turn / p).sum(axis=1)[:, None]) + penalty * np.eye(m)
-        info[:m, m:] = x.T @ across
+        info[:m, :m] = weighted((turn * turn / p).sum(axis=1)) + penalty * np.eye(m)
+        info[:m, m:] = gathered(across)
         info[m:, :m] = info[:m, m:].T
         info[m:, m:] = np.einsum("ikj,ilj->kl", step / p[:, None, :], step) + 1e-6 * np.eye(grades - 1)
         move = np.linalg.solve(info, gradient)
