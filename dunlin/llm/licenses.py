@@ -112,7 +112,8 @@ def scan_licenses(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", tex
     """
     source = text_of(docs, doc_id, text).withColumn("text", F.coalesce("text", F.lit("")))
     units = source.select("doc_id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("place", "unit"))
-    digested = units.withColumn("c", canonical(F.col("unit"))).where("c <> '' OR place = 0").withColumn("digest", F.sha2("c", 256))
+    # No filter on the canonical form: it would be worked out twice.  Empty units match nothing below.
+    digested = units.select("doc_id", "place", F.sha2(canonical(F.col("unit")), 256).alias("digest"))
     table = known.select(F.col("digest"), F.col("license_id").alias("found")).where(F.col("digest") != F.sha2(F.lit(""), 256))
     if table.count() <= SHIPPED_DIGESTS:
         table = F.broadcast(table)
