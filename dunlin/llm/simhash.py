@@ -8,11 +8,17 @@ part a BK-tree (children keyed by the Hamming distance to their parent) is
 built and walked for all queries at once, following only edges within the
 radius.  A part hands on one link per fingerprint that spans what it found, not
 all pairs; the links of all parts together have the same components.
+
+A few differing bits find hardly any pair below a Jaccard similarity of 0.95, and
+a radius wide enough for 0.8 leaves no blocks to shard by.  Dropping near copies
+(:func:`keep_one_of_each`) therefore takes its candidates from bands of minimal
+shingle hashes and links what exact Jaccard similarity of the shingles confirms.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -21,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.llm.common import in_arrow, pieces, text_of, without_ids
+from dunlin.llm.common import SHIPPED_IDS, in_arrow, pieces, text_of, without_ids
 from dunlin.session import discard, materialize, ship_code
 
 SEED = 42
@@ -31,12 +37,15 @@ TREE = 2048
 STEP = 1 << 20
 #: Fingerprints of small shards that share one call.
 GROUP = 4096
+SIMILARITY = 0.8
+#: Bands of so many minimal hashes each: two sets of similarity s share a band with a chance of 1 - (1 - s ** HASHES) ** BANDS.
+BANDS, HASHES = 24, 5
+#: Members of a band's bucket up to which all of its pairs are compared, and members that those of a larger one meet.
+PAIRED, MET = 8, 8
 
 
-def fingerprint(words: list[bytes], shingle: int) -> int:
-    """Majority of the bits of the hashes of all shingles; zero without words."""
-    if not words:
-        return 0
+def shingle_hashes(words: list[bytes], shingle: int) -> np.ndarray:
+    """Hashes of all shingles; fewer words than one holds are a shingle of their own."""
     whole = b" ".join(words)
     if len(words) <= shingle:
         hashes = [xxhash.xxh64_intdigest(whole, SEED)]
@@ -45,8 +54,19 @@ def fingerprint(words: list[bytes], shingle: int) -> int:
         starts = np.r_[0, ends[:-1] + 1][: len(words) - shingle + 1].tolist()
         digest = xxhash.xxh64_intdigest
         hashes = [digest(whole[a:b], SEED) for a, b in zip(starts, ends[shingle - 1:].tolist())]
+    return np.array(hashes, np.uint64)
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def fingerprint(words: list[bytes], shingle: int) -> int:
+    """Majority of the bits of the hashes of all shingles; zero without words."""
+    if not words:
+        return 0
+    array = shingle_hashes(words, shingle)
     bits = np.zeros(64, np.int64)
-    array = np.array(hashes, np.uint64)
     for at in range(0, len(array), 1 << 16):
         part = np.ascontiguousarray(array[at: at + (1 << 16)]).view(np.uint8).reshape(-1, 8)
         bits += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -59,8 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, doc_id: str = "doc_id", text
 
     def mark(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch, "text"):
-            values = [fingerprint((t or "").encode("utf-8", "surrogatepass").lower().split(), shingle)
-                      for t in piece.column("text").to_pylist()]
+            values = [fingerprint(words_of(t), shingle) for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id"), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fingerprint"])
 
@@ -228,16 +247,104 @@ def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, tree: in
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, radius: int = 4, shingle: int = 5, tree: int = TREE,
-                     doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Distinct hashes of the shingles of ``text``, sorted."""
+    return np.unique(shingle_hashes(words_of(text), shingle))
+
+
+def set_digest(hashes: np.ndarray) -> int:
+    """A signed long that stands for the whole set."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), SEED)).view(np.int64))
+
+
+def band_keys(hashes: np.ndarray, bands: int = BANDS, rows: int = HASHES) -> np.ndarray:
+    """One long per band of minimal hashes under odd multipliers, which permute the 64-bit values."""
+    factors = np.random.default_rng(SEED).integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
+    least = np.full(bands * rows, np.iinfo(np.uint64).max, np.uint64)
+    # A low bit of a product depends on lower bits alone, so high bits are brought down first.
+    mixed = hashes ^ (hashes >> np.uint64(32))
+    for at in range(0, len(mixed), 1 << 12):
+        least = np.minimum(least, (factors[:, None] * mixed[None, at: at + (1 << 12)]).min(axis=1))
+    rows_of = least.reshape(bands, rows)
+    return np.array([xxhash.xxh3_64_intdigest(r.tobytes(), k) for k, r in enumerate(rows_of)], np.uint64).view(np.int64)
+
+
+def _sets_of(source: DataFrame, shingle: int, bands: bool) -> DataFrame:
+    """``doc_id``, ``node`` (digest of the shingle set) and ``keys`` (of its bands) or ``hashes`` (all) of every row."""
+    name = "keys" if bands else "hashes"
+
+    def mark(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batch, "text"):
+            sets = [shingle_set(t, shingle) for t in piece.column("text").to_pylist()]
+            lists = [band_keys(x) if bands else x.view(np.int64) for x in sets]
+            offsets = np.r_[0, np.cumsum([len(x) for x in lists])].astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array([set_digest(x) for x in sets], pa.int64()), pa.ListArray.from_arrays(offsets, np.concatenate(lists))],
+                ["doc_id", "node", name])
+
+    return in_arrow(source, mark, f"doc_id {dict(source.dtypes)['doc_id']}, node long, {name} array<long>")
+
+
+def _similar(source: DataFrame, pairs: DataFrame, least_ids: DataFrame, t: Fraction, shingle: int) -> DataFrame:
+    """The pairs (``a``, ``b``) of nodes whose shingle sets really are that similar."""
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(least_ids, "node")
+    ids = materialize(asked.select(F.col("least_id").alias("asked_id")).distinct(), "asked")
+    if ids.count() <= SHIPPED_IDS:
+        ids = F.broadcast(ids)
+    texts = source.join(ids, F.col("doc_id") == F.col("asked_id"), "left_semi")
+    sets = materialize(_sets_of(texts, shingle, bands=False).select("node", "hashes"), "asked-sets")
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").withColumn("common", F.size(F.array_intersect("x", "y")))
+    return both.where(F.col("common") * t.denominator >= (F.size("x") + F.size("y") - F.col("common")) * t.numerator).select("a", "b").distinct()
+
+
+def similar_links(source: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY, shingle: int = 5) -> DataFrame:
+    """Links (``a``, ``b``) between nodes of ``similarity`` or more; each was verified on all shingles of both.
+
+    A small bucket lists its pairs.  Members of a larger one meet its first
+    member, and those that differ from it the first ones in other orders, so a
+    large group does not list its pairs.  ``nodes`` has ``node, least_id, keys``.
+    """
+    t = Fraction(str(similarity))
+    least_ids = nodes.select("node", "least_id")
+    entries = nodes.select("node", F.explode("keys").alias("key"))
+    heads = F.array(F.min("node"), *[F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("by"), "node"))["node"] for k in range(1, MET)])
+    buckets = entries.groupBy("key").agg(F.count("*").alias("c"), heads.alias("heads")).where("c > 1")
+    held = materialize(entries.join(buckets, "key"), "held")
+    small = held.where(F.col("c") <= PAIRED).select("key", F.col("node").alias("a"))
+    listed = small.join(small.withColumnRenamed("a", "b"), "key").where("a > b").select("a", "b")
+    large = held.where(F.col("c") > PAIRED).select(F.col("node").alias("a"), "heads")
+    pairs = materialize(listed.union(large.select("a", F.col("heads")[0].alias("b")).where("a <> b")).distinct(), "met")
+    found = materialize(_similar(source, pairs, least_ids, t, shingle), "similar")
+    others = (large.withColumn("b", F.col("heads")[0]).where("a <> b").join(found, ["a", "b"], "left_anti")
+              .select("a", F.explode(F.slice("heads", 2, MET - 1)).alias("b")).where("a <> b").distinct())
+    others = materialize(others.join(pairs, ["a", "b"], "left_anti"), "met-others")
+    return found if others.isEmpty() else found.union(materialize(_similar(source, others, least_ids, t, shingle), "similar"))
+
+
+def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id`` and ``component_id`` of every row: the smallest id reachable over links of ``similarity`` or more.
+
+    Similarity is that of Jaccard on the sets of shingles.  Equal sets are one
+    node, so copies never meet each other.
+    """
+    source = text_of(docs, doc_id, text)
+    marked = materialize(_sets_of(source, shingle, bands=True), "marked")
+    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys")), "nodes")
+    roots = components(similar_links(source, nodes, similarity, shingle))
+    labelled = nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    lowest = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    return marked.select("doc_id", "node").join(labelled.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+
+
+def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, all columns, with one row of each group of near copies: the one with the smallest id.
 
     Texts without a word hold nothing to compare and all stay; so do rows
     without an id.  Of repeated rows with one id a single one stays.
     """
-    classes = near_duplicates(docs.where(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]") & F.col(f"`{doc_id}`").isNotNull()),
-                              radius, shingle, tree, doc_id, text)
-    classes = materialize(classes.select("doc_id", "component_id"), "classes")
+    classes = similar_classes(docs.where(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]") & F.col(f"`{doc_id}`").isNotNull()),
+                              similarity, shingle, doc_id, text)
+    classes = materialize(classes, "classes")
     kept = without_ids(docs, classes.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")), doc_id)
     repeated = classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("dropped_id"))
     if repeated.isEmpty():

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from dunlin.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, near_duplicates, near_links, spanning_links
+from dunlin.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, near_duplicates, near_links, similar_classes, spanning_links
 from tests.llm.common import ODD, docs_of, prose
 
 
@@ -98,3 +98,35 @@ def test_empty_and_null_ids(spark):
 def test_fingerprint_of_long_text():
     words = [b"w%d" % (i % 1000) for i in range(70_000)]
     assert fingerprint(words, 4) == brute_print(" ".join(w.decode() for w in words), 4)
+
+
+def test_one_of_each_matches_jaccard_brute_force(spark):
+    draw = random.Random(11)
+
+    def variant(text, edits):
+        words = text.split()
+        for at in draw.sample(range(len(words)), edits):
+            words[at] = f"v{draw.randrange(10**6)}"
+        return " ".join(words)
+
+    texts = []
+    for i in range(24):
+        base = prose(400 + i, 200, 3000)
+        # Up to 7 separate edits of 200 words leave a similarity from 0.97 down to about 0.7.
+        texts += [base, *[variant(base, edits) for edits in (1, 2, 3, 4, 5, 7)]]
+    texts += [prose(500, 3), prose(500, 3) + " x", prose(500, 3)]
+    draw.shuffle(texts)
+    sets = []
+    for text in texts:
+        words = text.split()
+        sets.append({tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))})
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert len(set(root)) < len(texts) - 60
+    docs = docs_of(spark, texts)
+    assert {r.doc_id: r.component_id for r in similar_classes(docs).collect()} == dict(enumerate(root))
+    assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == sorted(set(root))
