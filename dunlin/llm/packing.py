@@ -134,6 +134,19 @@ def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, end_id:
     return cuts.select(*names, *["ids"] * with_ids)
 
 
+def with_ids_crc32(packed: DataFrame, ids: str = "ids", name: str = "ids_crc32") -> DataFrame:
+    """``packed`` with the CRC-32 of each row's ids, four little-endian bytes each, worked out from the column ``ids``."""
+    plain = packed.drop(name)
+    at, names = plain.columns.index(ids), [c for c in packed.columns if c != name] + [name]
+
+    def add(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sums = [zlib.crc32(np.asarray(x.values, "<u4").tobytes()) for x in batch.column(at)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names)
+
+    summed = in_arrow(plain, add, ", ".join(f"`{c}` {kind}" for c, kind in [*plain.dtypes, (name, "long")]))
+    return summed.select(*packed.columns)
+
+
 def write_buckets(packed: DataFrame, path: str) -> None:
     """One folder per length, so that a reader can batch equal lengths."""
     packed.write.partitionBy("bucket").parquet(path)

@@ -4,7 +4,9 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from dunlin.llm.packing import Units, binary_lengths, pack, write_buckets
+from dunlin.llm.queries import op3_packing
 from tests.llm.common import ODD, docs_of, prose
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -47,3 +49,15 @@ def test_pieces_cover_documents(spark, tmp_path):
 def test_repeated_rows_are_packed_each(spark):
     rows = pack(docs_of(spark, ["a b", "a b"], [1, 1]), PATH, with_ids=False).collect()
     assert len(rows) == 4 and len({r.sequence_id for r in rows}) == 4
+
+
+def test_query_and_pipeline_stage_return_the_ids(spark, tmp_path):
+    texts = [*ODD, prose(51, 100)]
+    docs_of(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    docs, whole = spark.read.parquet(f"{tmp_path}/documents.parquet"), Tokenizer.from_file(PATH)
+    for packed in (op3_packing(spark, str(tmp_path)), corpus_pipeline.packing(spark, docs, str(tmp_path))):
+        rows = packed.collect()
+        for i, text in enumerate(texts):
+            mine = sorted((r for r in rows if r.doc_id == i), key=lambda r: r.start)
+            assert [x for r in mine for x in r.ids] == whole.encode(text or "", add_special_tokens=False).ids + [1]
+        assert all(r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in rows)
