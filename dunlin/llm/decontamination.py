@@ -119,9 +119,21 @@ def covered(spans: str = "spans") -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, that share no window with the benchmark."""
-    hit = find_windows(docs, benchmark, width, doc_id, text).where("size(spans) > 0")
-    return without_ids(docs, hit.select(F.col("doc_id").alias("dropped_id")), doc_id)
+    """The rows of ``docs``, all columns, that share no window with the benchmark.
+
+    Rows without an id are judged by their text, each for itself.
+    """
+    key = F.col(f"`{doc_id}`")
+    known, nameless = docs.where(key.isNotNull()), docs.where(key.isNull())
+    hit = find_windows(known, benchmark, width, doc_id, text).where("size(spans) > 0")
+    kept = without_ids(known, hit.select(F.col("doc_id").alias("dropped_id")), doc_id)
+    if nameless.isEmpty():
+        return kept
+    # A text stands for itself: its digest serves as the id.
+    digest = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)
+    texts = nameless.select(digest.alias("doc_id"), F.col(f"`{text}`").alias("text")).dropDuplicates(["doc_id"])
+    hit = materialize(find_windows(texts, benchmark, width).where("size(spans) > 0").select(F.col("doc_id").alias("dropped_digest")), "dropped")
+    return kept.unionByName(nameless.join(hit, digest == F.col("dropped_digest"), "left_anti"))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

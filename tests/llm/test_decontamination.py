@@ -64,3 +64,12 @@ def test_repeated_rows_are_one_document(spark):
 
 def test_digest_of_no_item():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_rows_without_an_id_are_judged_by_their_text(spark):
+    bad = prose(60, 12)
+    texts = [prose(61, 5) + " " + bad, prose(62, 20), None, bad, prose(62, 20), prose(63, 20), bad]
+    docs = docs_of(spark, texts, [None, None, None, None, None, 1, 2])
+    kept = drop_contaminated(docs, bench(spark, [(1, bad)]))
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("None", texts[1])] * 2 + [("None", ""), ("1", texts[5])])
