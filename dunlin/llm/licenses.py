@@ -4,12 +4,16 @@ A text is brought to a canonical form (copyright lines dropped, lower case,
 everything but letters and digits a separator, equivalent spellings made one)
 and its digest is looked up among those of known licence texts and notices.
 Entire texts are compared, and every line as an entire notice; nothing is
-matched in part.  The known table is a constant of this module or the caller's
-own; it is broadcast only if its counted size is small.
+matched in part.  The known table is the caller's own, or the constant of this
+module and the full texts in the folder ``license_texts``, each as it is, with
+and without its usual title lines, and without what follows its terms.  It is
+broadcast only if its counted size is small.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +84,24 @@ Permission is granted to anyone to use this software for any purpose, including
     ("CC0-1.0", "Released under CC0 1.0."),
 ]
 
+#: Full texts, one file per licence; its name is the identifier.
+TEXTS = Path(__file__).resolve().parent / "license_texts"
+
+#: Lines that usually stand above a text that has no title of its own.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License", "MIT"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "Modified BSD License", "BSD License", "BSD-3-Clause"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "0BSD", "0BSD License"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "Zlib"],
+    "Unlicense": ["The Unlicense", "Unlicense", "Unlicense License"],
+}
+
+#: How many lines with words at the head of a file are its title, and what closes its terms.
+TITLE_LINES = {"Apache-2.0": 3, "CC-BY-SA-4.0": 1, "CC0-1.0": 2, "GPL-2.0-only": 2, "GPL-3.0-only": 2, "LGPL-2.1-only": 2, "LGPL-3.0-only": 2, "MPL-2.0": 1}
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
 #: Known digests that may be shipped whole to every executor (about 10 MB).
 SHIPPED_DIGESTS = 100_000
 
@@ -94,9 +116,26 @@ def canonical(text: Column) -> Column:
     return F.replace(F.trim(out), F.lit("  "), F.lit(" "))
 
 
+def known_texts() -> list[tuple[str, str]]:
+    """:data:`KNOWN` and the files of :data:`TEXTS` in all forms that count as the entire licence."""
+    forms = list(KNOWN)
+    whole = [(name, text) for name, text in KNOWN if "\n" in text]
+    for path in sorted(TEXTS.glob("*.txt")):
+        name, text = path.stem, path.read_text(encoding="utf-8")
+        ends = [text]
+        if TERMS_END in text:
+            terms = text[:text.index(TERMS_END)]
+            ends += [terms, terms + TERMS_END]
+        for end in ends:
+            lines = end.lstrip().split("\n")
+            worded = [i for i, line in enumerate(lines) if any(map(str.isalnum, line))]
+            whole += [(name, end), (name, "\n".join(lines[worded[TITLE_LINES.get(name, 0)]:]))]
+    return forms + [(name, form) for name, text in whole for form in (text, *(f"{title}\n\n{text}" for title in TITLES.get(name, [])))]
+
+
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """``license_id, digest`` of the given texts, one row per digest."""
-    frame = spark.createDataFrame(KNOWN if known is None else known, "license_id string, text string")
+    """``license_id, digest`` of the given texts, or of :func:`known_texts`; one row per digest."""
+    frame = spark.createDataFrame(known_texts() if known is None else known, "license_id string, text string")
     return frame.groupBy(F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 

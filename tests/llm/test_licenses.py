@@ -1,4 +1,4 @@
-from dunlin.llm.licenses import KNOWN, SPELLINGS, known_digests, scan_licenses
+from dunlin.llm.licenses import KNOWN, SPELLINGS, TEXTS, known_digests, scan_licenses
 from tests.llm.common import ODD, docs_of
 
 MIT, ZLIB = KNOWN[0][1], dict(KNOWN)["Zlib"]
@@ -26,3 +26,16 @@ def test_own_table_repeats_and_empty(spark):
 
 def test_spellings_do_not_chain():
     assert not {b for _, b in SPELLINGS} & {a for a, _ in SPELLINGS}
+
+
+def test_full_texts_and_titles_are_known(spark):
+    files = {p.stem: p.read_text(encoding="utf-8") for p in TEXTS.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0", "Unlicense"} <= set(files)
+    full = dict((n, t) for n, t in reversed(KNOWN) if "\n" in t)
+    apache, gpl = files["Apache-2.0"], files["GPL-3.0-only"]
+    cases = [*((n, t) for n, t in files.items()), ("MIT", "MIT License\n\nCopyright (c) 2020 Someone\n\n" + MIT), ("MIT", "The MIT License (MIT)\n" + MIT),
+             ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + full["BSD-3-Clause"]),
+             ("ISC", "ISC License\n\nCopyright (c) 2020, X\n\n" + full["ISC"]), ("Zlib", "zlib License\n\n(C) 2001 X\n" + ZLIB), ("Unlicense", "The Unlicense\n" + files["Unlicense"]),
+             ("Apache-2.0", apache[:apache.index("APPENDIX")]), ("Apache-2.0", apache[apache.index("TERMS AND"):]), ("GPL-3.0-only", gpl[:gpl.index("How to Apply")]), (None, gpl + " and more")]
+    got = {r.doc_id: r.license_id for r in scan_licenses(docs_of(spark, [t for _, t in cases]), known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(cases))] == [n for n, _ in cases]
