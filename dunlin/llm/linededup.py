@@ -29,7 +29,7 @@ from dunlin.llm.common import SHIPPED_IDS, release, text_of
 from dunlin.session import materialize
 
 SIMILARITY = 0.8
-#: Shorter lines are never compared: a few words recur by chance.
+#: Shorter lines are not compared by op6, as its SQL says; 1 compares every line that has a word.
 MIN_WORDS = 5
 #: Buckets of the table of word frequencies are 2 to this power; its size does not depend on the data.
 RANK_BITS = 20
@@ -65,7 +65,7 @@ def _frequencies(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     """Distinct lines of ``min_words`` words or more, at their first place.
 
-    ``n`` words, ``prefix`` (ranked, rarest first), ``map`` (parity of the words
+    Unless ``min_words`` is 1, sets of a single word are left out too.  ``n`` words, ``prefix`` (ranked, rarest first), ``map`` (parity of the words
     over 64 bits) and ``ends`` (the two lowest and two highest word hashes).
     """
     rank = materialize(_frequencies(docs), "ranks")
@@ -82,9 +82,9 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
         F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"),
-        F.expr("array(get(h, 0), get(h, 1), get(h, size(h) - 2), get(h, size(h) - 1))").alias("ends"),
+        F.expr("array(get(h, 0), get(h, 1), get(h, greatest(size(h) - 2, 0)), get(h, size(h) - 1))").alias("ends"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    return ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where("n > 1")
+    return ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
@@ -146,9 +146,9 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: in
     """``doc_id``, ``pos`` and hash ``k1`` of every line that goes.
 
     Lines are cut at newlines and counted from 0; words are what stands between
-    white space, letter case included.  Lines of fewer than ``min_words`` words,
-    or with a single distinct word, go only if an equal line came first and is
-    long enough to be compared; null and empty texts have no lines to compare.
+    white space, letter case included.  Lines of fewer than ``min_words`` words
+    are never compared and stay; unless ``min_words`` is 1, so do lines with a
+    single distinct word.  Null and empty texts have no lines to compare.
     Rows without an id are left alone.  Rows that share an id are one document:
     equal lines at the same place of both are one line.
     """

@@ -1,5 +1,6 @@
 import random
 
+import corpus_pipeline
 from dunlin.llm import linededup
 from dunlin.llm.linededup import drop_similar_lines, line_report
 from tests.llm.common import ODD, docs_of, prose
@@ -93,3 +94,15 @@ def test_copies_and_variants_do_not_list_their_pairs(spark):
     settled = linededup._verified(plain, linededup._leaders(sets, t), t).cache()
     everything = linededup._prefix_pairs(sets, settled.limit(0), t).count()
     assert linededup._prefix_pairs(sets, settled, t).count() < everything / 5
+
+
+def test_lines_of_any_length_are_compared(spark):
+    texts = ["All rights reserved.\n- - - - -\na b c d\nend", "a b c d e\nAll rights reserved.\n\n- - - - -", "x y\n  \n- -\nAll rights\n\n", "end", "x y\nnew", None, ""]
+    lines = [(i, p, set(line.split())) for i, text in enumerate(texts) for p, line in enumerate((text or "").split("\n")) if line.split()]
+    want = {(i, p) for k, (i, p, s) in enumerate(lines) if any(5 * len(s & o) >= 4 * len(s | o) for _, _, o in lines[:k])}
+    assert {(1, 0), (1, 1), (1, 3), (2, 2), (3, 0), (4, 0)} == want
+    docs = docs_of(spark, texts)
+    got = line_report(docs, min_words=1).collect()
+    assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == want
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert left == {0: texts[0], 2: "x y\n  \nAll rights\n\n", 4: "new", 5: None, 6: ""}
