@@ -156,13 +156,21 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits:
     """Fit on at most ``rows`` labelled documents, chosen by the hash of their ids.
 
     A document with several labels takes the highest grade; labels without a
-    grade or a document, and null ids, are left out.  With labelled toxic rows
+    grade or a document, and null ids, are left out before the choice.  Of
+    documents that share an id the one with the smallest hash of its text counts.  With labelled toxic rows
     alone, or none, the model has no weights and rejects nothing.
     """
     graded = (labels.select(F.col("doc_id").alias("label_id"), grade_of().alias("grade"))
               .where("grade IS NOT NULL AND label_id IS NOT NULL").groupBy("label_id").agg(F.max("grade").alias("grade")))
-    sample = graded.orderBy(F.xxhash64("label_id"), "label_id").limit(rows)
-    labelled = text_of(docs, doc_id, text).join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("label_id", "grade", "text")
+    source = text_of(docs, doc_id, text)
+    held = graded.join(source.select("doc_id"), F.col("doc_id") == F.col("label_id"), "left_semi")
+    sample = materialize(held.orderBy(F.xxhash64("label_id"), "label_id").limit(rows), "sample")
+    labelled = source.join(F.broadcast(sample), F.col("doc_id") == F.col("label_id")).select("label_id", "grade", "text")
+    repeated = materialize(labelled.groupBy("label_id").count().where("count > 1").select("label_id"), "repeated")
+    if not repeated.isEmpty():
+        again = labelled.join(F.broadcast(repeated), "label_id", "left_semi").groupBy("label_id", "grade").agg(
+            F.min(F.struct(F.xxhash64("text").alias("by"), "text"))["text"].alias("text"))
+        labelled = materialize(labelled.join(F.broadcast(repeated), "label_id", "left_anti").union(again), "labelled")
 
     chosen = _clear_slots(labelled, bits)
     kind = dict(labelled.dtypes)["label_id"]

@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from dunlin.llm import toxicity
 from dunlin.llm.toxicity import drop_toxic, fit_ordinal, fit_toxicity, grade_of, score_toxicity
 from tests.llm.common import ODD, docs_of, prose
 
@@ -80,3 +82,14 @@ def test_sample_bound_and_repeats(spark):
     one = fit_toxicity(docs, labels, rows=200)
     two = fit_toxicity(docs.repartition(7), labels.union(labels), rows=200)
     assert np.array_equal(one.slots, two.slots) and np.allclose(one.weights, two.weights)
+
+
+def test_bound_counts_documents_and_one_row_of_each(spark, monkeypatch):
+    docs, labels = labelled(spark)
+    foreign = spark.range(10_000, 20_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    one, two = fit_toxicity(docs, labels, rows=200), fit_toxicity(docs, labels.union(foreign), rows=200)
+    assert len(one.slots) and np.array_equal(one.slots, two.slots) and np.allclose(one.weights, two.weights)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_ordinal", lambda x, grade: seen.append(len(grade)) or fit_ordinal(x, grade))
+    three = fit_toxicity(docs.union(docs).union(docs.withColumn("text", F.lit(None))), labels, rows=200)
+    assert seen == [200] and len(three.slots)
