@@ -141,6 +141,86 @@ SELECT doc_id, bytes, shard, depth::INT AS depth, shard_bytes::BIGINT AS shard_b
 FROM s WHERE shard_bytes <= 1048576 OR shard_docs = 1 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
 """
 
+#: CRC-32 byte by byte, with a table that the polynomial gives; ``x`` is the text in hexadecimal digits.
+CRC_TABLE = """crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t)"""
+CRC = """xor(4294967295, list_reduce(
+    list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+    lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]), 4294967295))"""
+
+OP11 = f"""
+WITH {CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS c, hex(encode(doc_id || ':' || run)) AS x
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, c, {CRC} AS h FROM runs, crc),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) AS a, substr(word, i + 2) AS b
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT p.word, q.word AS other, q.n AS m FROM cut p JOIN cut q ON p.i = q.i AND p.a = q.a AND p.b = q.b AND p.word <> q.word
+  UNION SELECT p.word, q.word, q.n FROM cut p JOIN words q ON p.a || p.b = q.word
+  UNION SELECT q.word, p.word, p.n FROM cut p JOIN words q ON p.a || p.b = q.word),
+near AS (SELECT word, count(*) AS n_near, min((-m, other)) AS best FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(s.n_near, 0) AS n_near, CASE WHEN -s.best[1] >= 5 * w.n THEN s.best[2] END AS form, CASE WHEN -s.best[1] >= 5 * w.n THEN -s.best[1] END AS form_n
+  FROM words w LEFT JOIN near s ON w.word = s.word),
+chain AS (
+  WITH RECURSIVE step AS (
+    SELECT word, word AS reached, 0 AS d FROM forms
+    UNION ALL SELECT s.word, f.form, d + 1 FROM step s JOIN forms f ON f.word = s.reached WHERE f.form IS NOT NULL)
+  SELECT word, arg_max(reached, d) AS root FROM step GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN chain USING (word)
+"""
+
+#: Every pair of equal words up to a third of the text apart; stretches of neighbouring pairs of one distance are runs.
+OP12 = rf"""
+WITH {CRC_TABLE},
+given AS (
+  SELECT doc_id, w, len(w) AS n, {CRC} AS h
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, hex(encode(doc_id::VARCHAR)) AS x FROM documents), crc),
+planted AS (SELECT *, h // 10 AS g, (h // 10) % greatest(n, 1) AS a, 1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM given),
+docs AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w
+  FROM planted),
+words AS (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM docs),
+same AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM words a JOIN words b ON a.doc_id = b.doc_id AND a.word = b.word AND b.i > a.i AND (b.i - a.i) * 3 <= a.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (
+  SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS t FROM words w LEFT JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i WHERE g.i IS NULL GROUP BY w.doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS l FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs r WHERE NOT EXISTS (
+    SELECT 1 FROM runs s WHERE s.doc_id = r.doc_id AND (s.length * r.period > r.length * s.period
+      OR (s.length * r.period = r.length * s.period AND (s.start < r.start OR (s.start = r.start AND s.period < r.period))))))
+SELECT d.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(l.l, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256, d.n AS n_words
+FROM docs d LEFT JOIN listed l ON l.doc_id = d.doc_id LEFT JOIN best b ON b.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
+#: All windows of 35 words of all documents, counted as they are.
+OP13 = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM docs)),
+twice AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM windows SEMI JOIN twice USING (k)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(r.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM docs d LEFT JOIN removed r ON r.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_repetition": OP1,
     "op2_decontamination": OP2,
@@ -149,4 +229,7 @@ SQL: dict[str, str] = {
     "op7_license_scan": OP7,
     "op8_warc": OP8,
     "op9_sharding": OP9,
+    "op11_spelling_variants": OP11,
+    "op12_periodic_runs": OP12,
+    "op13_substring_dedup": OP13,
 }

@@ -15,9 +15,12 @@ from dunlin.llm.decontamination import covered, find_windows
 from dunlin.llm.licenses import known_digests, scan_licenses
 from dunlin.llm.linededup import line_report
 from dunlin.llm.packing import pack, with_ids_crc32
+from dunlin.llm.periods import periodic_runs
 from dunlin.llm.repetition import repetition
 from dunlin.llm.sharding import assign_shards
 from dunlin.llm.simhash import near_duplicates
+from dunlin.llm.spelling import count_words, variant_groups
+from dunlin.llm.substrings import drop_repeated_passages
 from dunlin.llm.toxicity import fit_toxicity, score_toxicity
 from dunlin.llm.warc import page_of, read_warc, records_of, write_warc
 from dunlin.session import scratch_path
@@ -90,8 +93,49 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_groups(count_words(read(spark, sf_dir, "documents"), noise=199))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents, those with a checksum of the id that ten divides made periodic from some word on; a null id changes nothing."""
+    words, hashed = F.expr("regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"), F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(hashed / 10)
+
+    def periodic(held):
+        n = F.size(held)
+        start = F.try_mod(g, n)
+        period = F.floor((n - start) / (F.lit(3) + g % 8)) + 1
+        at = F.array(F.struct(start.alias("a"), period.alias("p")))
+        changed = F.transform(at, lambda r: F.transform(held, lambda w, i: F.when(i < r["a"], w).otherwise(
+            F.get(held, (r["a"] + (i - r["a"]) % r["p"]).cast("int")))))
+        return F.array_join(F.get(changed, F.lit(0)), " ")
+
+    # The words are bound once: as a column they would be worked out again for every word.
+    once = F.get(F.transform(F.array(words), periodic), F.lit(0))
+    return docs.select("doc_id", F.when(hashed % 10 == 0, once).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_runs(read(spark, sf_dir, "documents")))
+    # Of two fractions the greater is found by cross products; ties go to the first run, which starts first and has the smaller period.
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda b, r: F.when(r["length"] * b["period"] > b["length"] * r["period"], r).otherwise(b))
+    listed = F.concat_ws("", F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeated_passages(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op4_chat_format, op5_simhash, op6_line_dedup, op7_license_scan, op8_warc, op9_sharding, op10_toxicity)
+    f.__name__: f for f in (op1_quality_repetition, op2_decontamination, op3_packing, op4_chat_format, op5_simhash, op6_line_dedup, op7_license_scan, op8_warc, op9_sharding, op10_toxicity,
+        op11_spelling_variants, op12_periodic_runs, op13_substring_dedup)
 }
 
 SQL: dict[str, str] = oracles.SQL
