@@ -13,9 +13,11 @@ start at two places or more are removed.
   sorted by prefix doubling down to ``window`` words: a rank that several suffixes
   share is an internal node of that depth, and all windows below it are repeated.
   The union of their words is that of all maximal repeats of ``window`` words or more.
-* Larger groups take longer prefixes: each of their windows goes on its own, under a
-  prefix of all its ``window`` words (128 bits of hash). Such a prefix is itself the deep
-  node, so counting its suffixes, combined before the shuffle, is enough however many there are.
+* Larger groups take longer prefixes. Equal stretches are first counted as one,
+  combined before the shuffle: a stretch with a copy is repeated as a whole. Windows
+  of the different ones go on under prefixes of all their ``window`` words (128 bits
+  of hash). Such a prefix is itself the deep node, so counting its suffixes is enough
+  however many there are.
 
 Words are compared as bytes in the trees; the long prefixes by 128-bit hashes.
 Documents are numbered in a written table, so ids may be null or repeat. A null
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.common import in_arrow, mixed, pieces, sliding, text_of, whole_groups
-from dunlin.session import broadcast_if_bounded, materialize, ship_code
+from dunlin.session import materialize, ship_code
 
 #: Words of an anchor; must be shorter than the window.
 GRAM = 12
@@ -134,38 +136,50 @@ def with_anchors(docs: DataFrame, window: int) -> DataFrame:
     return materialize(in_arrow(numbered, mark, f"row long, doc_id {kind}, text string, anchors array<long>, firsts array<int>, prefixes array<long>"), "anchors")
 
 
-def shipped_suffixes(marked: DataFrame, window: int, limit: int) -> DataFrame:
-    """What goes to the groups: stretches with their words (``words``), and single windows of large groups (null ``words``, prefix in two longs)."""
-    counts = materialize(marked.select(F.explode("anchors").alias("prefix")).groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select(
-        "prefix", (F.col("n") > limit).alias("large")), "repeated")
-    places = marked.select("row", F.posexplode("prefixes").alias("k", "prefix")).join(broadcast_if_bounded(counts), "prefix")
+def shipped_stretches(marked: DataFrame, window: int, limit: int) -> DataFrame:
+    """The stretches of repeated anchors with their ``words``; ``large`` tells those of groups above ``limit``.
+
+    All lists here grow with the corpus, so none is broadcast.
+    """
+    counts = marked.select(F.explode("anchors").alias("prefix")).groupBy("prefix").agg(F.count("*").alias("n")).where("n > 1").select(
+        "prefix", (F.col("n") > limit).alias("large"))
+    places = marked.select("row", F.posexplode("prefixes").alias("k", "prefix")).join(counts, "prefix")
     wanted = materialize(places.groupBy("row").agg(F.collect_list(F.struct("k", "large")).alias("wanted")), "wanted")
-    source = marked.select("row", "text", "firsts", "prefixes").join(broadcast_if_bounded(wanted), "row")
-    schema = pa.schema([("prefix", pa.int64()), ("more", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("words", pa.binary())])
+    source = marked.select("row", "text", "firsts", "prefixes").join(wanted, "row")
+    schema = pa.schema([("prefix", pa.int64()), ("large", pa.bool_()), ("row", pa.int64()), ("first", pa.int32()), ("words", pa.binary())])
 
     def ship(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes(2), _Hashes(3)
         for piece in pieces(batch, "text"):
-            columns: list[list] = [[], [], [], [], []]
+            out: list[tuple] = []
             for row, text, firsts, prefixes, wanted in zip(*(piece.column(c).to_pylist() for c in ("row", "text", "firsts", "prefixes", "wanted"))):
                 words = words_of(text)
                 firsts.append(len(words) - window + 1)
-                large = np.zeros(len(words) - window + 1, bool)
                 for w in wanted:
                     k = w["k"]
-                    if w["large"]:
-                        large[firsts[k]: firsts[k + 1]] = True
-                        continue
-                    for column, value in zip(columns, (prefixes[k], 0, row, firsts[k], b" ".join(words[firsts[k]: firsts[k + 1] + window - 1]))):
-                        column.append(value)
-                at = np.flatnonzero(large).tolist()
-                if at:
-                    long = [gram_hashes(h.of(words), window).view(np.int64)[at].tolist() for h in hashes]
-                    for column, values in zip(columns, (*long, [row] * len(at), at, [None] * len(at))):
-                        column += values
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                    out.append((prefixes[k], w["large"], row, firsts[k], b" ".join(words[firsts[k]: firsts[k + 1] + window - 1])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    return materialize(in_arrow(source, ship, "prefix long, large boolean, row long, first int, words binary"), "stretches")
+
+
+def windows_of(stretches: DataFrame, window: int) -> DataFrame:
+    """One row per window of each stretch: its prefix of ``window`` words as two longs (``k``, ``more``), beside ``row``, ``first`` and ``copies``."""
+    schema = pa.schema([("k", pa.int64()), ("more", pa.int64()), ("row", pa.int64()), ("first", pa.int32()), ("copies", pa.int64())])
+
+    def hashed(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes(2), _Hashes(3)
+        for piece in pieces(batch, "words"):
+            words = [t.split() for t in piece.column("words").to_pylist()]
+            if not words:
+                continue
+            sizes = np.array([len(w) - window + 1 for w in words])
+            offset = np.concatenate([np.arange(n) for n in sizes.tolist()])
+            long = [np.concatenate([gram_hashes(h.of(w), window) for w in words]).view(np.int64) for h in hashes]
+            row, first, copies = (np.repeat(np.array(piece.column(c)), sizes) for c in ("row", "first", "copies"))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((*long, row, first + offset, copies), schema)], schema=schema)
 
-    return materialize(in_arrow(source, ship, "prefix long, more long, row long, first int, words binary"), "suffixes")
+    return in_arrow(stretches.select("words", "row", "first", "copies"), hashed, "k long, more long, row long, first int, copies long")
 
 
 def suffix_ranks(words: np.ndarray, depth: int) -> np.ndarray:
@@ -210,7 +224,7 @@ def repeated_windows(segments: list[bytes], window: int) -> list[np.ndarray]:
     return [np.flatnonzero(deep[a: max(a, b - window + 1)]) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
 
 
-def repeated(suffixes: DataFrame, window: int) -> DataFrame:
+def repeated(stretches: DataFrame, window: int) -> DataFrame:
     """``row`` and all its repeated ``windows``, as ranges of their ``first`` words."""
     schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
@@ -226,12 +240,19 @@ def repeated(suffixes: DataFrame, window: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    small = suffixes.where("words IS NOT NULL").select("prefix", "row", "first", "words")
+    small = stretches.where("NOT large").select("prefix", "row", "first", "words")
     in_trees = small.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(search, "row long, first int, last int")
-    large = suffixes.where("words IS NULL")
-    counts = materialize(large.groupBy("prefix", "more").agg(F.count("*").alias("n")).where("n > 1").select("prefix", "more"), "long-prefixes")
-    by_count = large.join(broadcast_if_bounded(counts), ["prefix", "more"], "left_semi").select("row", "first", F.col("first").alias("last"))
-    return in_trees.unionByName(by_count).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
+    copy = [F.xxhash64("words").alias("a"), F.xxhash64(F.lit("more"), "words").alias("b")]
+    large = stretches.where("large").select(*copy, "row", "first", "words")
+    distinct = materialize(large.groupBy("a", "b").agg(
+        F.first("words").alias("words"), F.count("*").alias("copies"), F.min("row").alias("row"), F.min("first").alias("first")), "distinct")
+    copied = large.select("a", "b", "row", "first", (F.size(F.split(F.col("words").cast("string"), " ")) - window).alias("more")).join(
+        distinct.where("copies > 1").select("a", "b"), ["a", "b"], "left_semi").select("row", "first", (F.col("first") + F.col("more")).cast("int").alias("last"))
+    # What has no copy has one place, which its row here names.
+    windows = materialize(windows_of(distinct, window), "long-prefixes")
+    twice = windows.groupBy("k", "more").agg(F.sum("copies").alias("n")).where("n > 1").select("k", "more")
+    single = windows.where("copies = 1").join(twice, ["k", "more"], "left_semi").select("row", "first", F.col("first").alias("last"))
+    return in_trees.unionByName(copied).unionByName(single).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
 
 
 def spans_of(windows: list[dict] | None, window: int) -> list[tuple[int, int]]:
@@ -254,8 +275,8 @@ def drop_repeated_passages(docs: DataFrame, window: int = 35, limit: int = GROUP
     if window <= GRAM:
         raise ValueError(f"a window must be longer than an anchor of {GRAM} words")
     marked = with_anchors(text_of(docs, doc_id, text), window)
-    found = materialize(repeated(shipped_suffixes(marked, window, limit), window), "windows")
-    source = marked.select("row", "doc_id", "text").join(broadcast_if_bounded(found), "row", "left")
+    found = materialize(repeated(shipped_stretches(marked, window, limit), window), "windows")
+    source = marked.select("row", "doc_id", "text").join(found, "row", "left")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch, "text"):
