@@ -246,8 +246,9 @@ def repeated(stretches: DataFrame, window: int) -> DataFrame:
     large = stretches.where("large").select(*copy, "row", "first", "words")
     distinct = materialize(large.groupBy("a", "b").agg(
         F.first("words").alias("words"), F.count("*").alias("copies"), F.min("row").alias("row"), F.min("first").alias("first")), "distinct")
-    copied = large.select("a", "b", "row", "first", (F.size(F.split(F.col("words").cast("string"), " ")) - window).alias("more")).join(
-        distinct.where("copies > 1").select("a", "b"), ["a", "b"], "left_semi").select("row", "first", (F.col("first") + F.col("more")).cast("int").alias("last"))
+    # Written on its own, so that adaptive execution can split a stretch with very many copies.
+    copied = materialize(large.select("a", "b", "row", "first", (F.size(F.split(F.col("words").cast("string"), " ")) - window).alias("more")).join(
+        distinct.where("copies > 1").select("a", "b"), ["a", "b"], "left_semi").select("row", "first", (F.col("first") + F.col("more")).cast("int").alias("last")), "copied")
     # What has no copy has one place, which its row here names.
     windows = materialize(windows_of(distinct, window), "long-prefixes")
     twice = windows.groupBy("k", "more").agg(F.sum("copies").alias("n")).where("n > 1").select("k", "more")
