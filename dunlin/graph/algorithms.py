@@ -7,13 +7,13 @@ decides whether to go on; the state itself never reaches the driver.
 
 from __future__ import annotations
 
-import itertools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.graph.model import Graph
+from dunlin.graph.program import StoredArcs, vertex_program
 from dunlin.session import discard, materialize
 
 
@@ -24,46 +24,54 @@ def pagerank(
     iterations: int | None = None,
     normalize: bool = False,
     rounds_per_cut: int = 3,
+    on_round: Callable[[int, DataFrame], None] | None = None,
 ) -> DataFrame:
     """``r = reset + (1 - reset) * sum(r_src / outdegree)``, starting from one.
 
-    Stops when no rank moves by ``tolerance`` or more, however many rounds that
-    takes; if ``iterations`` are stated and end sooner, that is an error.
-    Without a tolerance exactly ``iterations`` rounds are done.  ``normalize`` scales the ranks so that they sum to the number of
-    vertices, which matters when some vertices have no outgoing edge.
+    With a tolerance the changes of the ranks are propagated: a vertex adds up what has
+    changed since it last sent and sends it on once that is ``reset * tolerance`` or more, so vertices
+    at rest send nothing and read no arcs. It ends when no vertex has so much left; if ``iterations``
+    are stated and end sooner, that is an error. Without a tolerance exactly ``iterations``
+    rounds over all arcs are done, several in one job. ``normalize`` scales the ranks so that they sum to
+    the number of vertices, which matters when some vertices have no outgoing edge.
 
-    Every vertex also has an arc to itself without weight, which carries the
-    reset share and the old rank.  So a round reads the ranks once: one join,
-    one aggregation.  Without a tolerance several rounds share one cut.
+    Every vertex also has an arc to itself without weight, which carries the reset share, so
+    a round over all arcs reads the ranks once: one join, one aggregation.
     """
     if tolerance is None and iterations is None:
         raise ValueError("state a tolerance or a number of iterations")
     share = graph.out_degrees().select(F.col("id").alias("src"), ((1 - reset) / F.col("out_degree")).alias("w"))
-    own = graph.vertices.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(None).cast("double").alias("w"))
-    arcs = materialize(graph.edges.select("src", "dst").join(share, "src").unionByName(own), "arcs")
+    own = graph.vertices.select(F.col("id").alias("from"), F.col("id").alias("to"), F.lit(None).cast("double").alias("w"))
+    weighted = graph.edges.select("src", "dst").join(share, "src").select(F.col("src").alias("from"), F.col("dst").alias("to"), "w")
+    arcs = StoredArcs(weighted.unionByName(own))
+
+    def over_all(ranks: DataFrame) -> DataFrame:
+        value = F.when(F.col("w").isNull(), F.lit(reset)).otherwise(F.col("rank") * F.col("w"))
+        return arcs.joined(ranks).groupBy(F.col("to").alias("id")).agg(F.sum(value).alias("rank"))
+
     ranks = graph.vertices.select("id", F.lit(1.0).alias("rank"))
-    stored = None
-    for done in itertools.count(1):
-        kept = F.col("w").isNull()
-        step = (arcs.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.sum(F.when(kept, F.lit(reset)).otherwise(F.col("rank") * F.col("w"))).alias("rank"),
-                     F.max(F.when(kept, F.col("rank"))).alias("old")))
-        if tolerance is None and done % rounds_per_cut and done < iterations:
-            ranks = step
-            continue
-        previous, ranks = stored, materialize(step, "ranks")
-        stored = ranks
-        if previous is not None:
-            discard(previous)
-        if tolerance is not None:
-            moved = ranks.agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0]
-            if moved is None or moved < tolerance:
-                break
-            if done == iterations:
-                raise RuntimeError(f"ranks still move by {moved} after {done} rounds")
-        elif done >= iterations:
-            break
+    if tolerance is not None:
+        least = reset * tolerance
+        left = F.col("rank") - 1
+        start = over_all(ranks).select("id", "rank", left.alias("pending"), (F.abs(left) >= least).alias("active"))
+        seen = F.coalesce("seen", F.lit(0.0))
+        pending = F.when(F.col("active"), seen).otherwise(F.col("pending") + seen)
+        state = vertex_program(
+            arcs, start, {"share": F.col("pending") * F.col("w")}, lambda mail: mail.groupBy("id").agg(F.sum("share").alias("seen")),
+            {"rank": F.col("rank") + seen, "pending": pending}, F.abs(pending) >= least, None if iterations is None else iterations - 1, on_round)
+        if not state.where("active").isEmpty():
+            raise RuntimeError(f"ranks still move after {iterations} rounds")
+        ranks = state.select("id", "rank")
+    else:
+        stored = None
+        for done in range(1, iterations + 1):
+            ranks = over_all(ranks)
+            if done % rounds_per_cut == 0 or done == iterations:
+                previous, ranks = stored, materialize(ranks, "ranks")
+                stored = ranks
+                if previous is not None:
+                    discard(previous)
+    arcs.discard()
     result = ranks.select("id", F.col("rank").alias("pagerank"))
     if normalize:
         scale = result.agg(F.count(F.lit(1)) / F.sum("pagerank")).scalar()
@@ -71,52 +79,37 @@ def pagerank(
     return result
 
 
-def label_propagation(graph: Graph, iterations: int = 10, rounds_per_cut: int = 3) -> DataFrame:
+def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:
     """Synchronous: each vertex takes the label most common among its neighbours.
 
-    Edges count in both directions and a tie goes to the smallest label.  An
-    arc of weight zero from each vertex to itself keeps the label of vertices
-    without neighbours, so a round reads the labels once.
+    Edges count in both directions and a tie goes to the smallest label; vertices without
+    neighbours keep theirs. All vertices send in every round, as a vote needs all labels around it.
     """
     both = graph.edges.select(F.inline(F.array(
-        F.struct(F.col("src").alias("from"), F.col("dst").alias("to"), F.lit(1).alias("w")),
-        F.struct(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(1).alias("w")))))
-    own = graph.vertices.select(F.col("id").alias("from"), F.col("id").alias("to"), F.lit(0).alias("w"))
-    arcs = materialize(both.unionByName(own), "arcs")
-    labels, stored = graph.vertices.select("id", F.col("id").alias("label")), None
-    for done in range(1, iterations + 1):
-        votes = (arcs.join(labels.withColumnRenamed("id", "from"), "from")
-                 .groupBy("to", "label").agg(F.sum("w").alias("n")))
+        F.struct(F.col("src").alias("from"), F.col("dst").alias("to")),
+        F.struct(F.col("dst").alias("from"), F.col("src").alias("to")))))
+    arcs = StoredArcs(both)
+
+    def most_common(mail: DataFrame) -> DataFrame:
+        votes = mail.groupBy("id", "sent").agg(F.count(F.lit(1)).alias("n"))
         # The largest count, then the smallest label.
-        step = (votes.groupBy(F.col("to").alias("id"))
-                .agg(F.max_by("label", F.struct(F.col("n"), (-F.col("label")).alias("low"))).alias("label")))
-        if done % rounds_per_cut and done < iterations:
-            labels = step
-            continue
-        previous, labels = stored, materialize(step, "labels")
-        stored = labels
-        if previous is not None:
-            discard(previous)
-    return labels
+        return votes.groupBy("id").agg(F.max_by("sent", F.struct(F.col("n"), (-F.col("sent")).alias("low"))).alias("best"))
 
+    start = graph.vertices.select("id", F.col("id").alias("label"), F.lit(True).alias("active"))
+    state = vertex_program(arcs, start, {"sent": F.col("label")}, most_common, {"label": F.coalesce("best", "label")}, F.lit(True), iterations)
+    arcs.discard()
+    return state.select("id", "label")
 
-def _spread_smallest(arcs: DataFrame, state: DataFrame) -> DataFrame:
-    """Carry the smallest colour along ``arcs(from, to)`` until nothing changes.
 
-    ``state`` has ``(id, colour)``.  Only vertices whose colour changed in the
-    last round send again.
-    """
-    state = materialize(state.select("id", "colour", F.lit(True).alias("fresh")), "colours")
-    while True:
-        sent = (arcs.join(state.where("fresh").select(F.col("id").alias("from"), "colour"), "from")
-                .groupBy(F.col("to").alias("id")).agg(F.min("colour").alias("seen")))
-        better = F.coalesce(F.col("seen") < F.col("colour"), F.lit(False))
-        step = state.join(sent, "id", "left").select(
-            "id", F.when(better, F.col("seen")).otherwise(F.col("colour")).alias("colour"), better.alias("fresh"))
-        previous, state = state, materialize(step, "colours")
-        discard(previous)
-        if state.where("fresh").limit(1).count() == 0:
-            return state.select("id", "colour")
+def _spread_smallest(arcs: DataFrame, state: DataFrame) -> DataFrame:
+    """Carry the smallest colour of ``state(id, colour)`` along ``arcs(from, to)`` until nothing changes."""
+    stored = StoredArcs(arcs)
+    better = F.coalesce(F.col("seen") < F.col("colour"), F.lit(False))
+    spread = vertex_program(
+        stored, state.select("id", "colour", F.lit(True).alias("active")), {"sent": F.col("colour")},
+        lambda mail: mail.groupBy("id").agg(F.min("sent").alias("seen")), {"colour": F.when(better, F.col("seen")).otherwise(F.col("colour"))}, better)
+    stored.discard()
+    return spread.select("id", "colour")
 
 
 def _replace(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -132,32 +125,79 @@ def _between(arcs: DataFrame, ids: DataFrame) -> DataFrame:
             .join(ids, F.col("dst") == F.col("id"), "left_semi"))
 
 
+def _chains(arcs: DataFrame) -> DataFrame:
+    """Vertices with one incoming and one outgoing arc, with the vertices at both ends of their chain.
+
+    ``before`` and ``after`` are the nearest vertices that are not of this kind, found by
+    pointer jumping in about log2 rounds; ``next`` and ``last`` are the neighbours. A closed ring
+    has no ends: its vertices keep nulls and the smallest id of the ring in ``low``.
+    """
+    outs = arcs.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("o"), F.max("dst").alias("next")).where("o = 1")
+    ins = arcs.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("i"), F.max("src").alias("last")).where("i = 1")
+    chain = materialize(outs.join(ins, "id").select("id", "next", "last"), "chain")
+    kind = dict(chain.dtypes)["id"]
+    none = F.lit(None).cast(kind)
+    member = chain.select(F.col("id").alias("at"))
+    # ``on`` and ``back`` still point to chain vertices; once past them the pointer is an end.
+    state = materialize(
+        chain.join(member.select(F.col("at").alias("next"), F.lit(True).alias("n")), "next", "left")
+        .join(member.select(F.col("at").alias("last"), F.lit(True).alias("l")), "last", "left").select(
+            "id", F.when(F.col("n"), F.col("next")).alias("on"), F.when(F.col("n").isNull(), F.col("next")).alias("after"),
+            F.when(F.col("l"), F.col("last")).alias("back"), F.when(F.col("l").isNull(), F.col("last")).alias("before"),
+            F.least("id", "next").alias("low"), "next", "last"), "pointers")
+    rounds = max(1, chain.count()).bit_length() + 1
+    for _ in range(rounds):
+        if state.where("on IS NOT NULL OR back IS NOT NULL").isEmpty():
+            break
+        ahead = state.select(F.col("id").alias("on"), F.col("on").alias("on2"), F.col("after").alias("after2"), F.col("low").alias("low2"))
+        behind = state.select(F.col("id").alias("back"), F.col("back").alias("back2"), F.col("before").alias("before2"))
+        state = _replace(state, state.join(ahead, "on", "left").join(behind, "back", "left").select(
+            "id", F.col("on2").alias("on"), F.coalesce("after", "after2").alias("after"), F.col("back2").alias("back"),
+            F.coalesce("before", "before2").alias("before"), F.least("low", "low2").alias("low"), "next", "last"))
+    discard(chain)
+    ring = F.col("after").isNull()
+    return _replace(state, state.select("id", F.when(ring, none).otherwise(F.col("before")).alias("before"), "after", "low", "next", "last"))
+
+
 def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -> DataFrame:
     """``(id, component)`` with the smallest vertex id as component.
 
-    Each round trims vertices without an incoming or outgoing edge, spreads
-    the smallest id forward as a colour, and then walks backward from every
-    colour's root inside its colour: what the walk meets is a component.
+    Vertices without an incoming or outgoing arc are trimmed, and chains of vertices with
+    one of each are replaced by one arc between their ends, so a path or a tree of any length
+    goes in about log2 rounds. A ring is a component; the vertices of another chain belong to the
+    component of its ends if both ends are in one, which is settled once the ends are. What is left is
+    solved in rounds: the smallest id is spread forward as a colour, and a walk backward from
+    every colour's root inside its colour meets a component.
     Vertices left after ``max_rounds`` keep their own id.
     """
     ids = graph.vertices.select("id")
-    left = materialize(ids, "left")
     arcs = materialize(graph.edges.where("src != dst").select("src", "dst").distinct(), "arcs")
     done: list[DataFrame] = []
+    contracted: list[DataFrame] = []
     rounds = 0
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
         while True:
-            both = arcs.select("src").intersect(arcs.select("dst")).select(F.col("src").alias("id"))
-            kept = materialize(left.join(both, "id", "left_semi"), "left")
-            settled = kept.count() == left.count()
-            discard(left)
-            left = kept
-            if settled:
-                break
-            arcs = _replace(arcs, _between(arcs, kept))
-        if left.limit(1).count() == 0:
+            before = arcs.count()
+            both = materialize(arcs.select("src").intersect(arcs.select("dst")).select(F.col("src").alias("id")), "left")
+            arcs = _replace(arcs, _between(arcs, both))
+            discard(both)
+            chains = _chains(arcs)
+            if chains.isEmpty():
+                discard(chains)
+                if arcs.count() == before:
+                    break
+                continue
+            rings = chains.where("after IS NULL")
+            done.append(rings.select("id", F.col("low").alias("component")))
+            contracted.append(chains.where("after IS NOT NULL").select("id", "before", "after"))
+            # The first vertex of each chain, whose neighbour is its end, stands for the whole chain.
+            bridges = chains.where("before = last AND before != after").select(F.col("before").alias("src"), F.col("after").alias("dst"))
+            plain = arcs.join(chains, F.col("src") == F.col("id"), "left_anti").join(chains, F.col("dst") == F.col("id"), "left_anti")
+            arcs = _replace(arcs, plain.unionByName(bridges).distinct())
+        if not before:
             break
+        left = materialize(arcs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "left")
         colours = _spread_smallest(arcs.select(F.col("src").alias("from"), F.col("dst").alias("to")),
                                    left.select("id", F.col("id").alias("colour")))
         tinted = (arcs.join(colours.select(F.col("id").alias("src"), F.col("colour").alias("cs")), "src")
@@ -173,44 +213,53 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
         discard(colours)
         left = _replace(left, left.join(found, "id", "left_anti"))
         arcs = _replace(arcs, _between(arcs, left))
+        discard(left)
     discard(arcs)
-    if not done:
+    if not done and not contracted:
         return ids.select("id", F.col("id").alias("component"))
-    members = done[0]
-    for part in done[1:]:
-        members = members.union(part)
-    return ids.join(members, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    label = F.coalesce("component", "id")
+    members = ids.withColumn("component", F.col("id")).limit(0)
+    for part in done:
+        members = members.unionByName(part)
+    # Chains that were replaced last are settled first: their ends may lie on those replaced before.
+    for chains in reversed(contracted):
+        known = materialize(members, "members")
+        of = lambda name: known.select(F.col("id").alias(name), F.col("component").alias(f"{name}_in"))
+        ends = chains.join(of("before"), "before", "left").join(of("after"), "after", "left")
+        first, second = F.coalesce("before_in", "before"), F.coalesce("after_in", "after")
+        inside = ends.where(first == second).select("id", first.alias("component"))
+        # An end that had no component yet is in one now, with its chain.
+        joined = inside.join(known.select(F.col("id").alias("component")), "component", "left_anti").select(F.col("component").alias("id"), "component").distinct()
+        members = known.unionByName(inside).unionByName(joined)
+    members = members.distinct()
+    smallest = members.groupBy("component").agg(F.min("id").alias("low"))
+    named = members.join(smallest, "component").select("id", F.col("low").alias("component"))
+    return ids.join(named, "id", "left").select("id", label.alias("component"))
 
 
 def shortest_paths(graph: Graph, landmarks: Sequence, max_hops: int | None = None) -> DataFrame:
-    """``(id, distances)``: hops along edges to each reachable landmark, as a map."""
-    arcs = materialize(graph.edges.select("src", "dst").distinct(), "arcs")
-    ids = graph.vertices.select("id")
-    start = ids.where(F.col("id").isin(list(landmarks))).select("id", F.col("id").alias("landmark"), F.lit(0).alias("hops"))
-    frontier = materialize(start, "level")
-    levels = [frontier]
-    hops = 0
-    while max_hops is None or hops < max_hops:
-        hops += 1
-        reached = (arcs.join(frontier.select(F.col("id").alias("dst"), "landmark"), "dst")
-                   .select(F.col("src").alias("id"), "landmark").distinct())
-        known = levels[0]
-        for level in levels[1:]:
-            known = known.union(level)
-        frontier = materialize(reached.join(known, ["id", "landmark"], "left_anti")
-                               .select("id", "landmark", F.lit(hops).alias("hops")), "level")
-        if frontier.limit(1).count() == 0:
-            break
-        levels.append(frontier)
-        if len(levels) == 16:
-            levels = [materialize(known.union(frontier), "levels")]
-    known = levels[0]
-    for level in levels[1:]:
-        known = known.union(level)
-    maps = known.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("landmark", "hops"))).alias("distances"))
-    empty = F.create_map().cast("map<bigint,int>") if dict(ids.dtypes)["id"] == "bigint" else F.create_map().cast(
-        f"map<{dict(ids.dtypes)['id']},int>")
-    return ids.join(maps, "id", "left").select("id", F.coalesce("distances", empty).alias("distances"))
+    """``(id, distances)``: hops along edges to each reachable landmark, as a map.
+
+    Only vertices whose distances became smaller send again, so a round costs what its frontier does.
+    """
+    kind = dict(graph.vertices.dtypes)["id"]
+    arcs = StoredArcs(graph.edges.select(F.col("dst").alias("from"), F.col("src").alias("to")).distinct())
+    empty = F.create_map().cast(f"map<{kind},int>")
+    own = F.col("id").isin(list(landmarks))
+    start = graph.vertices.select("id", F.when(own, F.create_map("id", F.lit(0))).otherwise(empty).alias("distances"), own.alias("active"))
+
+    def nearest(mail: DataFrame) -> DataFrame:
+        hops = mail.select("id", F.explode("sent").alias("landmark", "hops")).groupBy("id", "landmark").agg(F.min("hops").alias("hops"))
+        return hops.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("landmark", "hops"))).alias("seen"))
+
+    entries = F.map_entries(F.coalesce("seen", empty))
+    nearer = F.filter(entries, lambda e: F.coalesce(e["value"] < F.try_element_at("distances", e["key"]), F.lit(True)))
+    others = F.filter(F.map_entries("distances"), lambda e: F.coalesce(e["value"] <= F.try_element_at("seen", e["key"]), F.lit(True)))
+    state = vertex_program(
+        arcs, start, {"sent": F.transform_values("distances", lambda k, v: v + 1)}, nearest,
+        {"distances": F.map_from_entries(F.concat(others, nearer))}, F.size(nearer) > 0, max_hops)
+    arcs.discard()
+    return state.select("id", "distances")
 
 
 def _shortest_steps(

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from dunlin.graph import algorithms as X
 from dunlin.graph import motif as M
 from dunlin.graph.model import Graph
+from dunlin.graph.program import StoredArcs
+from dunlin.session import materialize
 from tests.conftest import values
 
 
@@ -186,3 +188,90 @@ def test_model(spark, tmp_path):
     assert values(Graph.load(spark, str(tmp_path / "g")).edges) == sorted(edges)
     sent = graph.aggregate_messages(F.sum("msg").alias("s"), to_src=F.col("dst_attr.id"), to_dst=F.col("src_attr.id"))
     assert values(sent) == [(1, 8), (2, 9), (3, 2), (4, 1)]
+
+
+def jobs(spark, run):
+    """Result of ``run`` and the number of Spark jobs that it took."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        got = run()
+        return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_chain_goes_in_few_rounds(spark):
+    """A path of 1,000 vertices that ends in a ring of 20 whose ids are not in order, and a tail."""
+    ring = [1000 + (7 * i) % 20 for i in range(20)]
+    edges = [(i, i + 1) for i in range(999)] + [(999, ring[3])] + list(zip(ring, ring[1:] + ring[:1])) + [(ring[5], 2000), (2000, 2001)]
+    graph = make(spark, edges, 2002)
+    got, short = jobs(spark, lambda: dict(values(X.strongly_connected_components(graph))))
+    assert got == {i: 1000 if 1000 <= i < 1020 else i for i in range(2002)}
+    few = make(spark, edges[990:], 2002)
+    _, base = jobs(spark, lambda: X.strongly_connected_components(few).count())
+    # Pointer jumping doubles its steps: a path a hundred times as long takes a few rounds more.
+    assert short - base < 80
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_components_of_sparse_graphs(spark, seed):
+    """Paths, rings, chains from a vertex back to itself and between members of one component."""
+    draw = random.Random(seed)
+    ids = draw.sample(range(100), 40)
+    edges = set()
+    for _ in range(6):
+        path = draw.sample(ids, draw.randrange(2, 9))
+        edges |= set(zip(path, path[1:]))
+        if draw.random() < 0.6:
+            edges.add((path[-1], path[0]))
+    reach = {i: {i} for i in range(100)}
+    for _ in range(100):
+        for a, b in edges:
+            reach[a] |= reach[b]
+    want = {i: min(j for j in range(100) if j in reach[i] and i in reach[j]) for i in range(100)}
+    assert dict(values(X.strongly_connected_components(make(spark, sorted(edges), 100)))) == want
+
+
+def test_arcs_are_stored_in_the_order_of_the_join(spark):
+    arcs = StoredArcs(spark.createDataFrame([(i % 50, i) for i in range(5000)], "from long, to long"))
+    state = materialize(spark.range(50).withColumn("x", F.col("id")), "state")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = arcs.joined(state)._jdf.queryExecution().sparkPlan().toString() + arcs.joined(state)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan[plan.rindex("SortMergeJoin"):]
+    side = final[: final.index("FileScan")]
+    assert "Exchange" not in side and "Sort " not in side and "Bucketed: true" in final
+
+
+def test_hub_arcs_are_dealt_out(spark):
+    """One vertex sends half of all arcs: no bucket holds them together, and all messages arrive."""
+    edges = [(0, i) for i in range(1, 8001)] + [(i, i + 1) for i in range(1, 8001)]
+    arcs = StoredArcs(spark.createDataFrame(edges, "from long, to long"))
+    assert [r["from"] for r in arcs.hubs.collect()] == [0]
+    largest = arcs.table.groupBy("from", "part").count().agg({"count": "max"}).first()[0]
+    assert largest < 5000
+    sent = arcs.joined(spark.range(8002).withColumn("x", F.lit(1)))
+    assert sent.count() == len(edges) and sent.select("from", "to").distinct().count() == len(edges)
+
+
+def test_later_rounds_send_less(spark):
+    """Delta propagation reaches the ranks of the plain loop and vertices at rest send nothing."""
+    draw = random.Random(4)
+    edges = sorted({(draw.randrange(60), draw.randrange(60)) for _ in range(150)} | {(i, i + 1) for i in range(60, 99)})
+    graph = make(spark, edges, 100)
+    senders = []
+    got = dict(values(X.pagerank(graph, tolerance=0.001, on_round=lambda done, state: senders.append(state.where("active").count()))))
+    exact = dict(values(X.pagerank(graph, tolerance=None, iterations=100)))
+    assert max(abs(got[k] - exact[k]) for k in exact) < 0.001
+    assert senders[0] > 40
+    assert senders[-1] < senders[0] / 3
+
+
+def test_paths_along_a_long_chain_and_over_a_hub(spark):
+    edges = [(i, i + 1) for i in range(30)] + [(i, 100) for i in range(101, 400)] + [(100, 0)]
+    got = {r["id"]: r["distances"] for r in X.shortest_paths(make(spark, edges, 400), [30, 100]).collect()}
+    assert got[0] == {30: 30} and got[100] == {30: 31, 100: 0} and got[399] == {30: 32, 100: 1} and got[31] == {}
+    near = {r["id"]: r["distances"] for r in X.shortest_paths(make(spark, edges, 400), [30, 100], max_hops=2).collect()}
+    assert near[28] == {30: 2} and near[27] == {} and near[399] == {100: 1}
