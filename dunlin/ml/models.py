@@ -21,16 +21,27 @@ def cross_validate(
     evaluator: Evaluator,
     grid: Mapping,
     train: DataFrame,
+    keys: Sequence[str],
     folds: int = 2,
     parallelism: int = 2,
     seed: int = 0,
 ) -> CrossValidatorModel:
-    """Grid search by k-fold cross validation, fitted on training rows only."""
+    """Grid search by k-fold cross validation, fitted on training rows only.
+
+    The fold of a row is a hash of its ``keys`` and the seed, so it stays the same however the
+    rows are ordered, dealt out or read again; rows with equal keys share a fold.
+    """
+    train = train.withColumn("#fold", fold_of(keys, folds, seed))
     builder = ParamGridBuilder()
     for param, values in grid.items():
         builder = builder.addGrid(param, list(values))
     return CrossValidator(estimator=estimator, evaluator=evaluator, estimatorParamMaps=builder.build(),
-                          numFolds=folds, parallelism=parallelism, seed=seed).fit(train)
+                          numFolds=folds, parallelism=parallelism, seed=seed, foldCol="#fold").fit(train)
+
+
+def fold_of(keys: Sequence[str], folds: int, seed: int = 0) -> Column:
+    """Number of the fold, 0 to ``folds - 1``, by a hash of the keys."""
+    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(folds)).cast("int")
 
 
 def fit_family(

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dunlin.session import materialize
+from dunlin.operators.ranks import running_totals
+from dunlin.session import materialize, ship_code
 
 
 def share_of_total(df: DataFrame, keys: Sequence[str], digits: int = 4) -> DataFrame:
@@ -119,11 +122,43 @@ def column_group_sums(df: DataFrame, keys: Sequence[str], groups: Mapping[str, S
     return filled.select(*keys, *sums)
 
 
+def _summaries(batches: Iterable[pa.RecordBatch], kept: int) -> Iterator[pa.RecordBatch]:
+    """Misra-Gries summary of the hashes in ``batches``: at most ``kept`` counts, each too low by ``error`` at most."""
+    keys, counts, error, rows = np.empty(0, np.int64), np.empty(0, np.int64), 0, 0
+    for batch in batches:
+        rows += batch.num_rows
+        fresh, times = np.unique(np.asarray(batch.column(0)), return_counts=True)
+        keys, place = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([counts, times])).astype(np.int64)
+        if len(keys) > kept:
+            # What all counts give up together was seen kept + 1 times as often.
+            cut = int(np.partition(counts, -kept - 1)[-kept - 1])
+            error, stay = error + cut, counts > cut
+            keys, counts = keys[stay], counts[stay] - cut
+    yield pa.RecordBatch.from_arrays([
+        pa.array([None, *keys.tolist()], pa.int64()), pa.array([rows, *counts.tolist()], pa.int64()), pa.array([error] + [0] * len(keys), pa.int64())],
+        ["key", "n", "error"])
+
+
 def frequent_items(df: DataFrame, column: str, support: float) -> DataFrame:
-    """Exactly the values that hold at least ``support`` of all rows."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.where(F.col("n") >= F.lit(support) * total)
+    """Exactly the values (null too) that hold at least ``support`` of all rows, with their counts.
+
+    Every task summarises its rows in ``2 / support`` counters, so what is shuffled does not
+    grow with the number of distinct values. A frequent value cannot be missing from the merged summary;
+    at most ``2 / support`` candidates are left, and a second pass counts only the rows that hold one.
+    """
+    if not 0 < support <= 1:
+        raise ValueError("support is a share of the rows")
+    ship_code(df.sparkSession)
+    kept = math.ceil(2 / support)
+    hashed = df.select(F.xxhash64(column).alias("key"))
+    merged = materialize(hashed.mapInArrow(lambda batches: _summaries(batches, kept), "key long, n long, error long")
+                         .groupBy("key").agg(F.sum("n").alias("n"), F.sum("error").alias("error")), "summary")
+    whole = merged.where("key IS NULL").first()
+    total, error = (whole["n"], whole["error"]) if whole else (0, 0)
+    candidates = merged.where(F.col("key").isNotNull() & (F.col("n") >= F.lit(support * total - error))).select(F.col("key").alias("#key"))
+    counted = df.select(column).join(F.broadcast(candidates), F.xxhash64(column) == F.col("#key"), "left_semi").groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") >= F.lit(support) * F.lit(total))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -191,7 +226,7 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
 
     A sketch brackets each quantile between two values.  One more pass counts
     the rows outside the brackets and, value by value, those inside, so a value
-    that fills much of the table is one row.  A quantile is the smallest value
+    that fills much of the table is one row; the counts inside are added up range by range.  A quantile is the smallest value
     whose rank is at least ``ceil(probability * n)``.
     """
     spark = df.sparkSession
@@ -228,9 +263,11 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float],
         if not missed:
             break
         brackets |= {p: (found["lo"], found["hi"]) for p in missed}
-    targets = spark.createDataFrame(wanted, "probability double, slot int, rank long")
-    upto = F.sum("n").over(Window.partitionBy("slot").orderBy("value"))
-    ordered = counts.where(F.col("slot").isin([w[1] for w in wanted])).withColumn("upto", upto)
+    # Ranks among the rows of the wanted slots alone, which are taken in one order.
+    used = sorted({s for _, s, _ in wanted})
+    shift = {s: sum(sizes[u] for u in used if u < s) for s in used}
+    targets = spark.createDataFrame([(p, s, rank + shift[s]) for p, s, rank in wanted], "probability double, slot int, rank long")
+    ordered = running_totals(counts.where(F.col("slot").isin(used)), ["slot", "value"], "n")
     return (ordered.join(F.broadcast(targets), "slot")
             .where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
             .select("probability", "value"))

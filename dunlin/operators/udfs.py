@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructType
 
-from dunlin.session import ship_code
+from dunlin.session import materialize, ship_code
 
-#: Results of pieces that a task holds before it merges them.
-PARTIAL_RESULTS = 20_000
+#: Rows up to which a group is always left whole.
+LARGE_GROUP = 10_000
 
 
 def register_scalar(spark: SparkSession, name: str, function: Callable[[pd.Series], pd.Series], kind: DataType | str):
@@ -40,39 +42,39 @@ def grouped_apply(
 ) -> DataFrame:
     """Apply ``function`` to pieces of each group and ``merge`` to the results.
 
-    Every group takes the same way, whatever its size: ``function`` sees the
-    rows of the group in one Arrow batch, ``merge`` the collected results of
-    some pieces of one group, first inside a task and then across tasks.
-    ``merge`` must accept its own output, and its result must not depend on how
-    the pieces were cut.  Both return the key columns.  Use :func:`whole_groups`
-    for a function that has to see its group at once.
+    One call streams a group in Arrow batches: ``function`` sees each batch, ``merge`` what the
+    batches so far gave and the next result, so a worker holds one batch and one result. A group with
+    more rows than an average partition is dealt to several calls whose results are merged once more; there
+    are no more such groups than partitions, which bounds the list of them that is broadcast.
+    ``merge`` must accept its own output, and its result must not depend on how the pieces were cut; so that
+    all groups take the same way, it is also called on single results. Both return the key columns. Use
+    :func:`whole_groups` for a function that has to see its group at once.
     """
     ship_code(df.sparkSession)
     text, by = _text_fields(schema), list(keys)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def per_key(frame: pd.DataFrame, apply: Callable[[pd.DataFrame], pd.DataFrame]) -> list[pd.DataFrame]:
-        return [_plain_text(apply(group), text) for _, group in frame.groupby(by, dropna=False, sort=False)]
-
-    def partial(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+    def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        result = None
         for frame in frames:
-            if not len(frame):
-                continue
-            held += per_key(frame, function)
-            if len(held) > PARTIAL_RESULTS:
-                merged = per_key(pd.concat(held, ignore_index=True), merge)
-                # Keys that never repeat would be merged in vain; pass them on.
-                if len(merged) > PARTIAL_RESULTS // 2:
-                    yield from merged
-                    merged = []
-                held = merged
-        if held:
-            yield from per_key(pd.concat(held, ignore_index=True), merge)
+            if len(frame):
+                part = function(frame.drop(columns="#piece"))
+                result = merge(part if result is None else pd.concat([result, part], ignore_index=True))
+        if result is not None:
+            yield _plain_text(result, text)
 
     def final(frame: pd.DataFrame) -> pd.DataFrame:
         return _plain_text(merge(frame), text)
 
-    return df.mapInPandas(partial, schema).groupBy(*keys).applyInPandas(final, schema)
+    sizes = materialize(df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    limit = max(LARGE_GROUP, (sizes.agg(F.sum("n")).first()[0] or 0) // partitions)
+    large = sizes.where(F.col("n") > limit).select(*(F.col(k).alias(f"#{k}") for k in by), F.ceil(F.col("n") / limit).cast("int").alias("#pieces"))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"#{k}")) for k in by))
+    dealt = df.join(F.broadcast(large), same, "left").withColumn("#piece", F.pmod(F.monotonically_increasing_id(), F.coalesce("#pieces", F.lit(1))))
+    # Calls cost far more than bytes, so adaptive execution must not merge partitions by their bytes.
+    pieces = dealt.select(*df.columns, "#piece").repartition(partitions, *by, "#piece")
+    parts = pieces.groupBy(*by, "#piece").applyInPandas(stream, schema)
+    return parts.repartition(partitions, *by).groupBy(*by).applyInPandas(final, schema)
 
 
 def whole_groups(

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from dunlin.ml import features as L
 from dunlin.ml import models as N
+from dunlin.operators.ranks import code_labels
 from dunlin.operators.sampling import split_by_weight
 from dunlin.plans.registry import Tables, plan
 from dunlin.session import materialize, scratch_path
@@ -39,8 +40,7 @@ def rows(name: str = "n"):
     JOIN (SELECT p_type, row_number() OVER (ORDER BY count(*) DESC, p_type) - 1 AS a FROM part GROUP BY 1) USING (p_type)
     JOIN (SELECT p_brand, row_number() OVER (ORDER BY count(*) DESC, p_brand) - 1 AS b FROM part GROUP BY 1) USING (p_brand)""")
 def _(t: Tables):
-    part = t.part.select("p_type", "p_brand")
-    coded = L.index_strings(part, ["p_type", "p_brand"]).transform(part)
+    coded = code_labels(t.part.select("p_type", "p_brand"), ["p_type", "p_brand"])
     return coded.groupBy("p_type", "p_brand", "p_typeCat", "p_brandCat").agg(rows())
 
 
@@ -460,7 +460,7 @@ def _(t: Tables):
 def _(t: Tables):
     train, test = _lines(t)
     lr = LogisticRegression(maxIter=5)
-    tuned = N.cross_validate(lr, MulticlassClassificationEvaluator(metricName="accuracy"), {lr.regParam: [0.01, 0.3]}, train)
+    tuned = N.cross_validate(lr, MulticlassClassificationEvaluator(metricName="accuracy"), {lr.regParam: [0.01, 0.3]}, train, ["l_orderkey", "l_linenumber"])
     return _beats_majority(tuned.transform(test)).withColumn("candidates", F.lit(len(tuned.avgMetrics)))
 
 

@@ -8,9 +8,10 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from dunlin.plans.registry import Tables, plan
-from dunlin.session import scratch_path
+from dunlin.session import delete_path, scratch_path
 from dunlin.streaming import jobs as J
 from dunlin.streaming.polled import read_polled_lines
+from dunlin.streaming.rows import write_rows
 
 
 def rows(name: str = "n"):
@@ -165,6 +166,18 @@ def _(t: Tables):
     return t.spark.read.parquet(f"{out}/data").groupBy("user_id").agg(rows())
 
 
+@plan("T11_foreach_rows_sink", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
+def _(t: Tables):
+    """Each row goes through open, process and close; the last epoch is then replayed and writes nothing again."""
+    out = scratch_path(t.spark, "t11-rows")
+    stream = events(t).select("user_id", "value")
+    write_rows(stream, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    delete_path(t.spark, f"{out}/checkpoint/commits")
+    write_rows(events(t).select("user_id", "value"), f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    written = t.spark.read.schema("user_id long, value double").json(f"{out}/data")
+    return written.groupBy("user_id").agg(rows(), F.round(F.sum("value"), 2).alias("total"))
+
+
 @plan("T13_bounded_replay_trigger", "SELECT count(*) AS n, true AS stopped FROM events")
 def _(t: Tables):
     out = scratch_path(t.spark, "t13")

@@ -214,10 +214,11 @@ def totals(spark: SparkSession) -> Iterator[Totals]:
         spark.streams.removeListener(held)
 
 
-def progress_row(query: StreamingQuery, held: Totals) -> dict:
+def progress_row(query: StreamingQuery, held: Totals, timeout: float = 60) -> dict:
     """What a query that has ended reports about itself, from its first batch to its last."""
     # Reports arrive on their own thread; the end is the last of them.
-    held.ended[str(query.runId)].wait(60)
+    if not held.ended[str(query.runId)].wait(timeout):
+        raise TimeoutError(f"the end of {query.name or query.id} was not reported in {timeout} s, so its totals may lack batches")
     failure = query.exception()
     return {
         "name": query.name, "active": query.isActive, "failed": failure is not None, "error": str(failure) if failure else None,

@@ -16,6 +16,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SOURCE_NAME = "dunlin_lines"
 #: Bytes that a task decodes at once.
 BLOCK_BYTES = 4 << 20
+#: Entries of the log after which the names of all files are written as one.
+COMPACT = 10
 
 
 class ByteRange(InputPartition):
@@ -30,23 +32,46 @@ class PolledLinesReader(DataSourceStreamReader):
 
     Every poll that finds files not yet in the log writes one more entry with
     their names and sizes, so a file is taken once whatever its time stamp, and
-    a restart finds the same entries.  Files have to be moved into the folder
-    complete, keep their name and stay unchanged.  An emptied folder gives
-    nothing new; a missing one is an error.
+    a restart finds the same entries.  Every :data:`COMPACT` entries the names of
+    all files so far are also written as one compacted file: a reader that starts
+    reads that and the entries after it, and from then on only entries it has not
+    read.  Files have to be moved into the folder complete, keep their name and stay
+    unchanged.  An emptied folder gives nothing new; a missing one is an error.
     """
 
     def __init__(self, folder: str, log: str, range_bytes: int):
         self.folder, self.log, self.range_bytes = folder, log, range_bytes
+        #: Names of the files in the first ``known`` entries.
+        self.seen: set[str] = set()
+        self.known = 0
 
     def _place(self, path: str):
         if "://" in path or path.startswith("file:/"):
             return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
         return pafs.LocalFileSystem(), path
 
-    def _entries(self) -> list[str]:
+    def _entries(self, ending: str = ".json") -> list[str]:
         fs, root = self._place(self.log)
         found = fs.get_file_info(pafs.FileSelector(root, allow_not_found=True))
-        return sorted(f.path for f in found if f.base_name.endswith(".json"))
+        return sorted(f.path for f in found if f.base_name.endswith(ending))
+
+    def _write(self, name: str, held: list) -> None:
+        """Written aside and moved, so that a torn file is never read."""
+        fs, root = self._place(self.log)
+        fs.create_dir(root, recursive=True)
+        with fs.open_output_stream(f"{root}/{name}.tmp") as out:
+            out.write(json.dumps(held).encode())
+        fs.move(f"{root}/{name}.tmp", f"{root}/{name}")
+
+    def _catch_up(self, entries: list[str]) -> None:
+        """Learn the names in all entries, from the last compacted file where that is ahead."""
+        compacted = self._entries(".compact") if self.known == 0 else []
+        if compacted:
+            self.seen = set(self._read(compacted[-1]))
+            self.known = int(compacted[-1].rsplit("/", 1)[-1].split(".")[0])
+        for entry in entries[self.known:]:
+            self.seen.update(path for path, _ in self._read(entry))
+        self.known = max(self.known, len(entries))
 
     def _read(self, path: str) -> list:
         fs, _ = self._place(self.log)
@@ -61,16 +86,14 @@ class PolledLinesReader(DataSourceStreamReader):
         found = fs.get_file_info(pafs.FileSelector(root))
         files = sorted((f.path, f.size) for f in found if f.type == pafs.FileType.File and not f.base_name.startswith(("_", ".")))
         entries = self._entries()
-        seen = {path for entry in entries for path, _ in self._read(entry)}
-        fresh = [f for f in files if f[0] not in seen]
+        self._catch_up(entries)
+        fresh = [f for f in files if f[0] not in self.seen]
         if fresh:
-            log_fs, log_root = self._place(self.log)
-            log_fs.create_dir(log_root, recursive=True)
-            name = f"{log_root}/{len(entries):012d}"
-            # Written aside and moved, so that a torn entry is never read.
-            with log_fs.open_output_stream(f"{name}.tmp") as out:
-                out.write(json.dumps(fresh).encode())
-            log_fs.move(f"{name}.tmp", f"{name}.json")
+            self._write(f"{len(entries):012d}.json", fresh)
+            self.seen.update(path for path, _ in fresh)
+            self.known = len(entries) + 1
+            if self.known % COMPACT == 0:
+                self._write(f"{self.known:012d}.compact", sorted(self.seen))
         return {"entries": len(entries) + bool(fresh)}
 
     def partitions(self, start: dict, end: dict) -> list[ByteRange]:

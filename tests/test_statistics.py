@@ -1,15 +1,21 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from dunlin.ml.models import area_under_roc
+from dunlin.ml import features as L
+from dunlin.ml.features import index_strings
+from dunlin.ml.models import area_under_roc, cross_validate, fold_of
 from dunlin.operators import aggregates as A
 from dunlin.operators import relational as R
 from dunlin.operators import sampling as Z
 from dunlin.operators import timeseries as Y
 from dunlin.operators import windows as W
+from dunlin.operators.ranks import code_labels, label_codes, running_totals
 from tests.conftest import values
 
 
@@ -186,3 +192,76 @@ def test_merge_and_rename(spark):
         R.merge_tables(a, b.toDF("q", "r"))
     with pytest.raises(ValueError):
         R.rename_columns(a, {"absent": "b"})
+
+
+def test_running_totals_have_no_window_of_all_rows(spark):
+    """A third of the rows are one value; ranges are summed on their own and the whole is in order."""
+    draw = random.Random(5)
+    weights = [draw.randrange(1, 5) for _ in range(3000)]
+    df = spark.createDataFrame([(i, i % 7, w) for i, w in enumerate(weights)], "v long, x int, w long").repartition(5)
+    rows = running_totals(df, ["v"], "w").orderBy("v").collect()
+    total = 0
+    for row, w in zip(rows, weights, strict=True):
+        total += w
+        assert row.upto == total
+    plan = running_totals(df, ["v"], "w")._jdf.queryExecution().executedPlan().toString()
+    for window in [line for line in plan.splitlines() if "Window [" in line]:
+        # The one window without a partition is over the totals of the ranges.
+        assert "#range" in window
+    assert running_totals(df.limit(0), ["v"], "w").count() == 0
+
+
+def test_label_codes_equal_the_fitted_indexer(spark):
+    draw = random.Random(2)
+    labels = ["hot"] * 2000 + [f"v{draw.randrange(800)}" for _ in range(3000)] + [None, ""]
+    df = spark.createDataFrame([(v,) for v in labels], "v string")
+    fitted = index_strings(df.where("v IS NOT NULL"), ["v"]).labels
+    assert [r.label for r in label_codes(df, "v").orderBy("code").collect()] == fitted
+    coded = code_labels(df, ["v"])
+    assert coded.count() == len(labels) and coded.where("v IS NULL").first().vCat is None and coded.where("v = 'hot'").first().vCat == 0.0
+
+
+def test_frequent_items_shuffle_only_their_candidates(spark):
+    """Half of the rows are all different; what is shuffled stays within the counters of each task."""
+    draw = random.Random(7)
+    items = ["a"] * 4000 + ["b"] * 2500 + [None] * 2000 + [f"x{i}" for i in range(9000)] + ["c"] * 1700
+    draw.shuffle(items)
+    df = spark.createDataFrame([(v,) for v in items], "v string").repartition(6)
+    counts = Counter(items)
+    for support in (0.05, 0.1, 0.2, 1.0):
+        want = sorted(((v, n) for v, n in counts.items() if n >= support * len(items)), key=repr)
+        assert values(A.frequent_items(df, "v", support)) == want
+    hashes = [pa.RecordBatch.from_arrays([pa.array([draw.choice([1, 2, draw.randrange(10**9)]) for _ in range(500)], pa.int64())], ["k"]) for _ in range(20)]
+    summary = next(iter(A._summaries(hashes, 20))).to_pydict()
+    exact = Counter(v for b in hashes for v in b.column(0).to_pylist())
+    assert len(summary["key"]) <= 21 and summary["n"][0] == 10_000 and summary["error"][0] <= 10_000 // 21
+    found = dict(zip(summary["key"][1:], summary["n"][1:]))
+    assert all(n - summary["error"][0] <= found.get(v, 0) <= n for v, n in exact.items())
+    doubles = spark.createDataFrame([(float("nan"),)] * 6 + [(0.0,), (-0.0,), (1.0,)], "v double")
+    assert [(str(r.v), r.n) for r in A.frequent_items(doubles, "v", 0.5).collect()] == [("nan", 6)]
+    assert A.frequent_items(df.limit(0), "v", 0.5).count() == 0
+    with pytest.raises(ValueError):
+        A.frequent_items(df, "v", 0)
+
+
+def test_exact_quantiles_inside_one_wide_bracket(spark):
+    """A coarse sketch leaves brackets that hold a large part of the table, with one hot value in them."""
+    values_ = [i * 0.5 for i in range(4000)] + [777.25] * 3000
+    df = spark.createDataFrame([(v,) for v in values_], "x double").repartition(7)
+    ordered = sorted(values_)
+    for p in (0.1, 0.33, 0.5, 0.9):
+        assert A.exact_quantiles(df, "x", [p], accuracy=4).first()["value"] == ordered[-(-int(p * 100) * len(ordered) // 100) - 1]
+
+
+def test_folds_do_not_depend_on_the_order_of_rows(spark):
+    draw = random.Random(3)
+    rows = [(i, draw.random(), draw.random()) for i in range(600)]
+    df = L.assemble(spark.createDataFrame([(i, a, b, float(a + b > 1)) for i, a, b in rows], "id long, a double, b double, label double"), ["a", "b"])
+    sizes = df.groupBy(fold_of(["id"], 3).alias("f")).count()
+    assert values(sizes) == values(df.repartition(7, "a").orderBy("b").groupBy(fold_of(["id"], 3).alias("f")).count()) and sizes.count() == 3
+    lr = LogisticRegression(maxIter=8, featuresCol="features")
+    grid = {lr.regParam: [0.001, 0.5, 2.0]}
+    metric = MulticlassClassificationEvaluator(metricName="accuracy")
+    first, again = (cross_validate(lr, metric, grid, d, ["id"], folds=3) for d in (df, df.repartition(5, "b")))
+    assert first.avgMetrics == pytest.approx(again.avgMetrics, abs=1e-9)
+    assert first.bestModel.getRegParam() == again.bestModel.getRegParam()

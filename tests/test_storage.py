@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from dunlin.operators import catalog as C
@@ -10,7 +11,8 @@ from dunlin.sources import readers as R
 from dunlin.sources import records as B
 from dunlin.streaming import jobs as J
 from dunlin.sources.writers import write_table
-from dunlin.streaming.polled import PolledLinesReader, read_polled_lines
+from dunlin.streaming.polled import COMPACT, PolledLinesReader, read_polled_lines
+from dunlin.streaming.rows import FolderRows, write_rows
 from tests.conftest import values
 
 BLOCKS = """# header line
@@ -237,12 +239,91 @@ def test_grouped_apply_takes_one_way_for_every_group(spark, monkeypatch):
         return frame.groupby("k", dropna=False).agg({"max": "max", "count": "sum"}).reset_index()
 
     want = sorted([("hot", 7.0, 1001), ("cold", 2.0, 1), (None, 3.0, 1)], key=repr)
-    for batch, held in (("10000", 20_000), ("7", 2)):
+    for batch, large in (("10000", 10_000), ("7", 100)):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
-        monkeypatch.setattr(udfs, "PARTIAL_RESULTS", held)
+        monkeypatch.setattr(udfs, "LARGE_GROUP", large)
         try:
             assert values(U.grouped_apply(df, ["k"], count, "k string, max double, count long", merge)) == want
         finally:
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", sizes)
     assert values(U.whole_groups(df, ["k"], count, "k string, max double, count long")) == want
 
+
+
+def test_a_poll_reads_one_compacted_file_and_what_came_after(tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    reader = PolledLinesReader(str(folder), str(tmp_path / "log"), 100)
+    for i in range(2 * COMPACT + 3):
+        (folder / f"{i:03d}.txt").write_text(f"line {i}")
+        end = reader.latestOffset()
+    assert end == {"entries": 2 * COMPACT + 3}
+    reads = []
+    read = PolledLinesReader._read
+    monkeypatch.setattr(PolledLinesReader, "_read", lambda self, path: reads.append(path) or read(self, path))
+    # A new reader, as after a restart: the last compacted file and three entries.
+    fresh = PolledLinesReader(str(folder), str(tmp_path / "log"), 100)
+    assert fresh.latestOffset() == end
+    assert len(reads) == 4 and reads[0].endswith(".compact")
+    reads.clear()
+    (folder / "new.txt").write_text("new")
+    assert fresh.latestOffset() == {"entries": 2 * COMPACT + 4} and reads == []
+    assert polled(fresh, end)[1] == ["new"]
+    # What the first reader has not seen itself it finds in the log.
+    assert reader.latestOffset() == {"entries": 2 * COMPACT + 4}
+    assert len(reader.partitions({"entries": 0}, end)) == 2 * COMPACT + 3
+
+
+def test_compacted_log_survives_a_lost_compaction(tmp_path):
+    folder, log = tmp_path / "in", tmp_path / "log"
+    folder.mkdir()
+    for i in range(COMPACT):
+        (folder / f"{i}.txt").write_text("x")
+        PolledLinesReader(str(folder), str(log), 100).latestOffset()
+    for path in log.glob("*.compact"):
+        path.unlink()
+    assert PolledLinesReader(str(folder), str(log), 100).latestOffset() == {"entries": COMPACT}
+
+
+def test_foreach_writer_skips_committed_partitions(tmp_path):
+    writer = FolderRows(str(tmp_path / "out"))
+    assert writer.open(3, 7)
+    writer.process(Row(a=1, b="é"))
+    writer.close(None)
+    assert not FolderRows(str(tmp_path / "out")).open(3, 7)
+    # A try that fails leaves nothing; the next one may write.
+    broken = FolderRows(str(tmp_path / "out"))
+    assert broken.open(4, 7)
+    broken.process(Row(a=2, b=None))
+    broken.close(ValueError("lost"))
+    again = FolderRows(str(tmp_path / "out"))
+    assert again.open(4, 7)
+    again.process(Row(a=2, b=None))
+    again.close(None)
+    files = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_file())
+    assert files == ["000000000007-000003.json", "000000000007-000004.json"]
+    assert (tmp_path / "out" / files[0]).read_text(encoding="utf-8") == '{"a": 1, "b": "\\u00e9"}\n' and not list((tmp_path / "out" / "_tries").iterdir())
+
+
+def test_replayed_epochs_write_nothing_twice(spark, tmp_path):
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for i in range(3):
+        spark.range(100 * i, 100 * i + 100, 1, 2).write.mode("append").parquet(source)
+    stream = lambda: J.read_files(spark, source, spark.range(1).schema, files_per_trigger=2)
+    write_rows(stream(), out, checkpoint).awaitTermination()
+    want = values(spark.read.schema("id long").json(out))
+    assert sorted(v for (v,) in want) == list(range(300))
+    before = sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "out").iterdir() if p.is_file())
+    last = max((p for p in (tmp_path / "checkpoint" / "commits").iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    write_rows(stream(), out, checkpoint).awaitTermination()
+    assert sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / "out").iterdir() if p.is_file()) == before
+
+
+def test_unreported_end_is_an_error(spark, tmp_path):
+    spark.range(5).write.parquet(str(tmp_path / "in"))
+    query = J.start_file_sink(J.read_files(spark, str(tmp_path / "in"), spark.range(1).schema), str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    with pytest.raises(TimeoutError):
+        J.progress_row(query, J.Totals(), timeout=0.1)
