@@ -8,21 +8,23 @@ padding.  Nothing is shuffled; a bucket is a column and, once written, a folder.
 Token ids are those of the byte-level BPE given by its ``tokenizers`` file.  The
 file's rules split a text before every single space that follows a non-space,
 so the ids of a text are the ids of its space-separated units; each task keeps
-a bounded table of units it has met.  Texts with longer white space or with a
+a bounded table of units it has met. The file is shipped with the job, so executors need no copy.  Texts with longer white space or with a
 special token's string are encoded whole.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,7 +34,7 @@ from dunlin.llm.common import in_arrow, pieces, text_of
 MAX_LENGTH = 2048
 END_ID = 1
 #: Units that a task keeps at most, and the longest that it keeps.
-KEPT_UNITS, KEPT_CHARS = 400_000, 48
+KEPT_UNITS, KEPT_CHARS = 200_000, 48
 #: White space before a space that more white space or the end follows: the space is no boundary.
 UNSAFE = re.compile(r"\s (?:\s|\Z)")
 #: Fixed value: the splitting pattern of this kind of vocabulary.
@@ -56,8 +58,12 @@ class Units(dict):
         letters = _byte_of_letter()
         ranks = {bytes(map(letters.__getitem__, token)): i for token, i in held["model"]["vocab"].items() if token not in special}
         self.native = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(path)
-        self.special = tuple(special)
+        self.path, self.special = path, tuple(special)
+
+    @cached_property
+    def whole(self) -> Tokenizer:
+        """The tokenizer itself, loaded only where a text holds a special token."""
+        return Tokenizer.from_file(self.path)
 
     def __missing__(self, unit: str) -> bytes:
         ids = self.plain(" " + unit)
@@ -80,7 +86,9 @@ class Units(dict):
 
 @lru_cache(maxsize=1)
 def units(path: str) -> Units:
-    return Units(path)
+    """The table of the tokenizer file at the driver's ``path``, from the copy that Spark ships with the job where there is one."""
+    shipped = SparkFiles.get(os.path.basename(path))
+    return Units(shipped if os.path.exists(shipped) else path)
 
 
 def binary_lengths(n: int, most: int = MAX_LENGTH) -> list[int]:
@@ -101,6 +109,7 @@ def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, end_id:
     """
     if max_length & (max_length - 1) or max_length < 1:
         raise ValueError("max_length has to be a power of two")
+    docs.sparkSession.sparkContext.addFile(tokenizer)
     source = text_of(docs, doc_id, text)
     schema = f"doc_id {dict(source.dtypes)['doc_id']}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
 
@@ -134,19 +143,6 @@ def pack(docs: DataFrame, tokenizer: str, max_length: int = MAX_LENGTH, end_id:
     return cuts.select(*names, *["ids"] * with_ids)
 
 
-def with_ids_crc32(packed: DataFrame, ids: str = "ids", name: str = "ids_crc32") -> DataFrame:
-    """``packed`` with the CRC-32 of each row's ids, four little-endian bytes each, worked out from the column ``ids``."""
-    plain = packed.drop(name)
-    at, names = plain.columns.index(ids), [c for c in packed.columns if c != name] + [name]
-
-    def add(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        sums = [zlib.crc32(np.asarray(x.values, "<u4").tobytes()) for x in batch.column(at)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.int64())], names)
-
-    summed = in_arrow(plain, add, ", ".join(f"`{c}` {kind}" for c, kind in [*plain.dtypes, (name, "long")]))
-    return summed.select(*packed.columns)
-
-
 def write_buckets(packed: DataFrame, path: str) -> None:
     """One folder per length, so that a reader can batch equal lengths."""
     packed.write.partitionBy("bucket").parquet(path)

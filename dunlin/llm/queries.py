@@ -14,7 +14,7 @@ from dunlin.llm.common import SHIPPED_IDS, read
 from dunlin.llm.decontamination import covered, find_windows
 from dunlin.llm.licenses import known_digests, scan_licenses
 from dunlin.llm.linededup import line_report
-from dunlin.llm.packing import pack, with_ids_crc32
+from dunlin.llm.packing import pack
 from dunlin.llm.periods import periodic_runs
 from dunlin.llm.repetition import repetition
 from dunlin.llm.sharding import assign_shards
@@ -40,8 +40,8 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pieces with their ids; the sums are those of the ids that are returned."""
-    return with_ids_crc32(pack(read(spark, sf_dir, "documents"), TOKENIZER))
+    """All pieces with their ids; the sums are worked out from the ids that are returned, where they are made."""
+    return pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

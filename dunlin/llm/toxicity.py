@@ -15,7 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.common import in_arrow, pieces, text_of
-from dunlin.session import materialize
+from dunlin.session import materialize, ship_code
 
 #: Labelled rows that a model is fitted on at most: the documented bound of the sample.
 FIT_ROWS = 20_000
@@ -38,8 +38,8 @@ BLOCK = 1024
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of the beginnings of longer words that are features.
 HEADS = (4, 5, 6, 7)
-#: Words whose slot a task keeps.
-KEPT_WORDS = 400_000
+#: Words whose slots a task keeps (about 300 bytes each).
+KEPT_WORDS = 100_000
 
 
 class Slots(dict):
@@ -200,17 +200,23 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, bits:
 def _clear_slots(labelled: DataFrame, bits: int) -> np.ndarray:
     """Slots whose share of documents differs by ``CLEAR`` standard errors, at most ``SLOTS`` of them; counted in Spark."""
 
-    def tally(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Slots(None, bits)
-        sums: dict[int, list[int]] = {}
-        for text, grade in zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist()):
-            # Slot -1 counts the documents themselves.
-            for slot in (-1, *table.counts(text)):
-                sums.setdefault(slot, [0, 0])[int(grade == GRADES - 1)] += 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int64()), *(pa.array([v[k] for v in sums.values()], pa.int64()) for k in (1, 0))], ["slot", "toxic", "other"])
-
-    tallied = in_arrow(labelled, tally, "slot long, toxic long, other long").groupBy("slot").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
+        # One counter per slot and side (8 MB); the last slot counts the documents themselves.
+        sums = np.zeros((2, (1 << bits) + 1), np.int32)
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                for text, grade in zip(piece.column("text").to_pylist(), piece.column("grade").to_pylist()):
+                    own = table.counts(text)
+                    side = sums[int(grade == GRADES - 1)]
+                    side[np.fromiter(own, np.int64, len(own))] += 1
+                    side[-1] += 1
+        slots = np.flatnonzero(sums.any(axis=0))
+        numbers = np.where(slots == 1 << bits, -1, slots)
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (numbers, sums[1, slots], sums[0, slots])], ["slot", "toxic", "other"])
+
+    ship_code(labelled.sparkSession)
+    tallied = labelled.mapInArrow(tally, "slot long, toxic long, other long").groupBy("slot").agg(F.sum("toxic").alias("t"), F.sum("other").alias("o"))
     tallied = materialize(tallied, "slots")
     total = tallied.where("slot = -1").first()
     if total is None or not total["t"] or not total["o"]:
@@ -259,8 +265,8 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, limit: float = 0.5, text: s
 
     def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         table = Slots(model.slots, model.bits)
-        points = np.array([sum(model.weights[s] * amount(n) for s, n in table.counts(t).items()) for t in batch.column(at).to_pylist()], float)
-        if len(points):
-            yield batch.filter(pa.array(model.above(points)[:, -1] < limit))
+        for piece in pieces(batch, names[at]):
+            points = np.array([sum(model.weights[s] * amount(n) for s, n in table.counts(t).items()) for t in piece.column(at).to_pylist()], float)
+            yield piece.filter(pa.array(model.above(points)[:, -1] < limit))
 
     return in_arrow(plain, keep, plain.schema).toDF(*docs.columns)

@@ -8,7 +8,7 @@ from tests.llm.common import ODD, docs_of, prose
 
 def brute(texts, ids, t=0.8, least=5):
     lines = [(i, p, line) for i, text in zip(ids, texts) if i is not None for p, line in enumerate((text or "").split("\n") if text is not None else [])]
-    sets = [(i, p, line, frozenset(line.split())) for i, p, line in lines if len(line.split()) >= least and len(set(line.split())) > 1]
+    sets = [(i, p, line, frozenset(line.split())) for i, p, line in lines if len(line.split()) >= least and len(set(line.split())) >= min(2, least)]
     sets.sort(key=lambda x: x[:2])
     gone = set()
     for k, (i, p, line, s) in enumerate(sets):
