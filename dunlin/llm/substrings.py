@@ -251,8 +251,9 @@ def repeated(stretches: DataFrame, window: int) -> DataFrame:
         distinct.where("copies > 1").select("a", "b"), ["a", "b"], "left_semi").select("row", "first", (F.col("first") + F.col("more")).cast("int").alias("last")), "copied")
     # What has no copy has one place, which its row here names.
     windows = materialize(windows_of(distinct, window), "long-prefixes")
-    twice = windows.groupBy("k", "more").agg(F.sum("copies").alias("n")).where("n > 1").select("k", "more")
-    single = windows.where("copies = 1").join(twice, ["k", "more"], "left_semi").select("row", "first", F.col("first").alias("last"))
+    twice = materialize(windows.groupBy("k", "more").agg(F.sum("copies").alias("n")).where("n > 1").select("k", "more"), "twice")
+    # On its own too: very many different stretches may share one window.
+    single = materialize(windows.where("copies = 1").join(twice, ["k", "more"], "left_semi").select("row", "first", F.col("first").alias("last")), "single")
     return in_trees.unionByName(copied).unionByName(single).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
 
 
