@@ -4,15 +4,16 @@ A line is the set of its words.  Every word has one rank: how often its hash
 bucket occurs in all documents, rarest first, then its hash.  Two sets of n and
 m words with a Jaccard similarity of t or more share a word among the first
 n - ceil(t n) + 1 and m - ceil(t m) + 1 of that order (prefix filter); the places
-of the first shared word, the sizes and a 64-bit parity map of each set bound
+of the first shared word, the sizes and a 128-bit parity map of each set bound
 their overlap from above (positional, length and bitmap filter).  What passes
 is verified on the 64-bit hashes of all words of both lines.
 
 Equal lines are folded first, by their hash, so copies never meet each other.
-Variants of one line are settled next: sets that agree in two of their four
-outermost hashes are compared with the first such set alone, one comparison
-each.  Only sets that this leaves open ask all earlier sets in the prefix join,
-so a large group of near copies does not list its pairs.
+Variants of one line are settled next: sets that agree in two hashes next to
+fixed points of the hash range are compared with the first such set alone, one comparison
+each; in crowded groups those that this leaves open meet a few more.  Only sets
+that are still open ask all earlier sets in the prefix join, so a large group of
+near copies does not list its pairs.
 
 A line goes if any earlier line (by document id and place) is similar to it,
 whether or not that line stays.
@@ -29,13 +30,15 @@ from dunlin.llm.common import SHIPPED_IDS, release, text_of
 from dunlin.session import materialize
 
 SIMILARITY = 0.8
-#: Shorter lines are not compared by op6, as its SQL says; 1 compares every line that has a word.
-MIN_WORDS = 5
+#: Every line that has a word is compared; a caller may leave shorter lines alone.
+MIN_WORDS = 1
 #: Buckets of the table of word frequencies are 2 to this power; its size does not depend on the data.
 RANK_BITS = 20
 #: White space inside a line, beside the space.
 BLANKS = "\t\x0b\x0c\r"
 _HASH_BITS = 46
+#: Sets that a set of a crowded signature is compared with before it asks all earlier sets.
+HEADS = 8
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -65,8 +68,9 @@ def _frequencies(docs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     """Distinct lines of ``min_words`` words or more, at their first place.
 
-    Unless ``min_words`` is 1, sets of a single word are left out too.  ``n`` words, ``prefix`` (ranked, rarest first), ``map`` (parity of the words
-    over 64 bits) and ``ends`` (the two lowest and two highest word hashes).
+    Unless ``min_words`` is 1, sets of a single word are left out too.  ``n`` words, ``prefix`` (ranked, rarest first), ``map`` and ``map2`` (parity of
+    the words over 128 bits) and ``marks`` (the two lowest and two highest
+    word hashes and the two next to zero on either side; null where there is none).
     """
     rank = materialize(_frequencies(docs), "ranks")
     # Told by one pattern: a filter on the split words would split them twice.
@@ -81,58 +85,93 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     ordered = hashed.withColumn("rank", rank.scalar()).select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({packed})").alias("ranked"))
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
-        F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("map"),
-        F.expr("array(get(h, 0), get(h, 1), get(h, greatest(size(h) - 2, 0)), get(h, size(h) - 1))").alias("ends"),
+        F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("both"),
+        F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(shiftright(x, 6) & 1L, int(x & 63)))").alias("map2"),
+        F.expr("transform(array(size(filter(h, x -> x < 0))), z -> transform(array(0, 1, size(h) - 2, size(h) - 1, z - 2, z - 1, z, z + 1), "
+               "i -> get(h, i)))[0]").alias("marks"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    return ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
+    first = ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
+    return first.withColumn("map", F.expr("both ^ map2")).drop("both")
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
     """Length and bitmap filter for the sizes and parity maps of two sets."""
     need = f"((({x}.n + {y}.n) * {t.numerator}L + {t.denominator + t.numerator - 1}L) div {t.denominator + t.numerator})"
     return (f"least({x}.n, {y}.n) * {t.denominator}L >= greatest({x}.n, {y}.n) * {t.numerator}L "
-            f"AND bit_count({x}.map ^ {y}.map) <= {x}.n + {y}.n - 2 * {need}")
+            f"AND bit_count({x}.map ^ {y}.map) + bit_count({x}.map2 ^ {y}.map2) <= {x}.n + {y}.n - 2 * {need}")
 
 
-def _leaders(sets: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set and the first one that shares two of its outermost hashes."""
-    pairs = F.expr("array(xxhash64(1, ends[0], ends[1]), xxhash64(2, ends[2], ends[3]), xxhash64(3, ends[0], ends[3]), "
-                   "xxhash64(4, ends[1], ends[2]), xxhash64(5, ends[0], ends[2]), xxhash64(6, ends[1], ends[3]))")
-    signed = sets.select(F.explode(pairs).alias("sig"), "doc_id", "pos", "n", "map")
-    first = signed.groupBy("sig").agg(F.min(F.struct("doc_id", "pos", "n", "map")).alias("y"), F.count("*").alias("c")).where("c > 1").select("sig", "y")
-    met = signed.join(first, "sig").withColumn("x", F.struct("doc_id", "pos", "n", "map"))
-    return met.where("(x.doc_id, x.pos) <> (y.doc_id, y.pos)").where(_near("x", "y", t)).select(
+_SET = ("doc_id", "pos", "n", "map", "map2")
+
+
+def _signed(sets: DataFrame) -> DataFrame:
+    """Every set once under each of six pairs of its marks."""
+    pairs = F.array(*[F.xxhash64(F.lit(k), F.col("marks")[i], F.col("marks")[j]) for k, (i, j) in enumerate([(0, 1), (2, 3), (4, 5), (6, 7), (0, 6), (3, 5)])])
+    return sets.select(F.explode(pairs).alias("sig"), *_SET)
+
+
+def _firsts(sets: DataFrame) -> DataFrame:
+    """``sig``, the first set ``y`` and the number ``c`` of sets of every signature that several sets share."""
+    return _signed(sets).groupBy("sig").agg(F.min(F.struct(*_SET)).alias("y"), F.count("*").alias("c")).where("c > 1")
+
+
+def _met(signed: DataFrame, heads: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs of a set and an earlier one from ``heads`` (``sig, y``) that pass the length and the bitmap filter."""
+    # The same join at every size; both sides come straight from a shuffle, so that a hot signature can be split.
+    met = signed.join(heads.hint("shuffle_merge"), "sig").withColumn("x", F.struct(*_SET))
+    return met.where("y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.pos < x.pos").where(_near("x", "y", t)).select(
         F.col("x.doc_id").alias("xd"), F.col("x.pos").alias("xp"), F.col("y.doc_id").alias("yd"), F.col("y.pos").alias("yp")).distinct()
 
 
+def _leaders(sets: DataFrame, firsts: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs of a set and the first one that shares two of its marks."""
+    return _met(_signed(sets), firsts.select("sig", "y"), t)
+
+
+def _later_leaders(sets: DataFrame, firsts: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs of a set that its leaders leave open and the first sets of ``HEADS`` parts of each crowded signature.
+
+    In a group whose members are only about as similar as asked for, the first one
+    is often not similar enough, but one of several is.
+    """
+    crowded = materialize(_signed(sets).join(firsts.where(F.col("c") > HEADS).select("sig"), "sig", "left_semi"), "crowded")
+    part = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(HEADS))
+    heads = materialize(crowded.groupBy("sig", part.alias("part")).agg(F.min(F.struct(*_SET)).alias("y")).select("sig", "y"), "heads")
+    return _met(crowded.join(settled, ["doc_id", "pos"], "left_anti").select("sig", *_SET), heads, t)
+
+
 def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
     """Pairs of an open set and an earlier set that pass all filters at their first shared word."""
     flagged = sets.join(settled.withColumn("done", F.lit(True)), ["doc_id", "pos"], "left")
-    # One long holds the size, the place in the order and whether the set is open.
-    entries = flagged.select("doc_id", "pos", "n", "map", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("i", "word")).select(
-        "word", "doc_id", "pos", "map", F.expr("shiftleft(bigint(n), 32) | bigint(i * 2) | bigint(NOT done)").alias("m"))
+    # One long holds place and size, another one the place in the order and whether the set is open.
+    entries = flagged.select("doc_id", "pos", "n", "map", "map2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("i", "word")).select(
+        "word", "doc_id", "map", "map2", F.expr("shiftleft(bigint(pos), 32) | bigint(n)").alias("at"), F.expr("i * 2 + int(NOT done)").alias("m"))
     x, y = entries.alias("x"), entries.alias("y")
-    n = lambda s: f"int(shiftright({s}.m, 32))"
-    i = lambda s: f"int(shiftright({s}.m & {(1 << 32) - 1}L, 1))"
+    n = lambda s: f"int({s}.at & {(1 << 32) - 1}L)"
+    pos = lambda s: f"int(shiftright({s}.at, 32))"
+    i = lambda s: f"shiftright({s}.m, 1)"
     need = f"((({n('x')} + {n('y')}) * {t.numerator}L + {t.denominator + t.numerator - 1}L) div {t.denominator + t.numerator})"
     # Cheap tests first; the flag is tested together with the other side, so that both sides stay one exchange.
     near = " AND ".join([
-        "x.word = y.word", "(x.m & 1) * y.m > 0",
+        "x.word = y.word", "(x.m & 1) * (y.m + 1) > 0",
         f"least({n('x')}, {n('y')}) * {t.denominator}L >= greatest({n('x')}, {n('y')}) * {t.numerator}L",
-        f"bit_count(x.map ^ y.map) <= {n('x')} + {n('y')} - 2 * {need}",
-        f"1 + least({n('x')} - {i('x')} - 1, {n('y')} - {i('y')} - 1) >= {need}",
-        "(y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.pos < x.pos)"])
+        f"bit_count(x.map ^ y.map) + bit_count(x.map2 ^ y.map2) <= {n('x')} + {n('y')} - 2 * {need}",
+        f"least({n('x')} - {i('x')}, {n('y')} - {i('y')}) >= {need}",
+        "(y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND " + pos("y") + " < " + pos("x") + ")"])
     return x.join(y, F.expr(near)).select(
-        F.col("x.doc_id").alias("xd"), F.col("x.pos").alias("xp"), F.col("y.doc_id").alias("yd"), F.col("y.pos").alias("yp")).distinct()
+        F.col("x.doc_id").alias("xd"), F.expr(pos("x")).alias("xp"), F.col("y.doc_id").alias("yd"), F.expr(pos("y")).alias("yp")).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
     """Places (``doc_id``, ``pos``) of the later lines whose words really are that similar to the earlier ones'."""
-    ids = materialize(pairs.selectExpr("inline(array(struct(xd AS ad, xp AS ap), struct(yd AS ad, yp AS ap)))").distinct(), "asked")
-    if ids.count() <= SHIPPED_IDS:
+    ids = materialize(pairs.selectExpr("inline(array(struct(xd AS ad, xp AS ap), struct(yd AS ad, yp AS ap)))").groupBy("ad").agg(F.collect_set("ap").alias("aps")), "asked")
+    if (ids.agg(F.sum(F.size("aps") + 1)).first()[0] or 0) <= SHIPPED_IDS:
         ids = F.broadcast(ids)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    asked = lines.join(ids, (F.col("doc_id") == F.col("ad")) & (F.col("pos") == F.col("ap"))).withColumn("words", _words(F.col("line")))
+    # Only documents that hold an asked line are cut into lines, and only the asked lines into words.
+    # The lines are bound once: as a column they would be cut again for every place.
+    lines = F.transform(F.array(F.split("text", "\n")), lambda held: F.transform("aps", lambda p: F.struct(p.alias("ap"), F.get(held, p).alias("line"))))
+    held = docs.join(ids, F.col("doc_id") == F.col("ad")).select("ad", F.explode(F.get(lines, F.lit(0))).alias("l")).where("l.line IS NOT NULL")
+    asked = held.select("ad", "l.ap", _words(F.col("l.line")).alias("words"))
     words = asked.select("ad", "ap", F.expr("array_distinct(transform(words, w -> xxhash64(w)))").alias("w"))
     words = materialize(words, "asked-words")
     x = words.toDF("xd", "xp", "xw")
@@ -142,6 +181,15 @@ def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
     return both.where(similar).select(F.col("xd").alias("doc_id"), F.col("xp").alias("pos")).distinct()
 
 
+def _settled(docs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """Places of the sets that are similar to one of their leaders."""
+    firsts = materialize(_firsts(sets), "firsts")
+    found = materialize(_verified(docs, materialize(_leaders(sets, firsts, t), "leaders"), t), "settled")
+    release(docs.sparkSession)
+    again = _verified(docs, materialize(_later_leaders(sets, firsts, found, t), "leaders"), t)
+    return found.union(materialize(again, "settled"))
+
+
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``pos`` and hash ``k1`` of every line that goes.
 
@@ -157,7 +205,7 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: in
     plain = text_of(docs, doc_id, text).where("doc_id IS NOT NULL AND text IS NOT NULL")
     sets = materialize(_sets(plain, t, min_words), "sets")
     release(spark)
-    settled = materialize(_verified(plain, materialize(_leaders(sets, t), "leaders"), t), "settled")
+    settled = _settled(plain, sets, t)
     release(spark)
     later = materialize(_prefix_pairs(sets, settled, t), "pairs")
     release(spark)

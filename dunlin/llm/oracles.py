@@ -57,7 +57,7 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 OP6 = r"""
 WITH l AS (SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents),
 w AS (SELECT doc_id, pos, line, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS raw FROM l),
-s AS (SELECT doc_id, pos, line, list_sort(list_distinct(raw)) AS s FROM w WHERE len(raw) >= 5 AND len(list_distinct(raw)) > 1),
+s AS (SELECT doc_id, pos, line, list_sort(list_distinct(raw)) AS s FROM w WHERE len(raw) > 0),
 f AS (SELECT line, any_value(s) AS s, min(struct_pack(d := doc_id, p := pos)) AS first FROM s GROUP BY line),
 df AS (SELECT t, count(*) AS c FROM (SELECT unnest(s) AS t FROM f) GROUP BY t),
 ft AS (SELECT first, unnest(s) AS t, len(s) AS n FROM f),

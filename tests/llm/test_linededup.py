@@ -6,7 +6,7 @@ from dunlin.llm.linededup import drop_similar_lines, line_report
 from tests.llm.common import ODD, docs_of, prose
 
 
-def brute(texts, ids, t=0.8, least=5):
+def brute(texts, ids, t=0.8, least=1):
     lines = [(i, p, line) for i, text in zip(ids, texts) if i is not None for p, line in enumerate((text or "").split("\n") if text is not None else [])]
     sets = [(i, p, line, frozenset(line.split())) for i, p, line in lines if len(line.split()) >= least and len(set(line.split())) >= min(2, least)]
     sets.sort(key=lambda x: x[:2])
@@ -89,9 +89,9 @@ def test_copies_and_variants_do_not_list_their_pairs(spark):
     from fractions import Fraction
     t = Fraction("0.8")
     plain = text_of(docs_of(spark, [*texts, *texts]), "doc_id", "text")
-    sets = linededup._sets(plain, t, 5).cache()
-    assert sets.count() == len({line for x in texts for line in x.split("\n") if len(line.split()) >= 5})
-    settled = linededup._verified(plain, linededup._leaders(sets, t), t).cache()
+    sets = linededup._sets(plain, t, 1).cache()
+    assert sets.count() == len({line for x in texts for line in x.split("\n") if line.split()})
+    settled = linededup._settled(plain, sets, t).cache()
     everything = linededup._prefix_pairs(sets, settled.limit(0), t).count()
     assert linededup._prefix_pairs(sets, settled, t).count() < everything / 5
 
