@@ -75,16 +75,27 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT, doc_id: str = "doc_id", t
     plain = text_of(docs, doc_id, text).select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"), F.monotonically_increasing_id().alias("row"))
     # Written once: row numbers must not change between the rounds.
-    sizes = materialize(plain, "sizes").withColumn("bits", F.concat(_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), _bits(F.col("row").cast("string"))))
+    return _placed(materialize(plain, "sizes"), limit).select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
+def _placed(sizes: DataFrame, limit: int) -> DataFrame:
+    """``sizes`` (``doc_id, bytes, row``), each row with its shard."""
+    sizes = sizes.withColumn("bits", F.concat(_bits(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), _bits(F.col("row").cast("string"))))
     shards = directory(sizes, limit)
     # A directory of n shards is searched by its depths, few of which are in use.
     depths = [r[0] for r in shards.select("depth").distinct().collect()]  # at most 121
     keyed = sizes.withColumn("shard", F.explode(F.array(*[F.substring("bits", 1, d) for d in sorted(depths)]) if depths else F.array(F.lit(""))))
-    return keyed.join(shards, "shard").select("doc_id", "bytes", "shard", "depth", "shard_bytes", "shard_docs")
+    return keyed.join(shards, "shard")
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, doc_id: str = "doc_id", text: str = "text") -> None:
-    """Write ``docs``, all columns, with one folder per shard; ids have to be unique."""
-    shards = assign_shards(docs, limit, doc_id, text).select(F.col("doc_id").alias("shard_key"), F.concat(F.lit("b"), "shard").alias("shard_bits"))
-    held = docs.join(shards, F.col(f"`{doc_id}`") == F.col("shard_key")).drop("shard_key")
-    held.repartition("shard_bits").write.partitionBy("shard_bits").parquet(path)
+    """Write ``docs``, all columns, with one folder per shard; every row is written once, also without an id or with a repeated one."""
+    row = "shard_row"
+    while row in docs.columns:
+        row += "_"
+    # Rows carry their own number, so that it and not the id brings them together with their shards.
+    held = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    sizes = held.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.octet_length(F.col(f"`{text}`").cast("string")), F.lit(0)).cast("long").alias("bytes"),
+                        F.col(row).alias("row"))
+    shards = _placed(sizes, limit).select(F.col("row").alias(row), F.concat(F.lit("b"), "shard").alias("shard_bits"))
+    held.join(shards, row).drop(row).repartition("shard_bits").write.partitionBy("shard_bits").parquet(path)

@@ -42,3 +42,8 @@ def test_null_ids_empty_and_written(spark, tmp_path):
     docs = docs_of(spark, [prose(i, 30) for i in range(60)])
     write_shards(docs, f"{tmp_path}/s", 2_000)
     assert spark.read.parquet(f"{tmp_path}/s").count() == 60
+    docs = docs_of(spark, [prose(i, 30) for i in range(30)], [None] * 10 + [4] * 10 + list(range(10)))
+    write_shards(docs, f"{tmp_path}/t", 500)
+    left = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted(r.text for r in left.collect()) == sorted(r.text for r in docs.collect())
+    assert left.where("doc_id IS NULL").count() == 10 and left.select("shard_bits").distinct().count() > 1
