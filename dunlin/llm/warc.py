@@ -1,9 +1,10 @@
 """WARC archives as a Python data source.
 
 The writer puts one file per task (cut at ``max_bytes``) into a folder under a
-name of its own and lists the files of successful attempts in a manifest, so
-repeated or lost attempts leave nothing that is read.  The reader plans its
-partitions from the files and takes over predicates on the record type and the
+name of its own; every write adds a manifest that lists the files of its
+successful attempts, so repeated or lost attempts leave nothing that is read and
+later writes add to earlier ones.  The reader plans its partitions from the files
+of all manifests and takes over predicates on the record type and the
 other header fields.  It parses a record's headers first and reads its block
 only if the predicates hold and the payload is among the requested columns; in
 plain files the block is skipped by seeking.
@@ -31,7 +32,8 @@ from pyspark.sql.datasource import (
     DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan,
     LessThanOrEqual, StringStartsWith, WriterCommitMessage)
 
-MANIFEST = "_manifest.json"
+#: Names of manifests; each write has one of its own.
+MANIFEST = re.compile(r"_manifest-[0-9a-f]+\.json")
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -61,9 +63,20 @@ class _Files(InputPartition):
         self.files = files
 
 
+def _manifests(store: fs.FileSystem, root: str) -> dict[str, list]:
+    """Files (name, bytes) by the path of the manifest that lists them."""
+    found = store.get_file_info(fs.FileSelector(root, allow_not_found=True))
+    held = {}
+    for path in sorted(x.path for x in found if MANIFEST.fullmatch(x.base_name)):
+        with store.open_input_stream(path) as source:
+            held[path] = json.loads(source.read())
+    return held
+
+
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, options: dict):
+    def __init__(self, path: str, options: dict, overwrite: bool = False):
         self.path = path
+        self.overwrite = overwrite
         self.gzip = options.get("compression", "none") == "gzip"
         self.max_bytes = int(options.get("max_bytes", 1 << 30))
 
@@ -106,8 +119,14 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, root = _place(self.path)
         store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{MANIFEST}") as out:
+        before = _manifests(store, root) if self.overwrite else {}
+        with store.open_output_stream(f"{root}/_manifest-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps(sorted(f for m in messages if m for f in m.files)).encode())
+        # What an overwrite replaces goes only once its own files are listed; a manifest goes before its files.
+        for path in before:
+            store.delete_file(path)
+        for name, _ in (f for files in before.values() for f in files):
+            store.delete_file(f"{root}/{name}")
 
     def abort(self, messages: list) -> None:
         store, root = _place(self.path)
@@ -134,9 +153,8 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list:
         """Files, small ones together, up to ``split_bytes``; a folder without a manifest is listed."""
         store, root = _place(self.path)
-        if store.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.File:
-            with store.open_input_stream(f"{root}/{MANIFEST}") as held:
-                files = json.loads(held.read())
+        if listed := _manifests(store, root):
+            files = sorted(f for held in listed.values() for f in held)
         else:
             found = store.get_file_info(fs.FileSelector(root))
             files = sorted([x.base_name, x.size] for x in found if re.search(r"\.warc(\.gz)?$", x.base_name))
@@ -239,7 +257,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], schema.names, dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return WarcWriter(self.options["path"], dict(self.options))
+        return WarcWriter(self.options["path"], dict(self.options), overwrite)
 
 
 def register_warc(spark: SparkSession) -> None:
@@ -281,9 +299,10 @@ def records_of(pages: DataFrame, shipped: int, min_revisit_bytes: int = 0, warc_
                        urn(F.col("first")).alias("refers_to"), "payload_bytes", F.when(F.col("first").isNull(), F.col("payload")).alias("payload"), "sha1")
 
 
-def write_warc(records: DataFrame, path: str, compression: str = "none") -> None:
+def write_warc(records: DataFrame, path: str, compression: str = "none", mode: str = "append") -> None:
+    """Write records to the folder ``path``; ``mode`` is ``append`` or ``overwrite``, which replaces earlier writes."""
     register_warc(records.sparkSession)
-    records.write.format("warc").option("compression", compression).mode("append").save(path)
+    records.write.format("warc").option("compression", compression).mode(mode).save(path)
 
 
 def read_warc(spark: SparkSession, path: str, columns: str = SCHEMA) -> DataFrame:

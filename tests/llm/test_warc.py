@@ -82,3 +82,15 @@ def test_foreign_files_and_empty_tables(spark, tmp_path):
     assert read_warc(spark, str(folder), "warc_type string").where(F.col("warc_type") == "warcinfo").count() == 2
     write_warc(records_of(pages(spark).limit(0), SHIP), f"{tmp_path}/none")
     assert read_warc(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_later_writes_add_to_earlier_ones_or_replace_them(spark, tmp_path):
+    path = f"{tmp_path}/w"
+    records = records_of(pages(spark), SHIP)
+    write_warc(records.where("record_id = '<urn:x-page:0>'"), path)
+    write_warc(records.where("record_id = '<urn:x-page:4>'"), path, "gzip")
+    write_warc(records.where("record_id = '<urn:x-page:none>'"), path)
+    assert sorted(r.record_id for r in read_warc(spark, path).collect()) == ["<urn:x-page:0>", "<urn:x-page:4>"]
+    write_warc(records.where("record_id = '<urn:x-page:5>'"), path, mode="overwrite")
+    assert [r.record_id for r in read_warc(spark, path).collect()] == ["<urn:x-page:5>"]
+    assert len(list(Path(path).glob("*.warc*"))) == 1
