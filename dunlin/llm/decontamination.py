@@ -20,8 +20,10 @@ from dunlin.session import materialize
 WINDOW = 10
 #: Fixed value: what separates words once A-Z are lower-cased.
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Bytes of benchmark grams and windows that may be shipped whole to every executor.
+#: Bytes that the set of gram hashes, and the table of windows, may each take to be shipped whole to every executor.
 SHIPPED_BYTES = 64 << 20
+#: Bytes of one gram in a broadcast set: its hash, its place in the hash table and its row.
+GRAM_BYTES = 40
 
 
 def normal(text: Column) -> Column:
@@ -59,9 +61,8 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc
     windows = materialize(_windows(benchmark, item_id, item_text, width), "windows")
     sizes = [r[0] for r in windows.select("size").distinct().collect()]  # at most `width` values
     bytes_held = windows.agg(F.sum(F.octet_length("window") + F.size("items") * 24 + 64)).first()[0] or 0
-    # A window of m words spawns at most `width` grams, each shorter than itself.
-    small = bytes_held * (width + 1) <= SHIPPED_BYTES
-    ship = F.broadcast if small else (lambda df: df)
+    # Each side by its own size: the windows only meet what the hashes have found.
+    windows = F.broadcast(windows) if bytes_held <= SHIPPED_BYTES else windows
 
     by_block: dict[int, list[int]] = {}
     for size in sorted(sizes):
@@ -88,8 +89,9 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc
     if grams is None:
         hits = blocks.where("i < 0")
     else:
-        grams = grams.select(F.xxhash64("g").alias("h")).distinct()
-        probed = blocks.withColumn("h", F.xxhash64("g")).join(ship(grams.withColumn("known", F.lit(True))), "h", "left")
+        grams = materialize(grams.select(F.xxhash64("g").alias("h")).distinct(), "grams")
+        grams = F.broadcast(grams) if grams.count() * GRAM_BYTES <= SHIPPED_BYTES else grams
+        probed = blocks.withColumn("h", F.xxhash64("g")).join(grams.withColumn("known", F.lit(True)), "h", "left")
         hits = probed.where("i < 0 OR known")
     # The window of m words that begins r words before the block, for each m and r < k.
     opened = F.expr("split(rtrim(concat(prev, g, next)), ' ')")
@@ -104,7 +106,7 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc
              .where("i < 0 OR (from >= 0 AND from + c.size <= size(w))")
              .select("doc_id", "n_words", (F.col("i") * F.col("k") - F.col("c.r")).cast("long").alias("start"), F.col("c.size").alias("size"),
                      F.when(F.col("i") >= 0, F.concat(F.array_join(F.expr("slice(w, from + 1, c.size)"), " "), F.lit(" "))).alias("window")))
-    found = tried.join(ship(windows.select("window", "items")), "window", "left").where("n_words IS NOT NULL OR items IS NOT NULL")
+    found = tried.join(windows.select("window", "items"), "window", "left").where("n_words IS NOT NULL OR items IS NOT NULL")
     span = F.when(F.col("items").isNotNull(), F.struct("start", F.col("size").cast("long").alias("size")))
     return found.groupBy("doc_id").agg(
         F.coalesce(F.max("n_words"), F.lit(0)).alias("n_words"),
@@ -129,25 +131,47 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW
     kept = without_ids(known, hit.select(F.col("doc_id").alias("dropped_id")), doc_id)
     if nameless.isEmpty():
         return kept
-    # A text stands for itself: its digest serves as the id.
-    digest = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)
-    texts = nameless.select(digest.alias("doc_id"), F.col(f"`{text}`").alias("text")).dropDuplicates(["doc_id"])
-    hit = materialize(find_windows(texts, benchmark, width).where("size(spans) > 0").select(F.col("doc_id").alias("dropped_digest")), "dropped")
-    return kept.unionByName(nameless.join(hit, digest == F.col("dropped_digest"), "left_anti"))
+    hit = find_windows(_distinct_texts(nameless, text), benchmark, width).where("size(spans) > 0")
+    hit = materialize(hit.select(F.col("doc_id").alias("dropped_digest")), "dropped")
+    return kept.unionByName(nameless.join(hit, _digest(text) == F.col("dropped_digest"), "left_anti"))
 
 
 def cut_spans(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with every word inside a window, and what follows it up to the next word, taken out of the text.
 
     Rows without a hit keep their text as it is.  Rows that share an id share
-    their spans, so ids should be unique here.
+    their spans, so ids should be unique here.  Rows without an id are judged by
+    their text, each for itself.
     """
-    hit = find_windows(docs, benchmark, width, doc_id, text).where("size(spans) > 0").select(F.col("doc_id").alias("hit_id"), F.col("spans").alias("hit_spans"))
-    held = docs.join(hit, F.col(f"`{doc_id}`") == F.col("hit_id"), "left")
+    key = F.col(f"`{doc_id}`")
+    known, nameless = docs.where(key.isNotNull()), docs.where(key.isNull())
+    hit = find_windows(known, benchmark, width, doc_id, text).where("size(spans) > 0")
+    cut = _without_words(known, hit, key, text)
+    if nameless.isEmpty():
+        return cut
+    digest = _digest(text)
+    hit = find_windows(_distinct_texts(nameless, text), benchmark, width).where("size(spans) > 0")
+    return cut.unionByName(_without_words(nameless, hit, digest, text))
+
+
+def _digest(text: str) -> Column:
+    """Stands for a text where there is no id."""
+    return F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), 256)
+
+
+def _distinct_texts(docs: DataFrame, text: str) -> DataFrame:
+    return docs.select(_digest(text).alias("doc_id"), F.col(f"`{text}`").alias("text")).dropDuplicates(["doc_id"])
+
+
+def _without_words(docs: DataFrame, hits: DataFrame, key: Column, text: str) -> DataFrame:
+    """``docs`` without the words in the ``spans`` of the row of ``hits`` whose ``doc_id`` is ``key``."""
+    # Struct names inside one column, so that no column of the documents clashes with them.
+    found = hits.select(F.col("doc_id").alias("hit_id"), F.col("spans").alias("hit_spans"))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key")).join(found, F.col("key") == F.col("hit_id"), "left")
     # A leading stretch without words, then each word with what follows it.
     word, rest = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-    head = F.regexp_extract(F.col(f"`{text}`"), "^" + rest, 0)
-    parts = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(word + rest), F.lit(0))
+    whole = F.col("row")[text]
+    parts = F.regexp_extract_all(whole, F.lit(word + rest), F.lit(0))
     left = F.filter(parts, lambda p, i: ~F.exists("hit_spans", lambda s: (s.start <= i) & (i < s.start + s.size)))
-    cleaned = F.when(F.col("hit_id").isNull(), F.col(f"`{text}`")).otherwise(F.concat(head, F.array_join(left, "")))
-    return held.withColumn(text, cleaned).drop("hit_id", "hit_spans")
+    cleaned = F.when(F.col("hit_id").isNull(), whole).otherwise(F.concat(F.regexp_extract(whole, "^" + rest, 0), F.array_join(left, "")))
+    return held.select(*[(cleaned if c == text else F.col("row")[c]).alias(c) for c in docs.columns])

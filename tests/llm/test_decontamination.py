@@ -73,3 +73,18 @@ def test_rows_without_an_id_are_judged_by_their_text(spark):
     kept = drop_contaminated(docs, bench(spark, [(1, bad)]))
     assert kept.columns == docs.columns
     assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("None", texts[1])] * 2 + [("None", ""), ("1", texts[5])])
+    cleaned = cut_spans(docs, bench(spark, [(1, bad)]))
+    assert cleaned.columns == docs.columns
+    texts = sorted((str(r.doc_id), " ".join(words_of(r.text))) for r in cleaned.collect())
+    assert texts == sorted([("None", prose(61, 5)), ("None", ""), ("None", ""), ("None", prose(62, 20)), ("None", prose(62, 20)), ("1", prose(63, 20)), ("2", "")])
+
+
+def test_large_benchmarks_do_not_shuffle_the_documents(spark):
+    def shuffles(items):
+        found = find_windows(docs_of(spark, [prose(1, 40)]), bench(spark, items))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan, plan
+        return plan.count("Exchange hashpartitioning")
+
+    small, large = shuffles([(1, prose(1, 40))]), shuffles([(i, prose(1000 + i, 1000, 10**6)) for i in range(60)])
+    assert small == large == 1
