@@ -60,8 +60,8 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is not in ``ids`` (one column, ``dropped_id``).
+def without_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id", among: Column | None = None) -> DataFrame:
+    """Rows of ``docs`` whose id is not in ``ids`` (one column, ``dropped_id``); rows for which ``among`` does not hold stay in any case.
 
     The list is written first and broadcast only when its counted size is
     within :data:`SHIPPED_IDS`; beyond that the join shuffles.
@@ -69,7 +69,8 @@ def without_ids(docs: DataFrame, ids: DataFrame, doc_id: str = "doc_id") -> Data
     ids = materialize(ids.select("dropped_id").distinct(), "dropped")
     if ids.count() <= SHIPPED_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, F.col(f"`{doc_id}`") == F.col("dropped_id"), "left_anti")
+    gone = F.col(f"`{doc_id}`") == F.col("dropped_id")
+    return docs.join(ids, gone if among is None else gone & among, "left_anti")
 
 
 def ascii_lower(column: Column) -> Column:

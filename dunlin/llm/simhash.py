@@ -321,34 +321,52 @@ def similar_links(source: DataFrame, nodes: DataFrame, similarity: float = SIMIL
     return found if others.isEmpty() else found.union(materialize(_similar(source, others, least_ids, t, shingle), "similar"))
 
 
+def _similar_nodes(source: DataFrame, similarity: float, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, node`` of every row of ``source``, and ``node, least_id, root`` of every shingle set; near copies share a root."""
+    marked = materialize(_sets_of(source, shingle, bands=True), "marked")
+    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys")), "nodes")
+    roots = components(similar_links(source, nodes, similarity, shingle))
+    return marked.select("doc_id", "node"), nodes.select("node", "least_id").join(roots, "node", "left").select(
+        "node", "least_id", F.coalesce("root", "node").alias("root"))
+
+
 def similar_classes(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id`` and ``component_id`` of every row: the smallest id reachable over links of ``similarity`` or more.
 
     Similarity is that of Jaccard on the sets of shingles.  Equal sets are one
     node, so copies never meet each other.
     """
-    source = text_of(docs, doc_id, text)
-    marked = materialize(_sets_of(source, shingle, bands=True), "marked")
-    nodes = materialize(marked.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.first("keys").alias("keys")), "nodes")
-    roots = components(similar_links(source, nodes, similarity, shingle))
-    labelled = nodes.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
+    marked, labelled = _similar_nodes(text_of(docs, doc_id, text), similarity, shingle)
     lowest = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked.select("doc_id", "node").join(labelled.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    return marked.join(labelled.join(lowest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, all columns, with one row of each group of near copies: the one with the smallest id.
 
     Texts without a word hold nothing to compare and all stay; so do rows
-    without an id.  Of repeated rows with one id a single one stays.
+    without an id.  Rows that share an id are judged each by its own text: of
+    those in one group a single one stays, those in different groups all can.
     """
-    classes = similar_classes(docs.where(F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]") & F.col(f"`{doc_id}`").isNotNull()),
-                              similarity, shingle, doc_id, text)
-    classes = materialize(classes, "classes")
-    kept = without_ids(docs, classes.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")), doc_id)
-    repeated = classes.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("dropped_id"))
-    if repeated.isEmpty():
+    key = F.col(f"`{doc_id}`")
+    worded = F.col(f"`{text}`").rlike(r"[^\x20\x09-\x0D]") & key.isNotNull()
+    source = text_of(docs.where(worded), doc_id, text)
+    marked, labelled = _similar_nodes(source, similarity, shingle)
+    # The row that stays: the smallest id, and among texts that share it the smallest set.
+    stays = labelled.groupBy("root").agg(F.min(F.struct(F.col("least_id").alias("doc_id"), "node")).alias("stays"))
+    judged = marked.join(labelled.join(stays, "root").select("node", "stays"), "node").select(
+        "doc_id", "node", (F.struct("doc_id", "node") == F.col("stays")).alias("stay"))
+    judged = materialize(judged, "judged")
+    ids = materialize(judged.groupBy("doc_id").agg(F.bool_or("stay").alias("stay"), F.count("*").alias("rows")).where("NOT stay OR rows > 1"), "ids")
+    shared = ids.where("stay AND rows > 1").select(F.col("doc_id").alias("dropped_id"))
+    kept = without_ids(docs, ids.select(F.col("doc_id").alias("dropped_id")), doc_id, worded)
+    if shared.isEmpty():
         return kept
-    single = without_ids(kept, repeated, doc_id)
-    again = kept.join(repeated, F.col(f"`{doc_id}`") == F.col("dropped_id"), "left_semi").dropDuplicates([doc_id])
-    return single.unionByName(again)
+    # Rows of these ids are told apart by their texts.
+    digest = F.sha2(F.col(f"`{text}`").cast("string"), 256)
+    rows = docs.where(worded).join(shared, key == F.col("dropped_id"), "left_semi").select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("doc_id"), digest.alias("digest")).dropDuplicates(["doc_id", "digest"])
+    texts = rows.select(F.col("digest").alias("doc_id"), F.col("row")[text].cast("string").alias("text")).dropDuplicates(["doc_id"])
+    sets = _sets_of(texts, shingle, bands=False).select(F.col("doc_id").alias("digest"), "node")
+    again = rows.join(sets, "digest").join(judged.where("stay").select("doc_id", "node").distinct(), ["doc_id", "node"]).dropDuplicates(["doc_id", "node"])
+    return kept.unionByName(again.select(*[F.col("row")[c].alias(c) for c in docs.columns]))

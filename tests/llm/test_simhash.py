@@ -130,3 +130,12 @@ def test_one_of_each_matches_jaccard_brute_force(spark):
     docs = docs_of(spark, texts)
     assert {r.doc_id: r.component_id for r in similar_classes(docs).collect()} == dict(enumerate(root))
     assert sorted(r.doc_id for r in keep_one_of_each(docs).collect()) == sorted(set(root))
+
+
+def test_texts_that_share_an_id_are_judged_each_for_itself(spark):
+    first, second, third = prose(90, 120), prose(91, 120), prose(92, 120)
+    texts = [first, second, second, None, first + " end", third, third, "  ", second + " end", first]
+    docs = docs_of(spark, texts, [5, 5, 5, 5, 6, 7, 4, 6, 5, 5])
+    kept = sorted((r.doc_id, r.text or "") for r in keep_one_of_each(docs).collect())
+    groups = sorted((i, "first" if t.startswith(first) else "second" if t.startswith(second) else "third" if t == third else t) for i, t in kept)
+    assert groups == [(4, "third"), (5, ""), (5, "first"), (5, "second"), (6, "  ")]
