@@ -79,19 +79,19 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     hashes = words.select("doc_id", "pos", "k1", "k2", F.expr("sort_array(array_distinct(transform(words, w -> xxhash64(w))))").alias("own"))
     # The generator keeps the optimizer from computing the hashes again wherever they are used.
     hashed = hashes.select("doc_id", "pos", "k1", "k2", F.explode(F.array("own")).alias("h"))
+    # Equal lines are folded with their hashes alone; all else is worked out once for each distinct line.
+    first = hashed.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "pos", "h")).alias("s")).select("k1", "k2", "s.*").where(F.size("h") >= min(2, min_words))
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
     # The table is used once, so that it is read in place and never copied into rows.
     packed = f"transform(h, x -> get(rank, int(x & {(1 << RANK_BITS) - 1})) | (x & {(1 << _HASH_BITS) - 1}))"
-    ordered = hashed.withColumn("rank", rank.scalar()).select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({packed})").alias("ranked"))
-    row = F.struct(
-        "doc_id", "pos", F.expr("size(h)").alias("n"),
+    return first.withColumn("rank", rank.scalar()).select(
+        "k1", "k2", "doc_id", "pos", F.expr("size(h)").alias("n"),
         F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("both"),
         F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(shiftright(x, 6) & 1L, int(x & 63)))").alias("map2"),
         F.expr("transform(array(size(filter(h, x -> x < 0))), z -> transform(array(0, 1, size(h) - 2, size(h) - 1, z - 2, z - 1, z, z + 1), "
                "i -> get(h, i)))[0]").alias("marks"),
-        F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    first = ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
-    return first.withColumn("map", F.expr("both ^ map2")).drop("both")
+        F.expr(f"slice(sort_array({packed}), 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"),
+    ).withColumn("map", F.expr("both ^ map2")).drop("both")
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
