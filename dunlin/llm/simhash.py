@@ -40,7 +40,7 @@ GROUP = 4096
 SIMILARITY = 0.8
 #: Bands of so many minimal hashes each: two sets of similarity s share a band with a chance of 1 - (1 - s ** HASHES) ** BANDS.
 BANDS, HASHES = 24, 5
-#: Members of a band's bucket up to which all of its pairs are compared, and members that those of a larger one meet.
+#: Members of a band's bucket up to which all of its pairs are compared, and members that those of a larger one meet before the exact search.
 PAIRED, MET = 8, 8
 
 
@@ -285,24 +285,57 @@ def _sets_of(source: DataFrame, shingle: int, bands: bool) -> DataFrame:
     return in_arrow(source, mark, f"doc_id {dict(source.dtypes)['doc_id']}, node long, {name} array<long>")
 
 
-def _similar(source: DataFrame, pairs: DataFrame, least_ids: DataFrame, t: Fraction, shingle: int) -> DataFrame:
-    """The pairs (``a``, ``b``) of nodes whose shingle sets really are that similar."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(least_ids, "node")
-    ids = materialize(asked.select(F.col("least_id").alias("asked_id")).distinct(), "asked")
+def _asked_sets(source: DataFrame, asked: DataFrame, least_ids: DataFrame, shingle: int) -> DataFrame:
+    """``node`` and all ``hashes`` of the nodes in ``asked`` and of other texts under their ids."""
+    ids = materialize(asked.distinct().join(least_ids, "node").select(F.col("least_id").alias("asked_id")).distinct(), "asked")
     if ids.count() <= SHIPPED_IDS:
         ids = F.broadcast(ids)
     texts = source.join(ids, F.col("doc_id") == F.col("asked_id"), "left_semi")
-    sets = materialize(_sets_of(texts, shingle, bands=False).select("node", "hashes"), "asked-sets")
+    return materialize(_sets_of(texts, shingle, bands=False).select("node", "hashes"), "asked-sets")
+
+
+def _similar(source: DataFrame, pairs: DataFrame, least_ids: DataFrame, t: Fraction, shingle: int) -> DataFrame:
+    """The pairs (``a``, ``b``) of nodes whose shingle sets really are that similar."""
+    sets = _asked_sets(source, pairs.select(F.explode(F.array("a", "b")).alias("node")), least_ids, shingle)
     both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").withColumn("common", F.size(F.array_intersect("x", "y")))
     return both.where(F.col("common") * t.denominator >= (F.size("x") + F.size("y") - F.col("common")) * t.numerator).select("a", "b").distinct()
 
 
+def _open_pairs(source: DataFrame, large: DataFrame, links: DataFrame, least_ids: DataFrame, t: Fraction, shingle: int) -> DataFrame | None:
+    """Pairs (``a``, ``b``) of nodes in ``large(key, node)`` that can be similar and that ``links`` leave in different components.
+
+    Where all members of a bucket are in one component nothing is open. In another bucket
+    those outside its largest component ask all members, with a prefix filter: two similar
+    sets share one of their rarest hashes, so what a bucket has in common makes no pairs. None if nothing is open.
+    """
+    roots = components(links)
+    placed = materialize(large.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "placed")
+    blocks = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mixed = blocks.groupBy("key").agg(F.count("*").alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main")).where("roots > 1")
+    members = materialize(placed.join(mixed, "key").groupBy("node", "root").agg(F.bool_or(F.col("root") != F.col("main")).alias("asks")), "members")
+    if members.isEmpty():
+        return None
+    sets = _asked_sets(source, members.select("node"), least_ids, shingle).dropDuplicates(["node"]).join(members, "node")
+    hashes = materialize(sets.select("node", "root", "asks", F.size("hashes").alias("size"), F.explode("hashes").alias("hash")), "hashes")
+    ranked = hashes.join(hashes.groupBy("hash").agg(F.count("*").alias("n")), "hash").groupBy("node", "root", "asks", "size").agg(
+        F.sort_array(F.collect_list(F.struct("n", "hash"))).alias("ranked"))
+    # Similar sets have at least t of either's hashes in common.
+    length = F.expr(f"size - cast((size * {t.numerator} + {t.denominator - 1}) div {t.denominator} AS int) + 1")
+    prefix = materialize(ranked.select("node", "root", "asks", "size", F.explode(F.slice("ranked", F.lit(1), length)["hash"]).alias("hash")), "prefixes")
+    x, y = prefix.where("asks").alias("x"), prefix.alias("y")
+    near_size = ((F.col("x.size") * t.denominator >= F.col("y.size") * t.numerator) & (F.col("y.size") * t.denominator >= F.col("x.size") * t.numerator))
+    met = x.join(y, (F.col("x.hash") == F.col("y.hash")) & (F.col("x.root") != F.col("y.root")) & near_size)
+    return met.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
+
+
 def similar_links(source: DataFrame, nodes: DataFrame, similarity: float = SIMILARITY, shingle: int = 5) -> DataFrame:
     """Links (``a``, ``b``) between nodes of ``similarity`` or more; each was verified on all shingles of both.
 
     A small bucket lists its pairs.  Members of a larger one meet its first
     member, and those that differ from it the first ones in other orders, so a
-    large group does not list its pairs.  ``nodes`` has ``node, least_id, keys``.
+    large group does not list its pairs.  What these links leave in different
+    components is compared by :func:`_open_pairs`, so similar nodes that share a
+    bucket always end in one component.  ``nodes`` has ``node, least_id, keys``.
     """
     t = Fraction(str(similarity))
     least_ids = nodes.select("node", "least_id")
@@ -312,13 +345,22 @@ def similar_links(source: DataFrame, nodes: DataFrame, similarity: float = SIMIL
     held = materialize(entries.join(buckets, "key"), "held")
     small = held.where(F.col("c") <= PAIRED).select("key", F.col("node").alias("a"))
     listed = small.join(small.withColumnRenamed("a", "b"), "key").where("a > b").select("a", "b")
-    large = held.where(F.col("c") > PAIRED).select(F.col("node").alias("a"), "heads")
+    large = held.where(F.col("c") > PAIRED).select("key", F.col("node").alias("a"), "heads")
     pairs = materialize(listed.union(large.select("a", F.col("heads")[0].alias("b")).where("a <> b")).distinct(), "met")
     found = materialize(_similar(source, pairs, least_ids, t, shingle), "similar")
+    if large.isEmpty():
+        return found
     others = (large.withColumn("b", F.col("heads")[0]).where("a <> b").join(found, ["a", "b"], "left_anti")
               .select("a", F.explode(F.slice("heads", 2, MET - 1)).alias("b")).where("a <> b").distinct())
     others = materialize(others.join(pairs, ["a", "b"], "left_anti"), "met-others")
-    return found if others.isEmpty() else found.union(materialize(_similar(source, others, least_ids, t, shingle), "similar"))
+    if not others.isEmpty():
+        found = found.union(materialize(_similar(source, others, least_ids, t, shingle), "similar"))
+    left = _open_pairs(source, large.select("key", F.col("a").alias("node")), found, least_ids, t, shingle)
+    if left is None:
+        return found
+    both_ways = pairs.union(others).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    left = materialize(left.join(both_ways, ["a", "b"], "left_anti"), "met-open")
+    return found if left.isEmpty() else found.union(materialize(_similar(source, left, least_ids, t, shingle), "similar"))
 
 
 def _similar_nodes(source: DataFrame, similarity: float, shingle: int) -> tuple[DataFrame, DataFrame]:

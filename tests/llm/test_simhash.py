@@ -4,7 +4,7 @@ import re
 import numpy as np
 import xxhash
 
-from dunlin.llm.simhash import BKForest, components, fingerprint, keep_one_of_each, near_duplicates, near_links, similar_classes, spanning_links
+from dunlin.llm.simhash import BKForest, _sets_of, components, fingerprint, keep_one_of_each, near_duplicates, near_links, similar_classes, similar_links, spanning_links
 from tests.llm.common import ODD, docs_of, prose
 
 
@@ -139,3 +139,14 @@ def test_texts_that_share_an_id_are_judged_each_for_itself(spark):
     kept = sorted((r.doc_id, r.text or "") for r in keep_one_of_each(docs).collect())
     groups = sorted((i, "first" if t.startswith(first) else "second" if t.startswith(second) else "third" if t == third else t) for i, t in kept)
     assert groups == [(4, "third"), (5, ""), (5, "first"), (5, "second"), (6, "  ")]
+
+
+def test_a_large_mixed_bucket_loses_no_pair(spark):
+    bases = [prose(900 + i, 120, 3000) for i in range(60)]
+    docs = docs_of(spark, [text for base in bases for text in (base, base + " end")])
+    rows = _sets_of(docs.select("doc_id", "text"), 5, bands=False).collect()
+    # All in one bucket, as texts with a common passage can be.
+    nodes = spark.createDataFrame([(r.node, r.doc_id, [7]) for r in rows], "node long, least_id long, keys array<long>")
+    of = {r.doc_id: r.node for r in rows}
+    got = {frozenset((r.a, r.b)) for r in similar_links(docs.select("doc_id", "text"), nodes).collect()}
+    assert got == {frozenset((of[i], of[i + 1])) for i in range(0, 120, 2)}
