@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
+#: Generated rows of one task.
+ROWS_PER_TASK = 250_000
+
 
 def read_delimited(
     spark: SparkSession,
@@ -123,8 +126,11 @@ def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: StructType |
 
 
 def generated_rows(spark: SparkSession, n: int, seed: int, partitions: int | None = None) -> DataFrame:
-    """``id`` 0..n-1 with a uniform and a normal column, made on the executors."""
-    ids = spark.range(0, n, 1, partitions) if partitions else spark.range(n)
+    """``id`` 0..n-1 with a uniform and a normal column, made on the executors.
+
+    By default a task makes at most :data:`ROWS_PER_TASK` rows, so what a task holds does not grow with ``n``.
+    """
+    ids = spark.range(0, n, 1, partitions or max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK)))
     return ids.select("id", F.rand(seed).alias("uniform"), F.randn(seed + 1).alias("normal"))
 
 

@@ -327,3 +327,11 @@ def test_unreported_end_is_an_error(spark, tmp_path):
     query.awaitTermination()
     with pytest.raises(TimeoutError):
         J.progress_row(query, J.Totals(), timeout=0.1)
+
+
+def test_a_task_makes_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(R, "ROWS_PER_TASK", 100, raising=False)
+    made = R.generated_rows(spark, 2050, seed=1)
+    assert made.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] <= 100
+    assert made.count() == made.select("id").distinct().count() == 2050
+    assert R.generated_rows(spark, 0, seed=1).count() == 0
