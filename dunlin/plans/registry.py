@@ -7,6 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dunlin.session import path_bytes
+
+#: Bytes of Parquet files whose rows share a partition of :meth:`Tables.spread`.
+SPREAD_BYTES = 8 << 20
+
 
 @dataclass(frozen=True)
 class Plan:
@@ -29,15 +34,19 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for costly per-row work.
+    def spread(self, name: str, key: str | None = None) -> DataFrame:
+        """A table for costly per-row work, or for work that holds a partition in memory.
 
-        If its files make fewer partitions than there are cores, the rows are
-        dealt out; a table of many files is left where it is.
+        There is a partition for every :data:`SPREAD_BYTES` of its files and for every core
+        at least. If the files make fewer, the rows are dealt out; otherwise they are left
+        where they are. With a ``key`` the rows are always dealt out by it, so
+        aggregates by the key or by more need no other shuffle.
         """
         table = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+        wanted = max(self.spark.sparkContext.defaultParallelism, -(-path_bytes(self.spark, self.path(name)) // SPREAD_BYTES))
+        if key is not None:
+            return table.repartition(wanted, key)
+        return table.repartition(wanted) if table.rdd.getNumPartitions() < wanted else table
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

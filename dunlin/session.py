@@ -97,6 +97,13 @@ def delete_path(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(conf).delete(path, True)
 
 
+def path_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes of a file or of all files of a folder on whatever file system it is."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(conf).getContentSummary(path).getLength()
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder.
 
