@@ -66,7 +66,7 @@ def _dictionary(t: Tables):
 
 
 def _matched(t: Tables):
-    return E.match_dictionary(t.spread("documents"), ["doc_id"], "text", _dictionary(t))
+    return E.match_dictionary(t.spread("documents", "doc_id"), ["doc_id"], "text", _dictionary(t))
 
 
 @plan("E03_dictionary_match", f"WITH {_DICT} SELECT doc_id, CAST(sum(n) AS BIGINT) AS words, count(*) AS kinds FROM k JOIN d USING (word) GROUP BY 1")
