@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import (
     Bucketizer,
-    CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     IndexToString,
     NGram,
@@ -97,14 +97,16 @@ def balance_labels(df: DataFrame, label: str, key: Sequence[str], seed: int = 0)
     return df.join(shares, df[label].eqNullSafe(shares["__label"])).where(spot < F.col("__share")).drop("__label", "__share")
 
 
-def topic_vectors(df: DataFrame, tokens: str, out: str = "features", vocabulary: int = 10_000) -> tuple[DataFrame, list[str]]:
-    """Word counts over the ``vocabulary`` most frequent words, and those words.
+def topic_vectors(df: DataFrame, tokens: str, out: str = "features", vocabulary: int = 10_000) -> tuple[DataFrame, dict[str, int]]:
+    """Word counts over the ``vocabulary`` most frequent words, and those words with their numbers.
 
     The size of the vocabulary is the feature: rarer words say little about
-    topics and are left out of the vectors.
+    topics and are left out of the vectors. Of equally frequent words the smaller come first.
+    ``df`` is read twice, so store it if its tokens are costly.
     """
-    counter = CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=vocabulary).fit(df)
-    return counter.transform(df), list(counter.vocabulary)
+    counts = df.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = {r["word"]: r["n"] for r in counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()}
+    return CountVectorizerModel.from_vocabulary(list(top), tokens, out).transform(df), top
 
 
 def stage_names(model: PipelineModel) -> list[str]:

@@ -76,6 +76,11 @@ def topic_terms(model: LDAModel, vocabulary: Sequence[str], terms: int) -> DataF
             .select("topic", rank.alias("rank"), "term", "weight"))
 
 
+def log_perplexity(likelihood: float, vocabulary: Mapping[str, int]) -> float:
+    """Negative log likelihood per counted word, as ``LDAModel.logPerplexity`` has it; ``vocabulary`` gives each word's number."""
+    return -likelihood / sum(vocabulary.values())
+
+
 def class_rank(scores: Column, label: Column) -> Column:
     """1-based rank of the true class among the scores."""
     own = F.get(scores, label)

@@ -25,7 +25,7 @@ from dunlin.ml import models as N
 from dunlin.operators.ranks import code_labels
 from dunlin.operators.sampling import split_by_weight
 from dunlin.plans.registry import Tables, plan
-from dunlin.session import materialize, scratch_path
+from dunlin.session import discard, materialize, scratch_path
 
 
 def rows(name: str = "n"):
@@ -349,17 +349,20 @@ def _(t: Tables):
 
 
 def _topics(t: Tables):
-    kept = _kept(t)
+    kept = materialize(_kept(t).select("doc_id", "kept"), "kept")
     counted, vocabulary = L.topic_vectors(kept, "kept")
     vectors = materialize(counted.select("doc_id", "features"), "lda")
+    discard(kept)
     return LDA(k=4, maxIter=5, seed=7).fit(vectors), vocabulary, vectors
 
 
 @plan("N09_lda_topics", "SELECT 12::BIGINT AS terms, 4::BIGINT AS topics, true AS fit_ok")
 def _(t: Tables):
     model, vocabulary, vectors = _topics(t)
-    fit_ok = model.logLikelihood(vectors) < 0 < model.logPerplexity(vectors)
-    return N.topic_terms(model, vocabulary, 3).agg(rows("terms"), F.countDistinct("topic").alias("topics"), F.lit(fit_ok).alias("fit_ok"))
+    # The perplexity is worked out from the likelihood: each is a pass of inference over all documents.
+    likelihood = model.logLikelihood(vectors)
+    fit_ok = likelihood < 0 < N.log_perplexity(likelihood, vocabulary)
+    return N.topic_terms(model, list(vocabulary), 3).agg(rows("terms"), F.countDistinct("topic").alias("topics"), F.lit(fit_ok).alias("fit_ok"))
 
 
 @plan("N09_lda_document_mix", "SELECT count(*) AS n, true AS sums_to_one FROM documents")

@@ -4,12 +4,13 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.clustering import LDA
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from dunlin.ml import features as L
 from dunlin.ml.features import index_strings
-from dunlin.ml.models import area_under_roc, cross_validate, fold_of
+from dunlin.ml.models import area_under_roc, cross_validate, fold_of, log_perplexity
 from dunlin.operators import aggregates as A
 from dunlin.operators import relational as R
 from dunlin.operators import sampling as Z
@@ -265,3 +266,12 @@ def test_folds_do_not_depend_on_the_order_of_rows(spark):
     first, again = (cross_validate(lr, metric, grid, d, ["id"], folds=3) for d in (df, df.repartition(5, "b")))
     assert first.avgMetrics == pytest.approx(again.avgMetrics, abs=1e-9)
     assert first.bestModel.getRegParam() == again.bestModel.getRegParam()
+
+
+def test_topic_vectors_count_words_once(spark):
+    docs = spark.createDataFrame([(1, ["b", "a", "b"]), (2, ["c", "a", "b"]), (3, []), (4, ["d"])], "id int, kept array<string>")
+    vectors, vocabulary = L.topic_vectors(docs, "kept", vocabulary=3)
+    # Ties go to the smaller word; the perplexity is that of the model without a second pass.
+    assert list(vocabulary.items()) == [("b", 3), ("a", 2), ("c", 1)]
+    model = LDA(k=2, maxIter=2, seed=1).fit(vectors)
+    assert log_perplexity(model.logLikelihood(vectors), vocabulary) == pytest.approx(model.logPerplexity(vectors))
