@@ -40,6 +40,20 @@ def pagerank(
     """
     if tolerance is None and iterations is None:
         raise ValueError("state a tolerance or a number of iterations")
+    return _pageranks(graph, reset, [tolerance], iterations, normalize, rounds_per_cut, on_round)[0]
+
+
+def pageranks(graph: Graph, tolerances: Sequence[float], reset: float = 0.15) -> list[DataFrame]:
+    """:func:`pagerank` to each of the falling ``tolerances``; each goes on from the state of the one before."""
+    if list(tolerances) != sorted(tolerances, reverse=True):
+        raise ValueError("state the tolerances from the largest to the smallest")
+    return _pageranks(graph, reset, tolerances, None, False, 3, None)
+
+
+def _pageranks(
+    graph: Graph, reset: float, tolerances: Sequence[float | None], iterations: int | None, normalize: bool, rounds_per_cut: int,
+    on_round: Callable[[int, DataFrame], None] | None,
+) -> list[DataFrame]:
     share = graph.out_degrees().select(F.col("id").alias("src"), ((1 - reset) / F.col("out_degree")).alias("w"))
     own = graph.vertices.select(F.col("id").alias("from"), F.col("id").alias("to"), F.lit(None).cast("double").alias("w"))
     weighted = graph.edges.select("src", "dst").join(share, "src").select(F.col("src").alias("from"), F.col("dst").alias("to"), "w")
@@ -50,10 +64,15 @@ def pagerank(
         return arcs.joined(ranks).groupBy(F.col("to").alias("id")).agg(F.sum(value).alias("rank"))
 
     ranks = graph.vertices.select("id", F.lit(1.0).alias("rank"))
-    if tolerance is not None:
+    found = []
+    state = None
+    for tolerance in tolerances:
+        if tolerance is None:
+            break
         least = reset * tolerance
-        left = F.col("rank") - 1
-        start = over_all(ranks).select("id", "rank", left.alias("pending"), (F.abs(left) >= least).alias("active"))
+        if state is None:
+            state = over_all(ranks).select("id", "rank", (F.col("rank") - 1).alias("pending"))
+        start = state.select("id", "rank", "pending", (F.abs("pending") >= least).alias("active"))
         seen = F.coalesce("seen", F.lit(0.0))
         pending = F.when(F.col("active"), seen).otherwise(F.col("pending") + seen)
         state = vertex_program(
@@ -61,8 +80,8 @@ def pagerank(
             {"rank": F.col("rank") + seen, "pending": pending}, F.abs(pending) >= least, None if iterations is None else iterations - 1, on_round)
         if not state.where("active").isEmpty():
             raise RuntimeError(f"ranks still move after {iterations} rounds")
-        ranks = state.select("id", "rank")
-    else:
+        found.append(state.select("id", "rank"))
+    if not found:
         stored = None
         for done in range(1, iterations + 1):
             ranks = over_all(ranks)
@@ -71,12 +90,13 @@ def pagerank(
                 stored = ranks
                 if previous is not None:
                     discard(previous)
+        found.append(ranks)
     arcs.discard()
-    result = ranks.select("id", F.col("rank").alias("pagerank"))
+    results = [ranks.select("id", F.col("rank").alias("pagerank")) for ranks in found]
     if normalize:
-        scale = result.agg(F.count(F.lit(1)) / F.sum("pagerank")).scalar()
-        result = result.select("id", (F.col("pagerank") * scale).alias("pagerank"))
-    return result
+        scales = [result.agg(F.count(F.lit(1)) / F.sum("pagerank")).scalar() for result in results]
+        results = [result.select("id", (F.col("pagerank") * scale).alias("pagerank")) for result, scale in zip(results, scales)]
+    return results
 
 
 def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:

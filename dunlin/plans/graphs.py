@@ -215,9 +215,8 @@ def _(t: Tables):
 def _(t: Tables):
     g = customer_graph(t)
     g = Graph(g.vertices, materialize(g.edges, "edges"))
-    ranks = X.pagerank(g, reset=0.15, tolerance=0.01)
-    again = X.pagerank(g, reset=0.15, tolerance=0.0001).withColumnRenamed("pagerank", "exact")
-    return ranks.join(again, "id").agg(rows(), (F.max(F.abs(F.col("pagerank") - F.col("exact"))) < 0.1).alias("settled"))
+    ranks, again = X.pageranks(g, [0.01, 0.0001], reset=0.15)
+    return ranks.join(again.withColumnRenamed("pagerank", "exact"), "id").agg(rows(), (F.max(F.abs(F.col("pagerank") - F.col("exact"))) < 0.1).alias("settled"))
 
 
 _LPA = f"WITH {E}, b AS MATERIALIZED (SELECT src AS f, dst AS t FROM e UNION ALL SELECT dst, src FROM e), l0 AS (SELECT c_custkey AS id, c_custkey AS label FROM customer)" + "".join(

@@ -275,3 +275,21 @@ def test_paths_along_a_long_chain_and_over_a_hub(spark):
     assert got[0] == {30: 30} and got[100] == {30: 31, 100: 0} and got[399] == {30: 32, 100: 1} and got[31] == {}
     near = {r["id"]: r["distances"] for r in X.shortest_paths(make(spark, edges, 400), [30, 100], max_hops=2).collect()}
     assert near[28] == {30: 2} and near[27] == {} and near[399] == {100: 1}
+
+
+def test_pagerank_goes_on_to_a_smaller_tolerance(case, monkeypatch):
+    graph, _ = case
+    built = []
+
+    class Counted(StoredArcs):
+        def __init__(self, *args):
+            built.append(1)
+            super().__init__(*args)
+
+    monkeypatch.setattr(X, "StoredArcs", Counted)
+    rough, fine = X.pageranks(graph, [0.01, 1e-6])
+    assert len(built) == 1
+    exact = dict(values(X.pagerank(graph, tolerance=None, iterations=120)))
+    assert dict(values(fine)) == pytest.approx(exact, abs=1e-4) and dict(values(rough)) == pytest.approx(exact, abs=0.1)
+    with pytest.raises(ValueError):
+        X.pageranks(graph, [0.01, 0.1])
