@@ -293,3 +293,17 @@ def test_pagerank_goes_on_to_a_smaller_tolerance(case, monkeypatch):
     assert dict(values(fine)) == pytest.approx(exact, abs=1e-4) and dict(values(rough)) == pytest.approx(exact, abs=0.1)
     with pytest.raises(ValueError):
         X.pageranks(graph, [0.01, 0.1])
+
+
+def test_votes_are_shuffled_once(spark, monkeypatch):
+    plans = []
+    step = X.vertex_program
+
+    def watched(arcs, state, message, combine, *rest):
+        return step(arcs, state, message, lambda mail: plans.append(combine(mail)) or plans[-1], *rest)
+
+    monkeypatch.setattr(X, "vertex_program", watched)
+    graph = Graph(spark.range(6), spark.createDataFrame([(0, 1), (1, 2), (2, 3), (3, 4), (4, 5), (5, 0)], "src long, dst long"))
+    X.label_propagation(graph, 1)
+    text = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert sum("hashpartitioning(to" in line or "hashpartitioning(id" in line for line in text.splitlines() if "Exchange" in line and "Reused" not in line) == 1, text
