@@ -7,6 +7,7 @@ decides whether to go on; the state itself never reaches the driver.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -124,14 +125,12 @@ def label_propagation(graph: Graph, iterations: int = 10) -> DataFrame:
     return state.select("id", "label")
 
 
-def _spread_smallest(arcs: DataFrame, state: DataFrame) -> DataFrame:
-    """Carry the smallest colour of ``state(id, colour)`` along ``arcs(from, to)`` until nothing changes."""
-    stored = StoredArcs(arcs)
+def _spread_smallest(stored: StoredArcs, state: DataFrame) -> DataFrame:
+    """Carry the smallest colour of ``state(id, colour)`` along the arcs until nothing changes."""
     better = F.coalesce(F.col("seen") < F.col("colour"), F.lit(False))
     spread = vertex_program(
         stored, state.select("id", "colour", F.lit(True).alias("active")), {"sent": F.col("colour")},
         lambda mail: mail.groupBy("id").agg(F.min("sent").alias("seen")), {"colour": F.when(better, F.col("seen")).otherwise(F.col("colour"))}, better)
-    stored.discard()
     return spread.select("id", "colour")
 
 
@@ -148,16 +147,26 @@ def _between(arcs: DataFrame, ids: DataFrame) -> DataFrame:
             .join(ids, F.col("dst") == F.col("id"), "left_semi"))
 
 
-def _chains(arcs: DataFrame) -> DataFrame:
+def _ends(arcs: DataFrame) -> DataFrame:
+    """Every vertex with an arc: numbers ``o`` and ``i`` of arcs out and in, and one neighbour of each kind."""
+    none = F.lit(None).cast(dict(arcs.dtypes)["src"])
+    ends = arcs.select(F.inline(F.array(
+        F.struct(F.col("src").alias("id"), F.lit(1).alias("o"), F.lit(0).alias("i"), F.col("dst").alias("next"), none.alias("last")),
+        F.struct(F.col("dst").alias("id"), F.lit(0).alias("o"), F.lit(1).alias("i"), none.alias("next"), F.col("src").alias("last")))))
+    return materialize(ends.groupBy("id").agg(F.sum("o").alias("o"), F.sum("i").alias("i"), F.max("next").alias("next"), F.max("last").alias("last")), "ends")
+
+
+def _chains(ends: DataFrame) -> DataFrame | None:
     """Vertices with one incoming and one outgoing arc, with the vertices at both ends of their chain.
 
     ``before`` and ``after`` are the nearest vertices that are not of this kind, found by
     pointer jumping in about log2 rounds; ``next`` and ``last`` are the neighbours. A closed ring
-    has no ends: its vertices keep nulls and the smallest id of the ring in ``low``.
+    has no ends: its vertices keep nulls and the smallest id of the ring in ``low``. None if there is no such vertex.
     """
-    outs = arcs.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("o"), F.max("dst").alias("next")).where("o = 1")
-    ins = arcs.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("i"), F.max("src").alias("last")).where("i = 1")
-    chain = materialize(outs.join(ins, "id").select("id", "next", "last"), "chain")
+    chain = materialize(ends.where("o = 1 AND i = 1").select("id", "next", "last"), "chain")
+    if chain.isEmpty():
+        discard(chain)
+        return None
     kind = dict(chain.dtypes)["id"]
     none = F.lit(None).cast(kind)
     member = chain.select(F.col("id").alias("at"))
@@ -189,8 +198,10 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
     one of each are replaced by one arc between their ends, so a path or a tree of any length
     goes in about log2 rounds. A ring is a component; the vertices of another chain belong to the
     component of its ends if both ends are in one, which is settled once the ends are. What is left is
-    solved in rounds: the smallest id is spread forward as a colour, and a walk backward from
-    every colour's root inside its colour meets a component.
+    solved in rounds: the smallest colour is spread forward, and a walk backward from
+    every colour's root inside its colour meets a component. Arcs between colours are cut, as no component
+    crosses them. The ids are scrambled anew for the colours of each round, so a row of components that
+    lead one into the next is cut at a chance place and also goes in about log2 rounds.
     Vertices left after ``max_rounds`` keep their own id.
     """
     ids = graph.vertices.select("id")
@@ -198,19 +209,24 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
     done: list[DataFrame] = []
     contracted: list[DataFrame] = []
     rounds = 0
+    kind = dict(arcs.dtypes)["src"]
+    bits, draw = {"bigint": 63, "int": 31, "smallint": 15, "tinyint": 7}.get(kind, 0), random.Random(1)
     while max_rounds is None or rounds < max_rounds:
         rounds += 1
         while True:
-            before = arcs.count()
-            both = materialize(arcs.select("src").intersect(arcs.select("dst")).select(F.col("src").alias("id")), "left")
-            arcs = _replace(arcs, _between(arcs, both))
-            discard(both)
-            chains = _chains(arcs)
-            if chains.isEmpty():
-                discard(chains)
-                if arcs.count() == before:
+            ends = _ends(arcs)
+            trimmed = not ends.where("o = 0 OR i = 0").isEmpty()
+            if trimmed:
+                arcs = _replace(arcs, _between(arcs, ends.where("o > 0 AND i > 0").select("id")))
+                discard(ends)
+                ends = _ends(arcs)
+            chains = _chains(ends)
+            if chains is None:
+                if not trimmed:
                     break
+                discard(ends)
                 continue
+            discard(ends)
             rings = chains.where("after IS NULL")
             done.append(rings.select("id", F.col("low").alias("component")))
             contracted.append(chains.where("after IS NOT NULL").select("id", "before", "after"))
@@ -218,24 +234,30 @@ def strongly_connected_components(graph: Graph, max_rounds: int | None = None) -
             bridges = chains.where("before = last AND before != after").select(F.col("before").alias("src"), F.col("after").alias("dst"))
             plain = arcs.join(chains, F.col("src") == F.col("id"), "left_anti").join(chains, F.col("dst") == F.col("id"), "left_anti")
             arcs = _replace(arcs, plain.unionByName(bridges).distinct())
-        if not before:
+        if ends.isEmpty():
+            discard(ends)
             break
-        left = materialize(arcs.select(F.explode(F.array("src", "dst")).alias("id")).distinct(), "left")
-        colours = _spread_smallest(arcs.select(F.col("src").alias("from"), F.col("dst").alias("to")),
-                                   left.select("id", F.col("id").alias("colour")))
-        tinted = (arcs.join(colours.select(F.col("id").alias("src"), F.col("colour").alias("cs")), "src")
-                  .join(colours.select(F.col("id").alias("dst"), F.col("colour").alias("cd")), "dst"))
-        inner = materialize(tinted.where("cs = cd").select(F.col("dst").alias("from"), F.col("src").alias("to")), "inner")
-        # Backward walk inside a colour: the root is the vertex whose id is the colour.
-        marks = colours.select("id", F.when(F.col("id") == F.col("colour"), 0).otherwise(1).alias("colour"))
-        reached = _spread_smallest(inner, marks).where("colour = 0").select("id")
+        # Scrambling is its own inverse, so a colour tells its root.
+        mask = F.lit(draw.getrandbits(bits)).cast(kind) if bits else None
+        scrambled = lambda name: F.col(name) if mask is None else F.col(name).bitwiseXOR(mask)
+        forward = StoredArcs(arcs.select(F.col("src").alias("from"), F.col("dst").alias("to")))
+        colours = _spread_smallest(forward, ends.select("id", scrambled("id").alias("colour")))
+        tinted = (forward.joined(colours.withColumnRenamed("colour", "cs"))
+                  .join(colours.select(F.col("id").alias("to"), F.col("colour").alias("cd")), "to"))
+        inner = materialize(tinted.where("cs = cd").select(F.col("to").alias("from"), F.col("from").alias("to")), "inner")
+        forward.discard()
+        # Backward walk inside a colour: the root is the vertex that the colour stands for.
+        marks = colours.select("id", F.when(F.col("id") == scrambled("colour"), 0).otherwise(1).alias("colour"))
+        backward = StoredArcs(inner)
+        reached = _spread_smallest(backward, marks).where("colour = 0").select("id")
+        backward.discard()
         found = materialize(colours.join(reached, "id", "left_semi")
-                            .select("id", F.col("colour").alias("component")), "component")
+                            .select("id", scrambled("colour").alias("component")), "component")
         done.append(found)
-        discard(inner)
         discard(colours)
-        left = _replace(left, left.join(found, "id", "left_anti"))
-        arcs = _replace(arcs, _between(arcs, left))
+        left = _replace(ends, ends.select("id").join(found, "id", "left_anti"))
+        arcs = _replace(arcs, _between(inner.select(F.col("to").alias("src"), F.col("from").alias("dst")), left))
+        discard(inner)
         discard(left)
     discard(arcs)
     if not done and not contracted:

@@ -307,3 +307,17 @@ def test_votes_are_shuffled_once(spark, monkeypatch):
     X.label_propagation(graph, 1)
     text = plans[0]._jdf.queryExecution().executedPlan().toString()
     assert sum("hashpartitioning(to" in line or "hashpartitioning(id" in line for line in text.splitlines() if "Exchange" in line and "Reused" not in line) == 1, text
+
+
+def test_a_row_of_components_goes_in_few_rounds(spark, monkeypatch):
+    n, edges = 24, []
+    for k in range(n):
+        # A component of four, dense enough to hold no chain, and an arc to the next one.
+        edges += [(4 * k + a, 4 * k + b) for a in range(4) for b in range(4) if a != b]
+        edges += [(4 * k + 3, 4 * k + 4)] if k < n - 1 else []
+    spreads = []
+    spread = X._spread_smallest
+    monkeypatch.setattr(X, "_spread_smallest", lambda *args: spreads.append(1) or spread(*args))
+    got = dict(values(X.strongly_connected_components(make(spark, edges, 4 * n))))
+    assert got == {i: i // 4 * 4 for i in range(4 * n)}
+    assert len(spreads) <= 20  # two in a round; with ids as colours each round finds a single component
