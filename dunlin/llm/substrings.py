@@ -34,8 +34,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dunlin.llm.common import in_arrow, mixed, pieces, sliding, text_of, whole_groups
-from dunlin.session import materialize, ship_code
+from dunlin.llm.common import in_arrow, mixed, pieces, release, sliding, text_of, whole_groups
+from dunlin.session import discard, materialize, ship_code
 
 #: Words of an anchor; must be shorter than the window.
 GRAM = 12
@@ -145,6 +145,7 @@ def shipped_stretches(marked: DataFrame, window: int, limit: int) -> DataFrame:
         "prefix", (F.col("n") > limit).alias("large"))
     places = marked.select("row", F.posexplode("prefixes").alias("k", "prefix")).join(counts, "prefix")
     wanted = materialize(places.groupBy("row").agg(F.collect_list(F.struct("k", "large")).alias("wanted")), "wanted")
+    release(marked.sparkSession)
     source = marked.select("row", "text", "firsts", "prefixes").join(wanted, "row")
     schema = pa.schema([("prefix", pa.int64()), ("large", pa.bool_()), ("row", pa.int64()), ("first", pa.int32()), ("words", pa.binary())])
 
@@ -160,7 +161,10 @@ def shipped_stretches(marked: DataFrame, window: int, limit: int) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return materialize(in_arrow(source, ship, "prefix long, large boolean, row long, first int, words binary"), "stretches")
+    shipped = materialize(in_arrow(source, ship, "prefix long, large boolean, row long, first int, words binary"), "stretches")
+    discard(wanted)
+    release(marked.sparkSession)
+    return shipped
 
 
 def windows_of(stretches: DataFrame, window: int) -> DataFrame:
@@ -225,7 +229,7 @@ def repeated_windows(segments: list[bytes], window: int) -> list[np.ndarray]:
 
 
 def repeated(stretches: DataFrame, window: int) -> DataFrame:
-    """``row`` and all its repeated ``windows``, as ranges of their ``first`` words."""
+    """``row`` and all its repeated ``windows``, as ranges of their ``first`` words, written once; ``stretches`` and all made on the way is deleted."""
     schema = pa.schema([("row", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +258,15 @@ def repeated(stretches: DataFrame, window: int) -> DataFrame:
     twice = materialize(windows.groupBy("k", "more").agg(F.sum("copies").alias("n")).where("n > 1").select("k", "more"), "twice")
     # On its own too: very many different stretches may share one window.
     single = materialize(windows.where("copies = 1").join(twice, ["k", "more"], "left_semi").select("row", "first", F.col("first").alias("last")), "single")
-    return in_trees.unionByName(copied).unionByName(single).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("windows"))
+    for done in (distinct, windows, twice):
+        discard(done)
+    release(stretches.sparkSession)
+    ranges = in_trees.unionByName(copied).unionByName(single)
+    found = materialize(ranges.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("windows")), "windows")
+    for done in (copied, single, stretches):
+        discard(done)
+    release(stretches.sparkSession)
+    return found
 
 
 def spans_of(windows: list[dict] | None, window: int) -> list[tuple[int, int]]:
@@ -277,7 +289,7 @@ def drop_repeated_passages(docs: DataFrame, window: int = 35, limit: int = GROUP
     if window <= GRAM:
         raise ValueError(f"a window must be longer than an anchor of {GRAM} words")
     marked = with_anchors(text_of(docs, doc_id, text), window)
-    found = materialize(repeated(shipped_stretches(marked, window, limit), window), "windows")
+    found = repeated(shipped_stretches(marked, window, limit), window)
     source = marked.select("row", "doc_id", "text").join(found, "row", "left")
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

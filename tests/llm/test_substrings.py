@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ import pytest
 from dunlin.llm import substrings
 from dunlin.llm.queries import op13_substring_dedup
 from dunlin.llm.substrings import drop_repeated_passages, repeated_windows, spans_of, suffix_ranks
+from dunlin.session import scratch_root
 from tests.llm.common import ODD, docs_of, prose
 
 
@@ -64,6 +66,13 @@ def test_query_with_null_and_repeated_ids(spark, tmp_path):
     assert sorted(rows, key=repr) == sorted(wanted, key=repr)
 
 
+def test_only_the_tables_that_are_still_read_stay(spark):
+    folder = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(folder.glob("*"))
+    drop_repeated_passages(docs_of(spark, corpus(7)), limit=3).collect()
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before if any(p.rglob("*.parquet"))} == {"anchors", "windows"}
+
+
 def test_without_repeats_and_without_rows(spark):
     assert drop_repeated_passages(docs_of(spark, [])).count() == 0
     rows = drop_repeated_passages(docs_of(spark, [prose(1, 100, 5000), None])).collect()
