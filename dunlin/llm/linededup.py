@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.common import SHIPPED_IDS, release, text_of
-from dunlin.session import materialize
+from dunlin.session import discard, materialize
 
 SIMILARITY = 0.8
 #: Every line that has a word is compared; a caller may leave shorter lines alone.
@@ -124,12 +124,12 @@ def _met(signed: DataFrame, heads: DataFrame, t: Fraction) -> DataFrame:
 
 
 def _leaders(sets: DataFrame, firsts: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set and the first one that shares two of its marks."""
-    return _met(_signed(sets), firsts.select("sig", "y"), t)
+    """Pairs of a set and the first one that shares two of its marks, written once."""
+    return materialize(_met(_signed(sets), firsts.select("sig", "y"), t), "leaders")
 
 
 def _later_leaders(sets: DataFrame, firsts: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set that its leaders leave open and the first sets of ``HEADS`` parts of each crowded signature.
+    """Pairs of a set that its leaders leave open and the first sets of ``HEADS`` parts of each crowded signature, written once.
 
     In a group whose members are only about as similar as asked for, the first one
     is often not similar enough, but one of several is.
@@ -137,7 +137,10 @@ def _later_leaders(sets: DataFrame, firsts: DataFrame, settled: DataFrame, t: Fr
     crowded = materialize(_signed(sets).join(firsts.where(F.col("c") > HEADS).select("sig"), "sig", "left_semi"), "crowded")
     part = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(HEADS))
     heads = materialize(crowded.groupBy("sig", part.alias("part")).agg(F.min(F.struct(*_SET)).alias("y")).select("sig", "y"), "heads")
-    return _met(crowded.join(settled, ["doc_id", "pos"], "left_anti").select("sig", *_SET), heads, t)
+    pairs = materialize(_met(crowded.join(settled, ["doc_id", "pos"], "left_anti").select("sig", *_SET), heads, t), "leaders")
+    for done in (crowded, heads):
+        discard(done)
+    return pairs
 
 
 def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
@@ -163,8 +166,8 @@ def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
-    """Places (``doc_id``, ``pos``) of the later lines whose words really are that similar to the earlier ones'."""
-    ids = materialize(pairs.selectExpr("inline(array(struct(xd AS ad, xp AS ap), struct(yd AS ad, yp AS ap)))").groupBy("ad").agg(F.collect_set("ap").alias("aps")), "asked")
+    """Places (``doc_id``, ``pos``) of the later lines whose words really are that similar to the earlier ones', written once; ``pairs`` is deleted."""
+    ids = listed = materialize(pairs.selectExpr("inline(array(struct(xd AS ad, xp AS ap), struct(yd AS ad, yp AS ap)))").groupBy("ad").agg(F.collect_set("ap").alias("aps")), "asked")
     if (ids.agg(F.sum(F.size("aps") + 1)).first()[0] or 0) <= SHIPPED_IDS:
         ids = F.broadcast(ids)
     # Only documents that hold an asked line are cut into lines, and only the asked lines into words.
@@ -178,16 +181,21 @@ def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
     y = words.toDF("yd", "yp", "yw")
     both = pairs.join(x, ["xd", "xp"]).join(y, ["yd", "yp"]).withColumn("common", F.size(F.array_intersect("xw", "yw")))
     similar = F.col("common") * t.denominator >= (F.size("xw") + F.size("yw") - F.col("common")) * t.numerator
-    return both.where(similar).select(F.col("xd").alias("doc_id"), F.col("xp").alias("pos")).distinct()
+    found = materialize(both.where(similar).select(F.col("xd").alias("doc_id"), F.col("xp").alias("pos")).distinct(), "settled")
+    for done in (listed, words, pairs):
+        discard(done)
+    release(docs.sparkSession)
+    return found
 
 
 def _settled(docs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """Places of the sets that are similar to one of their leaders."""
     firsts = materialize(_firsts(sets), "firsts")
-    found = materialize(_verified(docs, materialize(_leaders(sets, firsts, t), "leaders"), t), "settled")
     release(docs.sparkSession)
-    again = _verified(docs, materialize(_later_leaders(sets, firsts, found, t), "leaders"), t)
-    return found.union(materialize(again, "settled"))
+    found = _verified(docs, _leaders(sets, firsts, t), t)
+    again = _later_leaders(sets, firsts, found, t)
+    discard(firsts)
+    return found.union(_verified(docs, again, t))
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,7 +214,6 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: in
     sets = materialize(_sets(plain, t, min_words), "sets")
     release(spark)
     settled = _settled(plain, sets, t)
-    release(spark)
     later = materialize(_prefix_pairs(sets, settled, t), "pairs")
     release(spark)
     gone = settled.union(_verified(plain, later, t)).withColumn("similar", F.lit(True))

@@ -1,8 +1,10 @@
 import random
+from pathlib import Path
 
 import corpus_pipeline
 from dunlin.llm import linededup
 from dunlin.llm.linededup import drop_similar_lines, line_report
+from dunlin.session import scratch_root
 from tests.llm.common import ODD, docs_of, prose
 
 
@@ -74,6 +76,13 @@ def test_large_list_of_ids_is_joined_by_shuffle(spark, monkeypatch):
     assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == want
 
 
+def test_only_the_tables_that_are_still_read_stay(spark):
+    folder = Path(scratch_root(spark).removeprefix("file://"))
+    before = set(folder.glob("*"))
+    line_report(docs_of(spark, corpus(3))).collect()
+    assert {p.name.rsplit("-", 1)[0] for p in set(folder.glob("*")) - before if any(p.rglob("*.parquet"))} == {"ranks", "sets", "settled"}
+
+
 def test_ids(spark):
     line = prose(7, 20)
     got = line_report(docs_of(spark, [line, line, line, line + "\n" + line], [None, 3, 3, 4])).collect()
