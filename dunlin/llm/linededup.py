@@ -11,7 +11,7 @@ is verified on the 64-bit hashes of all words of both lines.
 Equal lines are folded first, by their hash, so copies never meet each other.
 Variants of one line are settled next: sets that agree in two hashes next to
 fixed points of the hash range are compared with the first such set alone, one comparison
-each; in crowded groups those that this leaves open meet a few more.  Only sets
+each; in crowded groups where it passes with any, all meet a few more.  Only sets
 that are still open ask all earlier sets in the prefix join, so a large group of
 near copies does not list its pairs.
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dunlin.llm.common import SHIPPED_IDS, release, text_of
-from dunlin.session import discard, materialize
+from dunlin.session import broadcast_if_bounded, discard, materialize
 
 SIMILARITY = 0.8
 #: Every line that has a word is compared; a caller may leave shorter lines alone.
@@ -49,7 +49,10 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _words(line: Column) -> Column:
     # Splitting at one plain character needs no pattern; few lines hold other white space or runs of it.
-    rare = line.rlike(rf"[{BLANKS}]|  |^ | $")
+    # Searches for plain text cost a tenth of a pattern.
+    rare = (line == "") | line.contains("  ") | line.startswith(" ") | line.endswith(" ")
+    for blank in BLANKS:
+        rare |= line.contains(blank)
     return F.when(rare, F.array_remove(F.split(line, rf"[ {BLANKS}]+"), "")).otherwise(F.split(line, " "))
 
 
@@ -69,29 +72,35 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     """Distinct lines of ``min_words`` words or more, at their first place.
 
     Unless ``min_words`` is 1, sets of a single word are left out too.  ``n`` words, ``prefix`` (ranked, rarest first), ``map`` and ``map2`` (parity of
-    the words over 128 bits) and ``marks`` (the two lowest and two highest
+    the words over 128 bits: those of hashes below zero, and the others) and ``marks`` (the two lowest and two highest
     word hashes and the two next to zero on either side; null where there is none).
     """
     rank = materialize(_frequencies(docs), "ranks")
-    # Told by one pattern: a filter on the split words would split them twice.
-    enough = F.col("line").rlike(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1))
-    words = _lines(docs).where(enough).withColumn("words", _words(F.col("line")))
+    lines = _lines(docs)
+    if min_words > 1:
+        # Told by one pattern: a filter on the split words would split them twice. Lines without a word go below.
+        lines = lines.where(F.col("line").rlike(r"^[\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){%d}[^\x20\x09-\x0D]" % (min_words - 1)))
+    words = lines.withColumn("words", _words(F.col("line")))
     hashes = words.select("doc_id", "pos", "k1", "k2", F.expr("sort_array(array_distinct(transform(words, w -> xxhash64(w))))").alias("own"))
-    # The generator keeps the optimizer from computing the hashes again wherever they are used.
+    # The generators keep the optimizer from computing the hashes again wherever they are used.
     hashed = hashes.select("doc_id", "pos", "k1", "k2", F.explode(F.array("own")).alias("h"))
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
-    # The table is used once, so that it is read in place and never copied into rows.
-    packed = f"transform(h, x -> get(rank, int(x & {(1 << RANK_BITS) - 1})) | (x & {(1 << _HASH_BITS) - 1}))"
-    ordered = hashed.withColumn("rank", rank.scalar()).select("doc_id", "pos", "k1", "k2", "h", F.expr(f"sort_array({packed})").alias("ranked"))
+    # The table is bound to a name, which keeps it in place: as a column it would be copied into rows, as a bare subquery looked up anew for every word.
+    # No element can be null that way, so Spark sorts plain longs.
+    looked = f"transform(h, x -> coalesce(get(r, int(x & {(1 << RANK_BITS) - 1})), 0L) | (x & {(1 << _HASH_BITS) - 1}))"
+    # ``z`` words have a hash below zero.
+    ordered = hashed.withColumn("rank", rank.scalar()).select(
+        "doc_id", "pos", "k1", "k2", "h", F.expr("int(array_position(sort_array(concat(h, array(0L))), 0L)) - 1").alias("z"),
+        F.expr(f"sort_array(transform(array(rank), r -> {looked})[0])").alias("ranked"))
+    parity = "aggregate({}, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))"
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
-        F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))").alias("both"),
-        F.expr("aggregate(h, 0L, (a, x) -> a ^ shiftleft(shiftright(x, 6) & 1L, int(x & 63)))").alias("map2"),
-        F.expr("transform(array(size(filter(h, x -> x < 0))), z -> transform(array(0, 1, size(h) - 2, size(h) - 1, z - 2, z - 1, z, z + 1), "
-               "i -> get(h, i)))[0]").alias("marks"),
+        F.expr(parity.format("slice(h, 1, z)")).alias("map"), F.expr(parity.format("slice(h, z + 1, size(h) - z)")).alias("map2"),
+        F.expr("array(get(h, 0), get(h, 1), get(h, size(h) - 2), get(h, size(h) - 1), get(h, z - 2), get(h, z - 1), get(h, z), get(h, z + 1))").alias("marks"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
-    first = ordered.groupBy("k1", "k2").agg(F.min(row).alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
-    return first.withColumn("map", F.expr("both ^ map2")).drop("both")
+    # Only what stays of a line is sorted and shuffled.
+    rows = ordered.select("k1", "k2", F.explode(F.array(row)).alias("s"))
+    return rows.groupBy("k1", "k2").agg(F.min("s").alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
@@ -105,47 +114,53 @@ _SET = ("doc_id", "pos", "n", "map", "map2")
 
 
 def _signed(sets: DataFrame) -> DataFrame:
-    """Every set once under each of six pairs of its marks."""
-    pairs = F.array(*[F.xxhash64(F.lit(k), F.col("marks")[i], F.col("marks")[j]) for k, (i, j) in enumerate([(0, 1), (2, 3), (4, 5), (6, 7), (0, 6), (3, 5)])])
-    return sets.select(F.explode(pairs).alias("sig"), *_SET)
+    """Every set once under each of four pairs of its marks, unless both are absent."""
+    marks = [F.col("marks")[i] for i in range(8)]
+    pairs = F.array(*[F.when(marks[i].isNotNull() | marks[j].isNotNull(), F.xxhash64(F.lit(k), marks[i], marks[j]))
+                      for k, (i, j) in enumerate([(0, 1), (2, 3), (4, 5), (6, 7)])])
+    return sets.select(F.explode(pairs).alias("sig"), *_SET).where("sig IS NOT NULL")
 
 
 def _firsts(sets: DataFrame) -> DataFrame:
-    """``sig``, the first set ``y`` and the number ``c`` of sets of every signature that several sets share."""
-    return _signed(sets).groupBy("sig").agg(F.min(F.struct(*_SET)).alias("y"), F.count("*").alias("c")).where("c > 1")
+    """``sig``, a set ``y`` of the smallest document and the number ``c`` of sets of every signature that several sets share."""
+    # Column by column, which Spark keeps in a hash table; equal comparisons in equal order take all of them from one set.
+    held = [F.min("doc_id").alias("doc_id"), *[F.min_by(k, "doc_id").alias(k) for k in _SET[1:]]]
+    return _signed(sets).groupBy("sig").agg(*held, F.count("*").alias("c")).where("c > 1").select("sig", F.struct(*_SET).alias("y"), "c")
 
 
 def _met(signed: DataFrame, heads: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set and an earlier one from ``heads`` (``sig, y``) that pass the length and the bitmap filter."""
+    """Pairs of a set and an earlier one from ``heads`` (``sig, y`` and others) that pass the length and the bitmap filter."""
     # The same join at every size; both sides come straight from a shuffle, so that a hot signature can be split.
     met = signed.join(heads.hint("shuffle_merge"), "sig").withColumn("x", F.struct(*_SET))
     return met.where("y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND y.pos < x.pos").where(_near("x", "y", t)).select(
-        F.col("x.doc_id").alias("xd"), F.col("x.pos").alias("xp"), F.col("y.doc_id").alias("yd"), F.col("y.pos").alias("yp")).distinct()
+        *[c for c in heads.columns if c != "y"], F.col("x.doc_id").alias("xd"), F.col("x.pos").alias("xp"), F.col("y.doc_id").alias("yd"), F.col("y.pos").alias("yp"))
 
 
 def _leaders(sets: DataFrame, firsts: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set and the first one that shares two of its marks, written once."""
-    return materialize(_met(_signed(sets), firsts.select("sig", "y"), t), "leaders")
+    """Pairs of a set and the first one that shares two of its marks, with ``sig`` and ``c``, written once."""
+    return materialize(_met(_signed(sets), firsts, t), "leaders")
 
 
-def _later_leaders(sets: DataFrame, firsts: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of a set that its leaders leave open and the first sets of ``HEADS`` parts of each crowded signature, written once.
+def _later_leaders(sets: DataFrame, leaders: DataFrame, t: Fraction) -> DataFrame:
+    """Pairs of a set and the first sets of ``HEADS`` parts of each crowded signature whose first set met one like it, written once.
 
     In a group whose members are only about as similar as asked for, the first one
-    is often not similar enough, but one of several is.
+    is often not similar enough, but one of several is. Sets that share nothing but two
+    frequent words are left out: not one of them passes with the first.
     """
-    crowded = materialize(_signed(sets).join(firsts.where(F.col("c") > HEADS).select("sig"), "sig", "left_semi"), "crowded")
+    warm = materialize(leaders.where(F.col("c") > HEADS).select("sig").distinct(), "warm")
+    crowded = materialize(_signed(sets).join(broadcast_if_bounded(warm), "sig", "left_semi"), "crowded")
     part = F.pmod(F.xxhash64("doc_id", "pos"), F.lit(HEADS))
     heads = materialize(crowded.groupBy("sig", part.alias("part")).agg(F.min(F.struct(*_SET)).alias("y")).select("sig", "y"), "heads")
-    pairs = materialize(_met(crowded.join(settled, ["doc_id", "pos"], "left_anti").select("sig", *_SET), heads, t), "leaders")
-    for done in (crowded, heads):
+    pairs = materialize(_met(crowded, heads, t).drop("sig").distinct(), "leaders")
+    for done in (warm, crowded, heads):
         discard(done)
     return pairs
 
 
 def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
     """Pairs of an open set and an earlier set that pass all filters at their first shared word."""
-    flagged = sets.join(settled.withColumn("done", F.lit(True)), ["doc_id", "pos"], "left")
+    flagged = sets.join(broadcast_if_bounded(settled.withColumn("done", F.lit(True))), ["doc_id", "pos"], "left")
     # One long holds place and size, another one the place in the order and whether the set is open.
     entries = flagged.select("doc_id", "pos", "n", "map", "map2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("i", "word")).select(
         "word", "doc_id", "map", "map2", F.expr("shiftleft(bigint(pos), 32) | bigint(n)").alias("at"), F.expr("i * 2 + int(NOT done)").alias("m"))
@@ -192,10 +207,13 @@ def _settled(docs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
     """Places of the sets that are similar to one of their leaders."""
     firsts = materialize(_firsts(sets), "firsts")
     release(docs.sparkSession)
-    found = _verified(docs, _leaders(sets, firsts, t), t)
-    again = _later_leaders(sets, firsts, found, t)
+    leaders = _leaders(sets, firsts, t)
     discard(firsts)
-    return found.union(_verified(docs, again, t))
+    again = _later_leaders(sets, leaders, t)
+    pairs = materialize(leaders.drop("sig", "c").union(again).distinct(), "pairs")
+    for done in (leaders, again):
+        discard(done)
+    return _verified(docs, pairs, t)
 
 
 def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,8 +247,9 @@ def line_report(docs: DataFrame, similarity: float = SIMILARITY, min_words: int
     Null texts have no lines.  Rows that share an id are reported together.
     """
     gone = removed_lines(docs, similarity, min_words, doc_id, text).select("doc_id", F.lit(None).cast("int").alias("n"), "pos")
-    counts = text_of(docs, doc_id, text).select("doc_id", F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n"), F.lit(None).cast("int").alias("pos"))
-    counts = counts.withColumn("n", F.greatest("n", F.lit(0)))
+    # Newlines are counted by what is left without them; a null text has no lines.
+    n_lines = F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    counts = text_of(docs, doc_id, text).select("doc_id", F.coalesce(n_lines, F.lit(0)).alias("n"), F.lit(None).cast("int").alias("pos"))
     return counts.union(gone).groupBy("doc_id").agg(
         F.max("n").cast("long").alias("n_lines"), F.array_sort(F.collect_set("pos")).alias("at")).select(
         "doc_id", "n_lines", F.size("at").cast("long").alias("n_removed"), F.array_join("at", ",").alias("removed"))

@@ -2,6 +2,8 @@ import random
 from pathlib import Path
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from dunlin.llm import linededup
 from dunlin.llm.linededup import drop_similar_lines, line_report
 from dunlin.session import scratch_root
@@ -115,3 +117,24 @@ def test_lines_of_any_length_are_compared(spark):
     assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == want
     left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert left == {0: texts[0], 2: "x y\n  \nAll rights\n\n", 4: "new", 5: None, 6: ""}
+
+
+def test_sets_that_share_only_frequent_words_are_not_shipped_again(spark, monkeypatch):
+    """A crowded signature is searched further only if its first set met one like it."""
+    words = [f"w{i}" for i in range(600)]
+    a, b, *rest = [r.w for r in spark.createDataFrame([(w,) for w in words], "w string").orderBy(F.xxhash64("w")).collect()]
+    apart = [" ".join([a, b, *rest[k * 12: k * 12 + 12]]) for k in range(40)]
+    line = rest[480:510]
+    close = [" ".join([*line, f"n{k}"]) for k in range(20)]
+    rows = {}
+
+    def kept(df, label="stage", held=linededup.materialize):
+        out = held(df, label)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(linededup, "materialize", kept)
+    texts = [*apart, *close]
+    got = line_report(docs_of(spark, texts)).collect()
+    assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == brute(texts, range(len(texts))) == {(k, 0) for k in range(41, 60)}
+    assert 0 < rows["crowded"] <= 4 * len(close)
