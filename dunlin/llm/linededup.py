@@ -3,7 +3,8 @@
 A line is the set of its words.  Every word has one rank: how often its hash
 bucket occurs in all documents, rarest first, then its hash.  Two sets of n and
 m words with a Jaccard similarity of t or more share a word among the first
-n - ceil(t n) + 1 and m - ceil(t m) + 1 of that order (prefix filter); the places
+n - ceil(t n) + 1 and m - ceil(t m) + 1 of that order (prefix filter); of the set that
+is not larger, among the first n - ceil(2t / (1 + t) n) + 1 (its front); the places
 of the first shared word, the sizes and a 128-bit parity map of each set bound
 their overlap from above (positional, length and bitmap filter).  What passes
 is verified on the 64-bit hashes of all words of both lines.
@@ -33,10 +34,11 @@ SIMILARITY = 0.8
 #: Every line that has a word is compared; a caller may leave shorter lines alone.
 MIN_WORDS = 1
 #: Buckets of the table of word frequencies are 2 to this power; its size does not depend on the data.
-RANK_BITS = 20
+#: Rare words share their buckets with others, which leaves them in front of frequent ones; Spark counts so many keys in its fast map.
+RANK_BITS = 16
 #: White space inside a line, beside the space.
 BLANKS = "\t\x0b\x0c\r"
-_HASH_BITS = 46
+_HASH_BITS = 64 - RANK_BITS
 #: Sets that a set of a crowded signature is compared with before it asks all earlier sets.
 HEADS = 8
 
@@ -57,14 +59,15 @@ def _words(line: Column) -> Column:
 
 
 def _frequencies(docs: DataFrame) -> DataFrame:
-    """One row, ``rank``: for every bucket 1024 log2 of one more than its words in all documents, above the bits of a hash.
+    """One row, ``rank``: for every bucket what turns a hash into its place in the order by one exclusive or.
 
+    The bucket is the highest bits of the hash. They give way to 512 log2 of one more than the bucket's words in all documents.
     Words are cut at spaces alone here: any table gives a valid order.
     """
     words = docs.select(F.explode(F.split("text", " ")).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << RANK_BITS) - 1).alias("id")).count()
-    ranked = counts.select("id", F.shiftleft((F.log2(F.col("count") + 1) * 1024).cast("long"), _HASH_BITS).alias("r"))
-    full = docs.sparkSession.range(1 << RANK_BITS).join(ranked, "id", "left").select("id", F.coalesce("r", F.lit(0).cast("long")).alias("r"))
+    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), _HASH_BITS).alias("id")).count()
+    full = docs.sparkSession.range(1 << RANK_BITS).join(counts, "id", "left").select("id", F.shiftleft(
+        (F.log2(F.coalesce("count", F.lit(0)) + 1) * 512).cast("long").bitwiseXOR(F.col("id")), _HASH_BITS).alias("r"))
     return full.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", "r"))), lambda s: s.r).alias("rank"))
 
 
@@ -72,8 +75,8 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     """Distinct lines of ``min_words`` words or more, at their first place.
 
     Unless ``min_words`` is 1, sets of a single word are left out too.  ``n`` words, ``prefix`` (ranked, rarest first), ``map`` and ``map2`` (parity of
-    the words over 128 bits: those of hashes below zero, and the others) and ``marks`` (the two lowest and two highest
-    word hashes and the two next to zero on either side; null where there is none).
+    the words over 128 bits: those of hashes below zero, and the others), ``sigs`` (hashes of four pairs of marks: the two lowest and
+    the two highest word hashes and the two next to zero on either side; null where both are absent) and ``copies`` (equal lines).
     """
     rank = materialize(_frequencies(docs), "ranks")
     lines = _lines(docs)
@@ -87,20 +90,22 @@ def _sets(docs: DataFrame, t: Fraction, min_words: int) -> DataFrame:
     # Rank in the high bits, hash in the low ones: one sort of longs orders by both.
     # The table is bound to a name, which keeps it in place: as a column it would be copied into rows, as a bare subquery looked up anew for every word.
     # No element can be null that way, so Spark sorts plain longs.
-    looked = f"transform(h, x -> coalesce(get(r, int(x & {(1 << RANK_BITS) - 1})), 0L) | (x & {(1 << _HASH_BITS) - 1}))"
+    looked = f"transform(h, x -> coalesce(get(r, int(shiftrightunsigned(x, {_HASH_BITS}))), 0L) ^ x)"
     # ``z`` words have a hash below zero.
     ordered = hashed.withColumn("rank", rank.scalar()).select(
         "doc_id", "pos", "k1", "k2", "h", F.expr("int(array_position(sort_array(concat(h, array(0L))), 0L)) - 1").alias("z"),
         F.expr(f"sort_array(transform(array(rank), r -> {looked})[0])").alias("ranked"))
+    marks = [F.expr(f"get(h, {at})") for at in ("0", "1", "size(h) - 2", "size(h) - 1", "z - 2", "z - 1", "z", "z + 1")]
+    sigs = F.array(*[F.when(marks[2 * k].isNotNull() | marks[2 * k + 1].isNotNull(), F.xxhash64(F.lit(k), marks[2 * k], marks[2 * k + 1])) for k in range(4)])
     parity = "aggregate({}, 0L, (a, x) -> a ^ shiftleft(1L, int(x & 63)))"
     row = F.struct(
         "doc_id", "pos", F.expr("size(h)").alias("n"),
         F.expr(parity.format("slice(h, 1, z)")).alias("map"), F.expr(parity.format("slice(h, z + 1, size(h) - z)")).alias("map2"),
-        F.expr("array(get(h, 0), get(h, 1), get(h, size(h) - 2), get(h, size(h) - 1), get(h, z - 2), get(h, z - 1), get(h, z), get(h, z + 1))").alias("marks"),
+        sigs.alias("sigs"),
         F.expr(f"slice(ranked, 1, size(h) - int((size(h) * {t.numerator}L + {t.denominator - 1}L) div {t.denominator}) + 1)").alias("prefix"))
     # Only what stays of a line is sorted and shuffled.
     rows = ordered.select("k1", "k2", F.explode(F.array(row)).alias("s"))
-    return rows.groupBy("k1", "k2").agg(F.min("s").alias("s")).select("k1", "k2", "s.*").where(F.col("n") >= min(2, min_words))
+    return rows.groupBy("k1", "k2").agg(F.min("s").alias("s"), F.count("*").alias("copies")).select("k1", "k2", "copies", "s.*").where(F.col("n") >= min(2, min_words))
 
 
 def _near(x: str, y: str, t: Fraction) -> str:
@@ -114,11 +119,8 @@ _SET = ("doc_id", "pos", "n", "map", "map2")
 
 
 def _signed(sets: DataFrame) -> DataFrame:
-    """Every set once under each of four pairs of its marks, unless both are absent."""
-    marks = [F.col("marks")[i] for i in range(8)]
-    pairs = F.array(*[F.when(marks[i].isNotNull() | marks[j].isNotNull(), F.xxhash64(F.lit(k), marks[i], marks[j]))
-                      for k, (i, j) in enumerate([(0, 1), (2, 3), (4, 5), (6, 7)])])
-    return sets.select(F.explode(pairs).alias("sig"), *_SET).where("sig IS NOT NULL")
+    """Every set once under each of its signatures."""
+    return sets.select(F.explode("sigs").alias("sig"), *_SET).where("sig IS NOT NULL")
 
 
 def _firsts(sets: DataFrame) -> DataFrame:
@@ -159,25 +161,34 @@ def _later_leaders(sets: DataFrame, leaders: DataFrame, t: Fraction) -> DataFram
 
 
 def _prefix_pairs(sets: DataFrame, settled: DataFrame, t: Fraction) -> DataFrame:
-    """Pairs of an open set and an earlier set that pass all filters at their first shared word."""
+    """Pairs of an open set and an earlier set that pass all filters at a shared word.
+
+    The set that is not larger has that word in its front. Fronts meet fronts and rests, rests
+    never meet each other; each is shuffled once.
+    """
     flagged = sets.join(broadcast_if_bounded(settled.withColumn("done", F.lit(True))), ["doc_id", "pos"], "left")
+    placed = flagged.select("doc_id", "pos", "n", "map", "map2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("i", "word"))
     # One long holds place and size, another one the place in the order and whether the set is open.
-    entries = flagged.select("doc_id", "pos", "n", "map", "map2", F.coalesce("done", F.lit(False)).alias("done"), F.posexplode("prefix").alias("i", "word")).select(
-        "word", "doc_id", "map", "map2", F.expr("shiftleft(bigint(pos), 32) | bigint(n)").alias("at"), F.expr("i * 2 + int(NOT done)").alias("m"))
-    x, y = entries.alias("x"), entries.alias("y")
-    n = lambda s: f"int({s}.at & {(1 << 32) - 1}L)"
+    packed = ["word", "doc_id", "map", "map2", F.expr("shiftleft(bigint(pos), 32) | bigint(n)").alias("at"), F.expr("i * 2 + int(NOT done)").alias("m")]
+    whole = t.denominator + t.numerator
+    in_front = F.expr(f"i <= n - (n * {2 * t.numerator}L + {whole - 1}L) div {whole}")
+    fronts, rests = placed.where(in_front).select(*packed), placed.where(~in_front).select(*packed)
+    n = lambda s: f"({s}.at & {(1 << 32) - 1}L)"
     pos = lambda s: f"int(shiftright({s}.at, 32))"
-    i = lambda s: f"shiftright({s}.m, 1)"
-    need = f"((({n('x')} + {n('y')}) * {t.numerator}L + {t.denominator + t.numerator - 1}L) div {t.denominator + t.numerator})"
-    # Cheap tests first; the flag is tested together with the other side, so that both sides stay one exchange.
+    left = lambda s: f"({n(s)} - shiftright({s}.m, 1))"
+    before = lambda s, o: f"({s}.doc_id < {o}.doc_id OR {s}.doc_id = {o}.doc_id AND {pos(s)} < {pos(o)})"
+    need = f"((({n('x')} + {n('y')}) * {t.numerator}L + {whole - 1}L) div {whole})"
+    # Cheap tests first. The later set has to be open; of two sets of one size, y is the earlier one.
     near = " AND ".join([
-        "x.word = y.word", "(x.m & 1) * (y.m + 1) > 0",
-        f"least({n('x')}, {n('y')}) * {t.denominator}L >= greatest({n('x')}, {n('y')}) * {t.numerator}L",
+        "x.word = y.word", f"{n('y')} <= {n('x')}", f"{n('y')} * {t.denominator}L >= {n('x')} * {t.numerator}L",
         f"bit_count(x.map ^ y.map) + bit_count(x.map2 ^ y.map2) <= {n('x')} + {n('y')} - 2 * {need}",
-        f"least({n('x')} - {i('x')}, {n('y')} - {i('y')}) >= {need}",
-        "(y.doc_id < x.doc_id OR y.doc_id = x.doc_id AND " + pos("y") + " < " + pos("x") + ")"])
-    return x.join(y, F.expr(near)).select(
-        F.col("x.doc_id").alias("xd"), F.expr(pos("x")).alias("xp"), F.col("y.doc_id").alias("yd"), F.expr(pos("y")).alias("yp")).distinct()
+        f"least({left('x')}, {left('y')}) >= {need}",
+        f"({before('y', 'x')} AND (x.m & 1) = 1 OR {before('x', 'y')} AND {n('y')} < {n('x')} AND (y.m & 1) = 1)"])
+    later, sooner = "if(" + before("y", "x") + ", x.{0}, y.{0})", "if(" + before("y", "x") + ", y.{0}, x.{0})"
+    met = [larger.alias("x").join(fronts.alias("y"), F.expr(near)).selectExpr(
+        later.format("doc_id") + " AS xd", f"int(shiftright({later.format('at')}, 32)) AS xp",
+        sooner.format("doc_id") + " AS yd", f"int(shiftright({sooner.format('at')}, 32)) AS yp") for larger in (fronts, rests)]
+    return met[0].union(met[1]).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, t: Fraction) -> DataFrame:
@@ -235,7 +246,8 @@ def removed_lines(docs: DataFrame, similarity: float = SIMILARITY, min_words: in
     later = materialize(_prefix_pairs(sets, settled, t), "pairs")
     release(spark)
     gone = settled.union(_verified(plain, later, t)).withColumn("similar", F.lit(True))
-    first = sets.select("k1", "k2", "doc_id", "pos").join(gone, ["doc_id", "pos"], "left").select(
+    # A line that neither has copies nor is similar stays, so it need not be looked for.
+    first = sets.select("k1", "k2", "copies", "doc_id", "pos").join(gone, ["doc_id", "pos"], "left").where("copies > 1 OR similar").select(
         "k1", "k2", F.col("doc_id").alias("first_id"), F.col("pos").alias("first_pos"), "similar")
     met = _lines(plain).select("k1", "k2", "doc_id", "pos").join(first, ["k1", "k2"])
     return met.where("similar OR (doc_id, pos) <> (first_id, first_pos)").select("doc_id", "pos", "k1")

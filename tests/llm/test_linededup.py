@@ -138,3 +138,34 @@ def test_sets_that_share_only_frequent_words_are_not_shipped_again(spark, monkey
     got = line_report(docs_of(spark, texts)).collect()
     assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == brute(texts, range(len(texts))) == {(k, 0) for k in range(41, 60)}
     assert 0 < rows["crowded"] <= 4 * len(close)
+
+
+def test_sets_at_the_bound_are_found_whichever_is_larger(spark):
+    """Fronts hold a shared word of every similar pair, and the table of sets counts equal lines."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(90)]
+    texts = []
+    for n in (4, 5, 8, 9, 10, 12, 18, 20, 27):
+        for m in range(n, n * 5 // 4 + 1):
+            # The least overlap that is similar, and one less.
+            need = -(-4 * (n + m) // 9)
+            for common in (need, need - 1):
+                own = draw.sample(words, n + m - common)
+                pair = [" ".join(own[:n]), " ".join(own[n - common:])]
+                draw.shuffle(pair)
+                texts += pair
+    texts += texts[:3]
+    docs = docs_of(spark, texts)
+    got = line_report(docs).collect()
+    assert {(r.doc_id, int(p)) for r in got for p in r.removed.split(",") if p} == brute(texts, range(len(texts)))
+    from dunlin.llm.common import text_of
+    from fractions import Fraction
+    t = Fraction("0.8")
+    sets = linededup._sets(text_of(docs, "doc_id", "text"), t, 1).cache()
+    assert {r.doc_id: r.copies for r in sets.collect()} == {i: texts.count(x) for i, x in enumerate(texts) if texts.index(x) == i}
+    # Without signatures the prefix join alone finds the same sets.
+    none = sets.select("doc_id", "pos").limit(0)
+    plain = text_of(docs, "doc_id", "text")
+    found = linededup._verified(plain, linededup.materialize(linededup._prefix_pairs(sets, none, t), "pairs"), t)
+    lone = [x if texts.index(x) == i else None for i, x in enumerate(texts)]
+    assert {(r.doc_id, r.pos) for r in found.collect()} == brute(lone, range(len(texts)))
